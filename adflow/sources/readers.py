@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,13 +59,30 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+@contextmanager
+def java_charsets(spark: SparkSession) -> Iterator[None]:
+    """Let expressions that are built inside use any charset of the JVM, such as GBK."""
+    setting = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Text files as one row per line, column ``value``."""
+    """Text files as one row per line, column ``value``.
+
+    The text source keeps the bytes of a line as they are, so other encodings
+    are decoded from them. This fits all encodings that write a line feed as
+    one byte and use that byte for nothing else, as GBK does.
+    """
+    lines = spark.read.text(path)
     if encoding.upper() in ("UTF-8", "UTF8"):
-        return spark.read.text(path)
-    whole = {"sep": "\x00", "quote": "", "escape": "\x00", "encoding": encoding, "mode": "FAILFAST"}
-    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
-    return spark.read.options(**whole, **keep, maxCharsPerColumn="-1").schema("value string").csv(path)
+        return lines
+    with java_charsets(spark):
+        return lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
 def parse_lines(
@@ -155,9 +174,10 @@ def file_prefix(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
 
         for batch in batches:
             found = []
-            for uri in batch["path"]:
-                scheme, _, rest = uri.partition(":")
-                system, name = fs.FileSystem.from_uri(f"{scheme}://{rest}" if not rest.startswith("//") else uri)
+            for path in batch["path"]:
+                scheme, _, rest = path.partition(":")
+                rest = rest if rest.startswith("//") else f"//{rest}"
+                system, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@=')}")
                 with system.open_input_file(name) as stream:
                     found.append(stream.read(n))
             yield batch.assign(prefix=found)

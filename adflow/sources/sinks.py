@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adflow.operators.pricing import price_statements, result_headers, result_lines
-from adflow.sources.readers import line_of
+from adflow.sources.readers import java_charsets, line_of
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -18,8 +18,17 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexis
     df.write.mode(mode).csv(path, sep=sep)
 
 
-def write_lines(df: DataFrame, line: Column, path: str, mode: str = "errorifexists") -> None:
-    df.select(line.cast("string").alias("value")).write.mode(mode).text(path)
+def write_lines(
+    df: DataFrame, line: Column, path: str, mode: str = "errorifexists", encoding: str = "UTF-8"
+) -> None:
+    """One line of text per row; any encoding that writes a line feed as one byte, such as GBK."""
+    value = line.cast("string")
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        lines = df.select(value.alias("value"))
+    else:
+        with java_charsets(df.sparkSession):
+            lines = df.select(F.encode(value, encoding).cast("string").alias("value"))
+    lines.write.mode(mode).text(path)
 
 
 def write_results(priced: DataFrame, path: str) -> None:

@@ -26,7 +26,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     """Rows as sorted texts, columns by name; doubles keep all their digits."""
     frame = frame[sorted(frame.columns)]
     rows = [
-        tuple("NULL" if v is None or v is pd.NaT or v != v else repr(v) for v in row)
+        tuple("NULL" if v is None or v is pd.NA or v is pd.NaT or v != v else repr(v) for v in row)
         for row in frame.astype(object).itertuples(index=False, name=None)
     ]
     return sorted(rows)
