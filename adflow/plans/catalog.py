@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adflow.plans import files, pricing  # noqa: F401
+from adflow.plans import files, filters, lookups, pricing  # noqa: F401
 from adflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
