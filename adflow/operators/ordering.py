@@ -23,21 +23,22 @@ def take_n(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def drop_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """All rows but the first n in an order.
+def drop_n(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """All rows but the first n in ascending order of some columns.
 
-    The order must tell all rows apart. The last row to drop is found by a
-    top-n, and the rest are the rows after it: no row passes through one task.
+    The columns must tell all rows apart. A top-n finds the last row to drop,
+    and the rest are the rows after it. An offset would send all rows through
+    one task.
     """
     if n <= 0:
         return df
     place = F.struct(*order)
-    last = df.orderBy(*order).limit(n).agg(F.max(place).alias("_last"), F.count(F.lit(1)).alias("_n"))
-    row = last.first()
-    if row["_n"] < n:
+    first_n = df.select(*order).orderBy(*order).limit(n)
+    edge = first_n.agg(F.max(place).alias("_edge"), F.count(F.lit(1)).alias("_n")).first()
+    if edge["_n"] < n:
         return df.where(F.lit(False))
-    edge = F.struct(*[F.lit(v) for v in row["_last"]])
-    return df.where(place > edge)
+    last = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, edge["_edge"])])
+    return df.where(place > last)
 
 
 def first_match(df: DataFrame, predicate: Column, *order: str | Column) -> DataFrame:
