@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import grade_letter, rate
@@ -85,10 +85,20 @@ def clean_word_count(
     return counted.groupBy("word").agg(F.count(F.lit(1)).alias("count")).orderBy("word")
 
 
-def grade_histogram(df: DataFrame, grade: str) -> DataFrame:
-    """Count and bar of stars per letter, sorted by letter."""
-    counts = df.groupBy(grade_letter(F.col(grade)).alias("letter")).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("bar", F.repeat(F.lit("*"), F.col("count").cast("int"))).orderBy("letter")
+def grade_histogram(df: DataFrame, grade: str, width: int | None = None) -> DataFrame:
+    """Count and bar of stars per letter, sorted by letter.
+
+    One star per row, or, with ``width``, bars in proportion with the longest
+    that many stars long.
+    """
+    letter = grade_letter(F.col(grade)).alias("letter")
+    counts = df.groupBy(letter).agg(F.count(F.lit(1)).alias("count"))
+    stars = F.col("count")
+    if width is not None:
+        # A window over the few letters, not over rows.
+        longest = F.max("count").over(Window.partitionBy())
+        stars = F.ceil(F.col("count") * width / longest)
+    return counts.withColumn("bar", F.repeat(F.lit("*"), stars.cast("int"))).orderBy("letter")
 
 
 def discount_total(df: DataFrame, price: Column, at_least: float = 20.0, share: Column | None = None) -> DataFrame:

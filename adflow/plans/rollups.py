@@ -99,11 +99,12 @@ GRADED_SQL = "(l_quantity / 10) AS grade"
 l AS (SELECT CASE WHEN grade > 4 AND grade <= 5 THEN 'A' WHEN grade > 3 AND grade <= 4 THEN 'B'
   WHEN grade > 2 AND grade <= 3 THEN 'C' WHEN grade > 0 AND grade <= 2 THEN 'D' WHEN grade = 0 THEN 'F'
   ELSE 'N/A' END AS letter FROM g)
-SELECT letter, count(*) AS "count", repeat('*', CAST(count(*) AS INTEGER)) AS bar FROM l GROUP BY letter""",
+SELECT letter, count(*) AS "count",
+  repeat('*', CAST(ceil(count(*) * 60::DOUBLE / max(count(*)) OVER ()) AS INTEGER)) AS bar FROM l GROUP BY letter""",
 )
 def grade_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     grades = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 10).alias("grade"))
-    return rollups.grade_histogram(grades, "grade")
+    return rollups.grade_histogram(grades, "grade", width=60)
 
 
 @query(
