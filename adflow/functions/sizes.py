@@ -9,12 +9,13 @@ WIDTH_MASK = 4294967295
 
 
 def _dimension(text: Column, index: int) -> Column:
-    return F.get(F.split(text, r"\*"), index).try_cast("bigint")
+    part = F.split_part(text, F.lit("*"), F.lit(index))
+    return F.when(F.trim(part) == part, part.try_cast("bigint"))
 
 
 def size_encode(text: Column) -> Column:
     """``"W*H"`` to its code; ``"0"``, malformed text and NULL give 0."""
-    height, width = _dimension(text, 1), _dimension(text, 0)
+    width, height = _dimension(text, 1), _dimension(text, 2)
     return F.coalesce(F.shiftleft(height, 32).bitwiseOR(width), F.lit(0).cast("bigint"))
 
 

@@ -65,17 +65,13 @@ def clean_word_count(
     pattern: str = WHITESPACE,
     strip: str = ".",
 ) -> DataFrame:
-    """Count words: split, strip, lower-case, drop stop words and empty words; sorted by word.
+    """Count words: lower-case, split, strip, drop stop words and empty words; sorted by word.
 
     A list of stop words becomes a filter, a table of them (column ``word``)
     an anti join.
     """
-    word = F.lower(F.btrim(F.col("_raw"), F.lit(strip)))
-    counted = (
-        df.select(F.explode(F.split(F.col(text), pattern)).alias("_raw"))
-        .select(word.alias("word"))
-        .where(F.col("word") != "")
-    )
+    words = df.select(F.explode(F.split(F.lower(F.col(text)), pattern)).alias("_raw"))
+    counted = words.select(F.btrim("_raw", F.lit(strip)).alias("word")).where("word <> ''")
     if isinstance(stop_words, DataFrame):
         # Count first: the join then sees each word once, however often it occurs.
         counted = counted.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -8,9 +8,10 @@ found in three steps instead, each over aggregates that shrink before the
 shuffle:
 
 1. sums per coarse rate band place the boundary in one band of each key;
-2. within that band, sums per exact rate and coarse weight band place it in
-   one such cell;
-3. within that cell, equal rows are counted, and the boundary row is found.
+2. if a band holds many rows, sums per exact rate and coarse weight band place
+   the boundary in one such cell of it;
+3. within the band or cell, equal rows are counted, and the boundary row is
+   found.
 
 Windows run over bands and distinct values only, never over raw rows.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import int_divide, rate
+from adflow.session import stored
 
 
 def _band(n: Column) -> Column:
@@ -31,7 +33,8 @@ def _band(n: Column) -> Column:
     Bands grow with the number, and there are fewer than 16,000 of them.
     """
     shift = F.greatest(F.floor(F.log2(n)) - 8, F.lit(0).cast("bigint"))
-    return F.shiftleft(shift, 52).bitwiseOR(F.call_function("shiftright", n, shift.cast("int")))
+    band = F.shiftleft(shift, 52).bitwiseOR(F.call_function("shiftright", n, shift.cast("int")))
+    return F.coalesce(band, F.lit(0).cast("bigint"))
 
 
 def _place_boundary(cells: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -64,13 +67,16 @@ def top_share(
     share: float = 0.25,
     scale: float = 1000.0,
     wanted: DataFrame | None = None,
+    band_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per key: weight, value and rate of its best share, and the rate of all its rows.
 
     ``weight`` is a positive integer per row and ``value`` a non-negative one;
     rows without weight have no share and are left out. Equal rates are
     ordered by weight, then value, largest first. ``wanted`` restricts the
-    result to the keys it holds.
+    result to the keys it holds. Step 1 runs at once and writes its result to
+    the shared folder. ``band_rows`` is the size up to which a band goes to one
+    window whole; step 2 divides larger ones.
     """
     if not 0.0 < share < 1.0:
         raise ValueError("share must lie between 0 and 1")
@@ -83,7 +89,9 @@ def top_share(
     )
 
     # Step 1: rate bands, and the totals of each key from the same sums.
-    bands = rows.groupBy(*keys, "_band").agg(F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"))
+    bands = rows.groupBy(*keys, "_band").agg(
+        F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"), F.count(F.lit(1)).alias("_rows")
+    )
     if wanted is not None:
         bands = bands.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
     whole = Window.partitionBy(*keys)
@@ -92,28 +100,23 @@ def top_share(
         {"_all_w": F.sum("_w").over(whole), "_all_v": F.sum("_v").over(whole), "_w0": zero, "_v0": zero}
     ).withColumn("_target", F.lit(share) * F.col("_all_w").cast("double"))
     state = ["_target", "_all_w", "_all_v", "_w0", "_v0"]
-    in_band = _place_boundary(bands, keys, ["_band"]).select(*keys, "_band", *state)
+    # One row per key, written out: the planner then knows whether it can broadcast it, and the
+    # rows of step 2 are shuffled before the join only if it cannot.
+    in_band = stored(_place_boundary(bands, keys, ["_band"]).select(*keys, "_band", "_rows", *state), "bands")
+    largest = in_band.agg(F.max("_rows")).first()[0] or 0
 
     # Step 2: only rows of the boundary band go on, equal rows as one row and a count.
     close = (
-        rows.join(in_band, [*keys, "_band"])
+        rows.join(in_band.drop("_rows"), [*keys, "_band"])
         .groupBy(*keys, "_rate", "_weight", "_value", *state)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_weight_band", _band(F.col("_weight")))
-    )
-    sums = [F.sum(F.col("_weight") * F.col("_n")).alias("_w"), F.sum(F.col("_value") * F.col("_n")).alias("_v")]
-    cells = close.groupBy(*keys, "_rate", "_weight_band", *state).agg(*sums)
-    in_cell = _place_boundary(cells, keys, ["_rate", "_weight_band"]).select(
-        *keys, "_rate", "_weight_band", F.col("_w0"), F.col("_v0")
     )
+    if largest > band_rows:
+        close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"))), keys, state)
 
     # Step 3: the boundary row, and the equal rows in front of it.
-    last = (
-        close.drop("_w0", "_v0")
-        .join(in_cell, [*keys, "_rate", "_weight_band"])
-        .withColumns({"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")})
-    )
-    last = _place_boundary(last, keys, ["_weight", "_value"])
+    sums = {"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")}
+    last = _place_boundary(close.withColumns(sums), keys, ["_rate", "_weight", "_value"])
     left_over = F.col("_target") - F.col("_w0")
     last = last.withColumn("_full", int_divide(F.floor(left_over), F.col("_weight")))
     rest = left_over - F.col("_full") * F.col("_weight")
@@ -126,3 +129,12 @@ def top_share(
         .withColumn("all_rate", rate(F.col("_all_v"), F.col("_all_w"), scale))
         .select(*keys, "top_weight", "top_value", "top_rate", "all_rate")
     )
+
+
+def _within_cell(close: DataFrame, keys: Sequence[str], state: Sequence[str]) -> DataFrame:
+    """Rows of the one cell of exact rate and weight band that the boundary lies in."""
+    sums = [F.sum(F.col("_weight") * F.col("_n")).alias("_w"), F.sum(F.col("_value") * F.col("_n")).alias("_v")]
+    cells = close.groupBy(*keys, "_rate", "_weight_band", *state).agg(*sums)
+    in_cell = _place_boundary(cells, keys, ["_rate", "_weight_band"])
+    in_cell = in_cell.select(*keys, "_rate", "_weight_band", "_w0", "_v0")
+    return close.drop("_w0", "_v0").join(in_cell, [*keys, "_rate", "_weight_band"])

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from adflow.functions.sizes import size_encode
 
@@ -29,13 +30,20 @@ def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a folder; its schema is read from the files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def cents(column: str) -> Column:
     """Money as integer cents."""
-    return F.round(F.col(column) * 100).cast("bigint")
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 def text(*parts: str | Column) -> Column:
@@ -69,13 +77,14 @@ STATS_SQL = """stats AS (
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     size = text(F.col("p_size"), "*", F.col("p_size") * 2)
-    return lineitem.join(part, lineitem.l_partkey == part.p_partkey).select(
+    sized = part.select("p_partkey", size_encode(size).alias("size_code"))
+    return lineitem.join(sized, lineitem.l_partkey == sized.p_partkey).select(
         text("s", F.col("l_suppkey")).alias("domain"),
         F.col("l_linenumber").alias("dsp_id"),
         (F.col("l_quantity").cast("bigint") * 100).alias("impression"),
         F.col("l_quantity").cast("bigint").alias("clk"),
         cents("l_extendedprice").alias("cost"),
-        size_encode(size).alias("size_code"),
+        "size_code",
     )
 
 

@@ -10,7 +10,9 @@ from adflow.operators import rollups
 from adflow.operators.ordering import shard_by_modulo
 from adflow.operators.sequences import ledger_total, running_valid, validate_transitions
 from adflow.plans.files import LOG_SQL, report_log
+
 from adflow.plans.registry import STATS_SQL, cents, query, stats, table, text, words_sql
+from adflow.session import widened
 
 
 @query(
@@ -87,7 +89,7 @@ def rollup_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("word_count_clean", f"""WITH {words_sql('documents')} SELECT word, "count" FROM word_counts WHERE word <> 'the'""")
 def word_count_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.clean_word_count(table(spark, sf_dir, "documents"), "text", ["the"])
+    return rollups.clean_word_count(widened(table(spark, sf_dir, "documents").select("text")), "text", ["the"])
 
 
 GRADED_SQL = "(l_quantity / 10) AS grade"

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -49,3 +49,25 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/adflow/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    This cuts the lineage for good: a lost executor costs a read, not the jobs
+    before. It also tells the planner how large the table is, so it broadcasts
+    the table if it is small and shuffles if it is not.
+    """
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def widened(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where the input has fewer splits than cores.
+
+    A few files that cannot be split would keep most of the cores idle. Tables
+    of many files stay as they are. Meant for tables as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
