@@ -77,12 +77,11 @@ def maximum_size(text: Column, n: int) -> Column:
     return length_check(text, "<=", n)
 
 
-def words(text: Column, pattern: str = WHITESPACE) -> Column:
-    """The text split by a pattern, without trailing empty words.
+def words(text: Column, separator: str = " ") -> Column:
+    """The text split at a character, without trailing empty words.
 
     An empty text still gives one empty word.
     """
-    trimmed = F.regexp_replace(text, f"(?:{pattern})+$", "")
-    return F.when(F.length(text) == 0, F.array(F.lit(""))).when(
-        F.length(trimmed) == 0, F.array().cast("array<string>")
-    ).otherwise(F.split(trimmed, pattern))
+    trimmed = F.rtrim(text, F.lit(separator))
+    none = F.array().cast("array<string>")
+    return F.when((F.length(trimmed) == 0) & (F.length(text) > 0), none).otherwise(F.split(trimmed, separator))

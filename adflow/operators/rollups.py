@@ -26,33 +26,47 @@ def avg_by_group(df: DataFrame, key: str, measure: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(measure).alias(f"avg_{measure}"))
 
 
+def exact_sum(units: Column, digits: int = 0) -> Column:
+    """Sum of a bigint column as a decimal, ``units`` being 10**-digits each.
+
+    The high and the low bits are summed apart as bigints, so no step can
+    overflow or round, and the aggregate stays as cheap as a sum of doubles.
+    """
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(28,0)")
+    low = F.sum(units.bitwiseAND(F.lit(1048575).cast("bigint"))).cast("decimal(20,0)")
+    total = high * F.lit(1048576).cast("decimal(7,0)") + low
+    if digits == 0:
+        return total
+    return total * F.lit(f"1e-{digits}").cast(f"decimal({digits + 1},{digits})")
+
+
 def pricing_summary(lineitem: DataFrame, until: str = "1998-09-16") -> DataFrame:
     """Sums, averages and counts per return flag and line status.
 
-    Money is summed as decimals: the result does not depend on the order in
-    which tasks add up.
+    Quantities, prices and shares have two decimals; they are summed exactly,
+    so the result does not depend on the order in which tasks add up.
     """
     shipped = lineitem.where(F.col("l_shipdate") <= F.lit(until).cast("timestamp_ntz"))
-    quantity, price, discount, tax = [
-        F.col(c).cast(t)
-        for c, t in [
-            ("l_quantity", "decimal(12,2)"),
-            ("l_extendedprice", "decimal(12,2)"),
-            ("l_discount", "decimal(4,2)"),
-            ("l_tax", "decimal(4,2)"),
-        ]
-    ]
-    one = F.lit(1).cast("decimal(1,0)")
-    disc_price = price * (one - discount)
+
+    def hundredths(name: str) -> Column:
+        return F.rint(F.col(name) * 100).cast("bigint")
+
+    quantity, price = hundredths("l_quantity"), hundredths("l_extendedprice")
+    discount, tax = hundredths("l_discount"), hundredths("l_tax")
+    disc_price = price * (100 - discount)
     n = F.count(F.lit(1))
+
+    def total(units: Column, digits: int = 2) -> Column:
+        return exact_sum(units, digits).cast("double")
+
     per_flag = shipped.groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum(quantity).cast("double").alias("sum_qty"),
-        F.sum(price).cast("double").alias("sum_base_price"),
-        F.sum(disc_price).cast("double").alias("sum_disc_price"),
-        F.sum(disc_price * (one + tax)).cast("double").alias("sum_charge"),
-        (F.sum(quantity).cast("double") / n).alias("avg_qty"),
-        (F.sum(price).cast("double") / n).alias("avg_price"),
-        (F.sum(discount).cast("double") / n).alias("avg_disc"),
+        total(quantity).alias("sum_qty"),
+        total(price).alias("sum_base_price"),
+        total(disc_price, 4).alias("sum_disc_price"),
+        total(disc_price * (100 + tax), 6).alias("sum_charge"),
+        (total(quantity) / n).alias("avg_qty"),
+        (total(price) / n).alias("avg_price"),
+        (total(discount) / n).alias("avg_disc"),
         n.alias("count_order"),
     )
     return per_flag.orderBy("l_returnflag", "l_linestatus")

@@ -37,26 +37,26 @@ def _band(n: Column) -> Column:
     return F.coalesce(band, F.lit(0).cast("bigint"))
 
 
-def _place_boundary(cells: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key the cell in which the target weight is reached.
-
-    ``cells`` holds ``_w`` and ``_v`` sums, the ``_target`` weight, and
-    ``_w0``/``_v0``, what all cells of earlier steps add up to.
-    """
+def _running(cells: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the sums of weight and value up to each cell, best cells first."""
     along = (
         Window.partitionBy(*keys)
         .orderBy(*[F.desc(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    upto = cells.withColumns(
-        {
-            "_cum_w": F.col("_w0") + F.sum("_w").over(along),
-            "_cum_v": F.col("_v0") + F.sum("_v").over(along),
-        }
-    )
-    before = F.col("_cum_w") - F.col("_w")
-    reached = upto.where((before <= F.col("_target")) & (F.col("_cum_w") > F.col("_target")))
-    return reached.withColumns({"_w0": before, "_v0": F.col("_cum_v") - F.col("_v")}).drop("_cum_w", "_cum_v")
+    return cells.withColumns({"_cum_w": F.sum("_w").over(along), "_cum_v": F.sum("_v").over(along)})
+
+
+def _boundary(running: DataFrame) -> DataFrame:
+    """Per key the cell in which the target weight is reached.
+
+    ``_w0`` and ``_v0`` hold what lies in front of all cells of this step; in
+    the result they also hold the cells in front of the boundary.
+    """
+    before_w = F.col("_w0") + F.col("_cum_w") - F.col("_w")
+    before_v = F.col("_v0") + F.col("_cum_v") - F.col("_v")
+    reached = (before_w <= F.col("_target")) & (F.col("_target") < F.col("_w0") + F.col("_cum_w"))
+    return running.where(reached).withColumns({"_w0": before_w, "_v0": before_v}).drop("_cum_w", "_cum_v")
 
 
 def top_share(
@@ -94,15 +94,17 @@ def top_share(
     )
     if wanted is not None:
         bands = bands.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    # The running sums come first: their sort also serves the totals.
     whole = Window.partitionBy(*keys)
+    all_w, all_v = F.sum("_w").over(whole), F.sum("_v").over(whole)
     zero = F.lit(0).cast("bigint")
-    bands = bands.withColumns(
-        {"_all_w": F.sum("_w").over(whole), "_all_v": F.sum("_v").over(whole), "_w0": zero, "_v0": zero}
-    ).withColumn("_target", F.lit(share) * F.col("_all_w").cast("double"))
+    bands = _running(bands, keys, ["_band"]).withColumns({"_all_w": all_w, "_all_v": all_v})
+    target = F.lit(share) * F.col("_all_w").cast("double")
+    bands = bands.withColumns({"_target": target, "_w0": zero, "_v0": zero})
     state = ["_target", "_all_w", "_all_v", "_w0", "_v0"]
     # One row per key, written out: the planner then knows whether it can broadcast it, and the
     # rows of step 2 are shuffled before the join only if it cannot.
-    in_band = stored(_place_boundary(bands, keys, ["_band"]).select(*keys, "_band", "_rows", *state), "bands")
+    in_band = stored(_boundary(bands).select(*keys, "_band", "_rows", *state), "bands")
     largest = in_band.agg(F.max("_rows")).first()[0] or 0
 
     # Step 2: only rows of the boundary band go on, equal rows as one row and a count.
@@ -116,7 +118,7 @@ def top_share(
 
     # Step 3: the boundary row, and the equal rows in front of it.
     sums = {"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")}
-    last = _place_boundary(close.withColumns(sums), keys, ["_rate", "_weight", "_value"])
+    last = _boundary(_running(close.withColumns(sums), keys, ["_rate", "_weight", "_value"]))
     left_over = F.col("_target") - F.col("_w0")
     last = last.withColumn("_full", int_divide(F.floor(left_over), F.col("_weight")))
     rest = left_over - F.col("_full") * F.col("_weight")
@@ -135,6 +137,6 @@ def _within_cell(close: DataFrame, keys: Sequence[str], state: Sequence[str]) ->
     """Rows of the one cell of exact rate and weight band that the boundary lies in."""
     sums = [F.sum(F.col("_weight") * F.col("_n")).alias("_w"), F.sum(F.col("_value") * F.col("_n")).alias("_v")]
     cells = close.groupBy(*keys, "_rate", "_weight_band", *state).agg(*sums)
-    in_cell = _place_boundary(cells, keys, ["_rate", "_weight_band"])
+    in_cell = _boundary(_running(cells, keys, ["_rate", "_weight_band"]))
     in_cell = in_cell.select(*keys, "_rate", "_weight_band", "_w0", "_v0")
     return close.drop("_w0", "_v0").join(in_cell, [*keys, "_rate", "_weight_band"])

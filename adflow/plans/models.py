@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adflow.operators import model
 from adflow.plans.registry import draw_sql, joined, query, table
+from adflow.session import stored, widened
 
 SURVEY_SQL = """survey AS (
   SELECT l_orderkey * 8 + l_linenumber AS answer_id,
@@ -29,7 +30,7 @@ encoded AS (
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, line = F.col("l_quantity"), F.col("l_linenumber")
     supplier, part = F.col("l_suppkey"), F.col("l_partkey")
-    return table(spark, sf_dir, "lineitem").select(
+    return widened(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_orderkey") * 8 + line).alias("answer_id"),
         F.when(quantity + 3 * line + supplier % 20 > 45, line).otherwise(0).alias("affairs"),
         F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("gender"),
@@ -44,7 +45,10 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return model.split(model.assemble(model.encode(survey(spark, sf_dir))), "answer_id")
+    """Training and test rows with features, from a table that is written once: a fit reads it often."""
+    encoded = model.encode(survey(spark, sf_dir))
+    features = model.assemble(encoded).select("answer_id", "affairs", "features")
+    return model.split(stored(features, "survey"), "answer_id")
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> tuple[LogisticRegressionModel, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adflow.functions.text import words
+from adflow.session import widened
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -84,7 +85,7 @@ def start_word_count(
     stream: DataFrame, text: str, out: str, checkpoint: str, seconds: int | None = None
 ) -> StreamingQuery:
     """Words of each micro-batch with their counts."""
-    return start_per_batch(stream, lambda batch: count_words(batch, text), out, checkpoint, seconds)
+    return start_per_batch(stream, lambda batch: count_words(widened(batch), text), out, checkpoint, seconds)
 
 
 def start_append(
