@@ -96,14 +96,17 @@ def draw(key: Column, seed: int) -> Column:
     """A reproducible random integer in [0, 2**31) for each key and seed.
 
     It depends on the key alone, so a task that runs again on another machine
-    draws the same number, whatever the partitioning.
+    draws the same number, whatever the partitioning. The bits of the key are
+    mixed by two rounds of shift, multiply and cut, in plain bigint arithmetic
+    that no step can overflow.
     """
-    modulus = 2147483647
-    low, high = F.pmod(key, F.lit(modulus)), F.abs(int_divide(key, F.lit(modulus)))
-    x = F.pmod(low + F.pmod(high, F.lit(modulus)) * 69621, F.lit(modulus))
-    x = F.pmod(x * 1664525 + (seed * 1013904223) % modulus, F.lit(modulus))
-    x = F.pmod(x.bitwiseXOR(F.shiftright(x, 15)) * 48271, F.lit(modulus))
-    return x.bitwiseXOR(F.shiftright(x, 13))
+    low_bits = F.lit(2147483647).cast("bigint")
+    key = key.cast("bigint")
+    x = (key.bitwiseAND(low_bits) + (seed * 1013904223) % 2147483647).bitwiseAND(low_bits)
+    x = (x.bitwiseXOR(F.shiftright(x, 16)) * 2146121005).bitwiseAND(low_bits)
+    x = x.bitwiseXOR(F.shiftright(key, 31).bitwiseAND(low_bits))
+    x = (x.bitwiseXOR(F.shiftright(x, 15)) * 2221713035).bitwiseAND(low_bits)
+    return x.bitwiseXOR(F.shiftright(x, 16))
 
 
 def draw_below(key: Column, seed: int, span: int, offset: int = 0) -> Column:

@@ -32,7 +32,8 @@ def audit_flag(premium: Column, best_rate: Column, high: float = 3.0, low: float
 
 def grains(stats: DataFrame) -> DataFrame:
     """Each row once for its whole domain (size 0) and once for its own size."""
-    both = F.array_distinct(F.array(F.lit(0).cast("bigint"), F.col("size_code")))
+    whole, own = F.lit(0).cast("bigint"), F.col("size_code")
+    both = F.when(own == 0, F.array(whole)).otherwise(F.array(whole, own))
     return stats.select("domain", F.explode(both).alias("size_code"), "impression", "cost")
 
 

@@ -9,9 +9,10 @@ key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +22,12 @@ def _with_blocks(df: DataFrame, place: Column, blocks: int | None) -> DataFrame:
     if blocks is None:
         blocks = min(4096, max(8, 2 * df.sparkSession.sparkContext.defaultParallelism))
     placed = df.withColumn("_place", place.cast("double"))
-    cutter = QuantileDiscretizer(
-        numBuckets=blocks, inputCol="_place", outputCol="_block", relativeError=0.1 / blocks
-    )
-    return cutter.fit(placed.select("_place")).transform(placed).drop("_place")
+    shares = [i / blocks for i in range(1, blocks)]
+    cuts = sorted(set(placed.approxQuantile("_place", shares, 0.1 / blocks)))
+    if not cuts:
+        return placed.withColumn("_block", F.lit(0.0)).drop("_place")
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol="_place", outputCol="_block").transform(placed).drop("_place")
 
 
 def _numeric(df: DataFrame, column: str) -> Column:

@@ -27,12 +27,13 @@ from adflow.functions.numbers import int_divide, rate
 from adflow.session import stored
 
 
-def _band(n: Column) -> Column:
-    """Coarse band of a non-negative number: exact up to 511, then its 9 leading bits.
+def _band(n: Column, bits: int) -> Column:
+    """Coarse band of a non-negative number: its leading bits and its size.
 
-    Bands grow with the number, and there are fewer than 16,000 of them.
+    Bands grow with the number; one of 63 binary digits falls into one of
+    fewer than ``64 * 2**bits`` bands.
     """
-    shift = F.greatest(F.floor(F.log2(n)) - 8, F.lit(0).cast("bigint"))
+    shift = F.greatest(F.floor(F.log2(n)) - (bits - 1), F.lit(0).cast("bigint"))
     band = F.shiftleft(shift, 52).bitwiseOR(F.call_function("shiftright", n, shift.cast("int")))
     return F.coalesce(band, F.lit(0).cast("bigint"))
 
@@ -85,7 +86,7 @@ def top_share(
         df.select(*keys, w.alias("_weight"), v.alias("_value"))
         .where(F.col("_weight") > 0)
         .withColumn("_rate", rate(F.col("_value"), F.col("_weight"), scale))
-        .withColumn("_band", _band(F.col("_rate")))
+        .withColumn("_band", _band(F.col("_rate"), 5))
     )
 
     # Step 1: rate bands, and the totals of each key from the same sums.
@@ -114,7 +115,7 @@ def top_share(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     if largest > band_rows:
-        close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"))), keys, state)
+        close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"), 9)), keys, state)
 
     # Step 3: the boundary row, and the equal rows in front of it.
     sums = {"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")}

@@ -59,10 +59,12 @@ def joined(array: Column) -> Column:
 def draw_sql(key: str, seed: int) -> str:
     """SQL for ``functions.numbers.draw`` on non-negative keys."""
     m = 2147483647
-    x = f"((({key})::BIGINT % {m} + ((({key})::BIGINT // {m}) % {m}) * 69621) % {m})"
-    x = f"(({x} * 1664525 + {(seed * 1013904223) % m}) % {m})"
-    x = f"((xor({x}, {x} >> 15) * 48271) % {m})"
-    return f"xor({x}, {x} >> 13)"
+    key = f"({key})::BIGINT"
+    x = f"((({key} & {m}) + {(seed * 1013904223) % m}) & {m})"
+    x = f"((xor({x}, {x} >> 16) * 2146121005) & {m})"
+    x = f"xor({x}, ({key} >> 31) & {m})"
+    x = f"((xor({x}, {x} >> 15) * 2221713035) & {m})"
+    return f"xor({x}, {x} >> 16)"
 
 
 # Ad statistics: line items as traffic of a supplier's domain, sized by part.
