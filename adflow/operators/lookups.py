@@ -2,7 +2,9 @@
 
 No broadcast is forced here: the planner broadcasts a side whose size it knows
 to be small and shuffles otherwise, and adaptive execution splits hot keys of
-the fact side, which is safe because the dictionary holds each key once.
+the fact side, which is safe because the dictionary holds each key once. It
+does so only where a side of the join is a plain shuffle; sides that come out
+of an aggregate are written to the shared folder first.
 """
 
 from __future__ import annotations
@@ -12,14 +14,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adflow.session import stored
 
-def unique_dictionary(dim: DataFrame, key: str, *values: str) -> DataFrame:
-    """The dictionary with each key once; a repeated key is an error."""
-    held = F.struct(*[F.col(v) for v in values])
-    repeated = F.raise_error(F.concat(F.lit("repeated dictionary key "), F.col(key).cast("string")))
-    once = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(held).alias("_held"))
-    checked = F.when(F.col("_n") > 1, repeated).otherwise(F.col("_held"))
-    return once.select(key, checked.alias("_held")).select(key, "_held.*")
+
+def require_unique(dim: DataFrame, key: str) -> None:
+    """Raise an error if a dictionary holds a key twice.
+
+    The check is a job of its own. The join then reads the dictionary itself,
+    not the outcome of an aggregate: its size is known, and adaptive execution
+    can split hot keys on the other side.
+    """
+    repeated = dim.groupBy(key).count().where("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"repeated dictionary key {repeated[key]}")
 
 
 def lookup(
@@ -31,17 +38,18 @@ def lookup(
 ) -> DataFrame:
     """Add a dictionary value to each row; unknown keys get the default.
 
-    Every row is kept, duplicates too.
+    Every row is kept, duplicates too. A dictionary that repeats a key is an
+    error.
     """
-    joined = df.join(unique_dictionary(dim, on, value), on, "left")
+    require_unique(dim, on)
+    joined = df.join(dim.select(on, value), on, "left")
     return joined if default is None else joined.withColumn(value, F.coalesce(value, default))
 
 
 def lookup_record(df: DataFrame, dim: DataFrame, on: str, default: Mapping[str, str]) -> DataFrame:
     """Add a whole dictionary record as a struct; unknown keys get the default record."""
-    names = list(default)
-    record = F.struct(*names).alias("record")
-    dictionary = unique_dictionary(dim, on, *names).select(on, record)
+    require_unique(dim, on)
+    dictionary = dim.select(on, F.struct(*default).alias("record"))
     fallback = F.struct(*[F.lit(v).alias(k) for k, v in default.items()])
     return df.join(dictionary, on, "left").withColumn("record", F.coalesce("record", fallback))
 
@@ -49,10 +57,11 @@ def lookup_record(df: DataFrame, dim: DataFrame, on: str, default: Mapping[str,
 def lookup_distinct(df: DataFrame, on: str, value: str, expensive: Column) -> DataFrame:
     """Evaluate an expensive expression once per distinct key, then join it back.
 
-    A NULL key finds no value.
+    The values found are written to the shared folder, so no later step asks
+    for them again. A NULL key finds no value.
     """
     once = df.select(on).distinct().withColumn(value, expensive)
-    return df.join(once, on, "left")
+    return df.join(stored(once, "lookups"), on, "left")
 
 
 def partner_salts(df: DataFrame, partners: DataFrame) -> DataFrame:

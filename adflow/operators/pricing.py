@@ -9,6 +9,7 @@ from adflow.functions.records import CHANNELS, ORDER_NOT_FOR_BUYING, ORDER_TO_CO
 from adflow.functions.sizes import size_decode
 from adflow.operators.rollups import best_by_rate
 from adflow.operators.topshare import top_share
+from adflow.session import stored
 
 TRAFFIC_WEB = 1
 
@@ -49,6 +50,7 @@ def price_orders(
 
     Each key is priced once, however many orders ask for it. ``status`` is
     success, audit or fail; an order without statistics fails and says why.
+    The rates of keys and domains are computed at once.
     """
     asked = orders.select("domain", "size_code").distinct()
     priced = top_share(
@@ -57,6 +59,9 @@ def price_orders(
     channels = best_by_rate(stats, ["domain"], "dsp_id", "impression", "cost").withColumnRenamed(
         "best_dsp_id", "best_channel"
     )
+    # One row per key, written out: of known size, so broadcast if small, and a plain side of the
+    # one join that orders go through if not, so that a domain with very many orders can be split.
+    rates = stored(priced.join(channels, "domain"), "rates")
 
     raw = (F.col("top_rate") * F.lit(premium)).cast("bigint")
     price = F.greatest(raw, F.lit(floor).cast("bigint"))
@@ -78,8 +83,7 @@ def price_orders(
         return F.when(known, F.col(name)).otherwise(F.lit(0)).cast("bigint")
 
     return (
-        orders.join(priced, ["domain", "size_code"], "left")
-        .join(channels, "domain", "left")
+        orders.join(rates, ["domain", "size_code"], "left")
         .withColumn("premium_rate", price)
         .select(
             "order_key",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adflow.operators.scans import previous_value, running_sums
+from adflow.session import stored
 
 # Phase changes as event -> (state before, state after).
 PHASE_CHANGES = {
@@ -78,5 +79,5 @@ def contiguous_prefix(df: DataFrame, key: str, page: str, start: int = 1) -> Dat
         .agg(F.min(page).alias("_end"))
     )
     opened = pages.where(F.col(page) == start).select(key)
-    ends = ends.join(opened, key, "left_semi")
+    ends = stored(ends.join(opened, key, "left_semi"), "prefix-ends")
     return df.join(ends, key).where((F.col(page) >= start) & (F.col(page) <= F.col("_end"))).drop("_end")

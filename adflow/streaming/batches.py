@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adflow.functions.text import words
-from adflow.session import widened
+from adflow.session import stored, widened
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -37,10 +37,11 @@ def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame, key: str, flag: st
     """Rows whose key is not blocked; works on batches and streams.
 
     A key that the list names more than once is blocked if any entry says so.
-    Entries whose flag is false block nothing.
+    Entries whose flag is false block nothing. The list is reduced to blocked
+    keys once, in the shared folder; every batch reads those.
     """
     blocked = blacklist.groupBy(key).agg(F.bool_or(flag).alias("_blocked")).where("_blocked").select(key)
-    return clicks.join(blocked, key, "left_anti")
+    return clicks.join(stored(blocked, "blocked"), key, "left_anti")
 
 
 def click_name(line: Column) -> Column:
