@@ -1,10 +1,11 @@
 """Ordered scans that stay parallel inside one hot key.
 
-A plain window puts all rows of a key into one task. Here the order column is
-cut into blocks of about equal size, found from quantiles of the data. A small
-table holds what each block passes on to the next, and its rows enter the
-block's window in front of the real ones. A task then sees one block of one
-key.
+A plain window puts all rows of a key into one task. That is fine up to a
+number of rows, which is checked. Beyond it, and for scans over a whole table,
+the order column is cut into blocks of about equal size, found from quantiles
+of the data. A small table holds what each block passes on to the next, and its
+rows enter the block's window in front of the real ones. A task then sees one
+block of one key.
 """
 
 from __future__ import annotations
@@ -16,12 +17,36 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+KEY_ROWS = 1_000_000
+MOST_BLOCKS = 4096
 
-def _with_blocks(df: DataFrame, place: Column, blocks: int | None) -> DataFrame:
+
+def _blocks_needed(df: DataFrame, keys: Sequence[str]) -> int:
+    """1 if no key holds more than ``KEY_ROWS`` rows, else blocks of about that size."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    if keys and (largest or 0) <= KEY_ROWS:
+        return 1
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return min(MOST_BLOCKS, max(2 * cores, math.ceil((total or 0) / KEY_ROWS)))
+
+
+def _numeric(df: DataFrame, column: str) -> Column:
+    """The column as a double that keeps its order."""
+    kind = df.schema[column].dataType.typeName()
+    place = F.col(column)
+    if kind == "timestamp_ntz":
+        place = F.unix_micros(place.cast("timestamp"))
+    elif kind == "timestamp":
+        place = F.unix_micros(place)
+    elif kind == "date":
+        place = F.unix_date(place)
+    return place.cast("double")
+
+
+def _with_blocks(df: DataFrame, order: str, blocks: int) -> DataFrame:
     """Number the block of each row along an order; blocks never overlap."""
-    if blocks is None:
-        blocks = min(4096, max(8, 2 * df.sparkSession.sparkContext.defaultParallelism))
-    placed = df.withColumn("_place", place.cast("double"))
+    placed = df.withColumn("_place", _numeric(df, order))
     shares = [i / blocks for i in range(1, blocks)]
     cuts = sorted(set(placed.approxQuantile("_place", shares, 0.1 / blocks)))
     if not cuts:
@@ -30,18 +55,6 @@ def _with_blocks(df: DataFrame, place: Column, blocks: int | None) -> DataFrame:
     return Bucketizer(splits=splits, inputCol="_place", outputCol="_block").transform(placed).drop("_place")
 
 
-def _numeric(df: DataFrame, column: str) -> Column:
-    """The column as a number that keeps its order."""
-    kind = df.schema[column].dataType.typeName()
-    if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    if kind == "timestamp":
-        return F.unix_micros(column)
-    if kind == "date":
-        return F.unix_date(column)
-    return F.col(column)
-
-
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -53,19 +66,23 @@ def running_sums(
 
     ``order`` must tell the rows of a key apart; its first column is a number
     or a time without NULLs. With no keys the whole table is one sequence.
+    ``blocks`` sets the number of blocks; without it the sizes of the keys
+    decide.
     """
-    cut = _with_blocks(df, _numeric(df, order[0]), blocks)
+    blocks = _blocks_needed(df, keys) if blocks is None else blocks
+    to_here = (Window.unboundedPreceding, Window.currentRow)
+    if blocks == 1:
+        along = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*to_here)
+        return df.withColumns({name: F.sum(c).over(along) for name, c in sums.items()})
+
+    cut = _with_blocks(df, order[0], blocks)
     rows = cut.withColumns(dict(sums)).withColumn("_real", F.lit(1))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*keys, "_block").agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     carried = totals.select(
         *keys, "_block", *[F.sum(name).over(earlier).alias(name) for name in sums], F.lit(0).alias("_real")
     )
-    along = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy("_real", *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    along = Window.partitionBy(*keys, "_block").orderBy("_real", *order).rowsBetween(*to_here)
     scanned = rows.unionByName(carried, allowMissingColumns=True)
     scanned = scanned.withColumns({name: F.sum(name).over(along) for name in sums})
     return scanned.where("_real = 1").drop("_real", "_block")
@@ -74,8 +91,15 @@ def running_sums(
 def previous_value(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, blocks: int | None = None
 ) -> DataFrame:
-    """Add the value of the row before, along an order within each key; NULL for the first row."""
-    cut = _with_blocks(df, _numeric(df, order[0]), blocks)
+    """Add the value of the row before, along an order within each key; NULL for the first row.
+
+    ``order`` and ``blocks`` are as in ``running_sums``.
+    """
+    blocks = _blocks_needed(df, keys) if blocks is None else blocks
+    if blocks == 1:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
+
+    cut = _with_blocks(df, order[0], blocks)
     rows = cut.withColumn("_real", F.lit(1))
     newest = F.max_by(F.struct(value), F.struct(*order)).alias("_last")
     lasts = cut.groupBy(*keys, "_block").agg(newest)

@@ -49,10 +49,13 @@ def test_previous_value(spark, blocks):
 
 def test_scans_of_nothing_and_of_one_value(spark):
     empty = spark.createDataFrame([], "key string, day int, id int, amount int")
-    assert running_sums(empty, ["key"], ["day", "id"], {"total": F.col("amount")}).count() == 0
+    for blocks in (None, 4):
+        assert running_sums(empty, ["key"], ["day", "id"], {"total": F.col("amount")}, blocks).count() == 0
+    assert with_position(empty, ["day", "id"]).count() == 0
     same = spark.createDataFrame([("k", 1, i, 1) for i in range(10)], "key string, day int, id int, amount int")
-    got = running_sums(same, ["key"], ["day", "id"], {"total": F.col("amount")})
-    assert sorted(r["total"] for r in got.collect()) == list(range(1, 11))
+    for blocks in (None, 4):
+        got = running_sums(same, ["key"], ["day", "id"], {"total": F.col("amount")}, blocks)
+        assert sorted(r["total"] for r in got.collect()) == list(range(1, 11))
 
 
 def test_a_hot_key_is_cut_into_blocks(spark):
@@ -64,6 +67,18 @@ def test_a_hot_key_is_cut_into_blocks(spark):
     assert "_block" in real.split("windowspecdefinition(")[1].split("unspecified")[0].split(")")[0]
 
 
+def test_the_size_of_keys_decides_on_blocks(spark, monkeypatch):
+    from adflow.operators import scans
+
+    df = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", i) for i in range(300)], "key string, id int")
+    assert scans._blocks_needed(df, ["key"]) == 1
+    assert scans._blocks_needed(df, []) > 1
+    plain = {r["id"]: r["n"] for r in running_sums(df, ["key"], ["id"], {"n": F.lit(1)}).collect()}
+    monkeypatch.setattr(scans, "KEY_ROWS", 10)
+    assert scans._blocks_needed(df, ["key"]) >= 30
+    assert {r["id"]: r["n"] for r in running_sums(df, ["key"], ["id"], {"n": F.lit(1)}).collect()} == plain
+
+
 def test_positions_and_zip(spark):
     left = spark.createDataFrame([(i * 3,) for i in range(50)], "l int")
     right = spark.createDataFrame([(100 - i, f"r{i}") for i in range(70)], "r int, name string")
