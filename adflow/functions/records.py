@@ -47,6 +47,7 @@ def choose_by_number(num: Column, first: Column, second: Column, third: Column)
 
 def typed_case(number: Column, text: Column, email: Column) -> Column:
     """Answer by the kind of value a row holds: a number, a text or an email struct."""
+    # The answers.
     return (
         F.when(number == 1, "one")
         .when(text == "two", "2")

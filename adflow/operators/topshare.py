@@ -27,6 +27,9 @@ from adflow.functions.numbers import int_divide, rate
 from adflow.session import stored
 
 
+FEW_KEYS = 100_000
+
+
 def _band(n: Column, bits: int) -> Column:
     """Coarse band of a non-negative number: its leading bits and its size.
 
@@ -75,7 +78,8 @@ def top_share(
     ``weight`` is a positive integer per row and ``value`` a non-negative one;
     rows without weight have no share and are left out. Equal rates are
     ordered by weight, then value, largest first. ``wanted`` restricts the
-    result to the keys it holds. Step 1 runs at once and writes its result to
+    result to the keys it holds, before step 1 if they are few and after it
+    otherwise, when the sums have become small. Step 1 runs at once and writes its result to
     the shared folder. ``band_rows`` is the size up to which a band goes to one
     window whole; step 2 divides larger ones.
     """
@@ -89,12 +93,20 @@ def top_share(
         .withColumn("_band", _band(F.col("_rate"), 5))
     )
 
+    few = False
+    if wanted is not None:
+        wanted = stored(wanted.select(*keys).distinct(), "wanted")
+        few = wanted.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+    if few:
+        # Small enough for the planner to broadcast: rows of other keys go no further than the scan.
+        rows = rows.join(wanted, list(keys), "left_semi")
+
     # Step 1: rate bands, and the totals of each key from the same sums.
     bands = rows.groupBy(*keys, "_band").agg(
         F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"), F.count(F.lit(1)).alias("_rows")
     )
-    if wanted is not None:
-        bands = bands.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    if wanted is not None and not few:
+        bands = bands.join(wanted, list(keys), "left_semi")
     # The running sums come first: their sort also serves the totals.
     whole = Window.partitionBy(*keys)
     all_w, all_v = F.sum("_w").over(whole), F.sum("_v").over(whole)

@@ -9,8 +9,8 @@ from adflow.operators import pricing
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
 from adflow.operators.topshare import top_share
 from adflow.plans.registry import ORDERS_SQL, STATS_SQL, orders, query, stats
-from adflow.session import fresh_folder
-from adflow.sources import sinks
+from adflow.session import fresh_folder, stored
+from adflow.sources import readers, sinks
 
 RATE = "CAST(trunc({v} / ({w} / 1000.0::DOUBLE)) AS BIGINT)"
 
@@ -84,15 +84,19 @@ priced AS (
   FROM premium)"""
 
 
+def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics as a table of their own: pricing reads them more than once, the join runs once."""
+    return stored(stats(spark, sf_dir, wide=True), "stats")
+
+
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pricing.price_orders(stats(spark, sf_dir), orders(spark, sf_dir))
+    given = stored_stats(spark, sf_dir)
+    return pricing.price_orders(given, stored(orders(spark, sf_dir, given), "orders"))
 
 
 def stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices computed once and kept as a table, for sinks that read them more than once."""
-    path = fresh_folder(spark, "priced")
-    priced(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(priced(spark, sf_dir), "priced")
 
 
 query("price_orders", f"WITH {PRICED_SQL} SELECT * FROM priced")(priced)
@@ -100,7 +104,7 @@ query("price_orders", f"WITH {PRICED_SQL} SELECT * FROM priced")(priced)
 
 @query("top_share_rate", f"WITH {STATS_SQL}, {TOP_SQL} SELECT * FROM top")
 def top_share_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_share(pricing.grains(stats(spark, sf_dir)), ["domain", "size_code"], "impression", "cost")
+    return top_share(pricing.grains(stored_stats(spark, sf_dir)), ["domain", "size_code"], "impression", "cost")
 
 
 @query(
@@ -229,6 +233,4 @@ FROM stats""",
 def mock_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "mock-orders")
     sinks.write_tsv(pricing.mock_orders(stats(spark, sf_dir)), path)
-    from adflow.sources.readers import read_orders
-
-    return read_orders(spark, path)
+    return readers.read_orders(spark, path)

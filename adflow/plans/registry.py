@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from adflow.functions.sizes import size_encode
+from adflow.functions.sizes import WIDTH_MASK, size_encode
+from adflow.session import widened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,8 +77,9 @@ STATS_SQL = """stats AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stats(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lineitem = widened(lineitem) if wide else lineitem
     size = text(F.col("p_size"), "*", F.col("p_size") * 2)
     sized = part.select("p_partkey", size_encode(size).alias("size_code"))
     return lineitem.join(sized, lineitem.l_partkey == sized.p_partkey).select(
@@ -109,25 +111,24 @@ orders_in AS (
   SELECT *, 0 AS creative_styles, 88 AS dsp_id, 'DSP' AS dsp_name FROM asked)"""
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, stats: DataFrame) -> DataFrame:
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     key = F.col("s_suppkey")
-    whole = supplier.select(
+    sites = supplier.select("s_suppkey", F.col("s_name").alias("ssp_name"), text("s", key).alias("domain"))
+    whole = sites.select(
         key.alias("order_key"),
         text("S-", key).alias("order_id"),
-        F.col("s_name").alias("ssp_name"),
-        text("s", key).alias("domain"),
+        "ssp_name",
+        "domain",
         F.lit(0).cast("bigint").alias("size_code"),
     )
-    sizes = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "p_size").distinct()
-    size = F.col("p_size")
-    sized = supplier.join(sizes, supplier.s_suppkey == sizes.l_suppkey).select(
+    size = F.col("size_code").bitwiseAND(F.lit(WIDTH_MASK).cast("bigint"))
+    sized = sites.join(stats.select("domain", "size_code").distinct(), "domain").select(
         (key * 1000 + size).alias("order_key"),
         text("Z-", key, "-", size).alias("order_id"),
-        F.col("s_name").alias("ssp_name"),
-        text("s", key).alias("domain"),
-        size_encode(text(size, "*", size * 2)).alias("size_code"),
+        "ssp_name",
+        "domain",
+        "size_code",
     )
     n = F.col("n_nationkey")
     unknown = nation.select(

@@ -17,7 +17,7 @@ SIMPLE_STATS = """\
 1	9223372032561204273	abc.com	1	7500	5	200	1	960*60
 2	2455123	abc.com	1	2000	10	1000	1	960*60
 3	9223372032560524225	abc.com	1	10000	25	1800	1	960*60
-4	9223372032562425138	baidu.com	4	100	5	200	1	960*90
+4	9223372032562425138	other.com	4	100	5	200	1	960*90
 5	9223372032560524225	abc.com	1	150	0	0	1	960*60
 6	9223372032560975139	google.com	5	100	5	200	1	960*60
 7	9223372032560524225	abc.com	1	1	1	50	1	960*60
@@ -173,6 +173,18 @@ def test_top_share_of_nothing(spark):
         top_share(empty, ["key"], "w", "v", share=1.5)
 
 
+@pytest.mark.parametrize("few", [0, 100])
+def test_top_share_of_wanted_keys(spark, monkeypatch, few):
+    from adflow.operators import topshare
+
+    monkeypatch.setattr(topshare, "FEW_KEYS", few)
+    df = spark.createDataFrame(random_rows(seed=4, keys=30), "key string, w bigint, v bigint")
+    wanted = spark.createDataFrame([("k3",), ("hot",), ("hot",), ("nowhere",)], "key string")
+    got = {tuple(r) for r in top_share(df, ["key"], "w", "v", wanted=wanted).collect()}
+    every = top_share(df, ["key"], "w", "v")
+    assert got == {tuple(r) for r in every.where("key in ('k3', 'hot')").collect()} and len(got) == 2
+
+
 def test_best_channel_ties_go_to_the_lowest(spark):
     rows = [("d", 5, 1000, 10), ("d", 2, 1000, 10), ("d", 9, 1000, 1)]
     got = best_by_rate(spark.createDataFrame(rows, "domain string, dsp int, w bigint, v bigint"), ["domain"], "dsp", "w", "v")
