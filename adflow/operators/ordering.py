@@ -34,10 +34,12 @@ def drop_n(df: DataFrame, n: int, *order: str) -> DataFrame:
         return df
     place = F.struct(*order)
     first_n = df.select(*order).orderBy(*order).limit(n)
-    edge = first_n.agg(F.max(place).alias("_edge"), F.count(F.lit(1)).alias("_n")).first()
-    if edge["_n"] < n:
+    edge = first_n.agg(F.max(place).alias("_edge"), F.count(F.lit(1)).alias("_n"))
+    # Texts keep their value on the way through the driver, whatever the time zones there.
+    found = edge.select("_n", *[F.col(f"_edge.{c}").cast("string").alias(c) for c in order]).first()
+    if found["_n"] < n:
         return df.where(F.lit(False))
-    last = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, edge["_edge"])])
+    last = F.struct(*[F.lit(found[c]).cast(df.schema[c].dataType).alias(c) for c in order])
     return df.where(place > last)
 
 

@@ -36,7 +36,9 @@ def _numeric(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.typeName()
     place = F.col(column)
     if kind == "timestamp_ntz":
-        place = F.unix_micros(place.cast("timestamp"))
+        # Clock time as such: a cast to a timestamp would skip or repeat hours in some time zones.
+        day, second = F.unix_date(place.cast("date")), F.date_part(F.lit("SECOND"), place)
+        place = day * 86400.0 + F.hour(place) * 3600 + F.minute(place) * 60 + second.cast("double")
     elif kind == "timestamp":
         place = F.unix_micros(place)
     elif kind == "date":

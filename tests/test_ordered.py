@@ -151,6 +151,29 @@ def test_take_drop_first(spark):
     assert ordering.first_match(df, F.col("n") > 5, "n").first()["n"] == 6
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "double", "decimal(9,3)", "string"])
+def test_order_columns_of_any_kind_and_time_zone(spark, kind):
+    from test_skew import settings
+
+    with settings(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}):
+        # Half hours around the spring change of clocks, or numbers.
+        clock = F.make_timestamp_ntz(
+            F.lit(2024), F.lit(3), F.lit(9) + F.floor(F.col("id") / 48), F.floor(F.col("id") / 2) % 24,
+            (F.col("id") % 2) * 30, F.lit(0.25),
+        )
+        value = {"double": F.col("id") / 7, "decimal(9,3)": F.col("id") / 8, "string": F.lpad(F.col("id").cast("string"), 4, "0")}
+        place = value.get(kind, clock).cast(kind)
+        df = spark.range(100).select("id", place.alias("at"))
+        df = df if kind == "timestamp_ntz" else df.dropDuplicates(["at"])
+        # In a zone that changes its clocks, rows of one instant are no sequence.
+        rows = sorted((r["at"], r["id"]) for r in df.collect())
+        kept = {r["id"] for r in ordering.drop_n(df, 7, "at", "id").collect()}
+        assert kept == {i for _, i in rows[7:]}
+        if kind != "string":
+            got = running_sums(df, [], ["at", "id"], {"n": F.lit(1)}, blocks=6).collect()
+            assert {r["id"]: r["n"] for r in got} == {i: n + 1 for n, (_, i) in enumerate(rows)}
+
+
 def test_sorting(spark):
     people = [("Aaron", "Jeffrey", "Smith"), ("Aaron", "Bailey", "Zanthar"), ("Brian", "Adams", "Smith")]
     df = spark.createDataFrame(people, "first string, middle string, last string")
