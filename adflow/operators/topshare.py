@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from adflow.functions.numbers import int_divide, rate
 from adflow.session import stored
 
-
+# So many keys at most are filtered before step 1.
 FEW_KEYS = 100_000
 
 
@@ -77,11 +77,13 @@ def top_share(
 
     ``weight`` is a positive integer per row and ``value`` a non-negative one;
     rows without weight have no share and are left out. Equal rates are
-    ordered by weight, then value, largest first. ``wanted`` restricts the
-    result to the keys it holds, before step 1 if they are few and after it
-    otherwise, when the sums have become small. Step 1 runs at once and writes its result to
-    the shared folder. ``band_rows`` is the size up to which a band goes to one
-    window whole; step 2 divides larger ones.
+    ordered by weight, then value, largest first.
+
+    ``wanted`` restricts the result to the keys it holds, before step 1 if they
+    are few and after it otherwise, when the sums have become small.
+    ``band_rows`` is the size up to which a band goes to one window whole; step
+    2 divides larger ones. Step 1 runs at once and writes its result to the
+    shared folder.
     """
     if not 0.0 < share < 1.0:
         raise ValueError("share must lie between 0 and 1")
@@ -96,7 +98,7 @@ def top_share(
     few = False
     if wanted is not None:
         wanted = stored(wanted.select(*keys).distinct(), "wanted")
-        few = wanted.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+        few = wanted.count() <= FEW_KEYS
     if few:
         # Small enough for the planner to broadcast: rows of other keys go no further than the scan.
         rows = rows.join(wanted, list(keys), "left_semi")

@@ -44,7 +44,8 @@ FROM supplier LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_reg
 def lookup_default_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     known = nation.join(region, nation.n_regionkey == region.r_regionkey).where("r_name <> 'ASIA'")
-    known = known.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("first"), F.col("r_name").alias("last"))
+    names = [F.col("n_name").alias("first"), F.col("r_name").alias("last")]
+    known = known.select(F.col("n_nationkey").alias("s_nationkey"), *names)
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     found = lookups.lookup_record(suppliers, known, "s_nationkey", {"first": "John", "last": "Doe"})
     return found.select("s_suppkey", "record.*")

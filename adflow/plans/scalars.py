@@ -246,7 +246,8 @@ def array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "array_remove",
-    f"""SELECT l_orderkey, array_to_string(list_filter({LIST_SQL}, lambda x: x <> l_linenumber), ',') AS kept FROM lineitem""",
+    f"""SELECT l_orderkey, array_to_string(list_filter({LIST_SQL}, lambda x: x <> l_linenumber), ',') AS kept
+FROM lineitem""",
 )
 def array_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = F.array_remove(line_list(), F.col("l_linenumber").cast("bigint"))
@@ -323,8 +324,8 @@ def map_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "path_select",
-    """SELECT event_id, json_extract_string(props, '$.k') AS k, coalesce(json_extract_string(props, '$.k.x'), 'none') AS missing,
-  'u' || user_id AS nested FROM events""",
+    """SELECT event_id, json_extract_string(props, '$.k') AS k,
+  coalesce(json_extract_string(props, '$.k.x'), 'none') AS missing, 'u' || user_id AS nested FROM events""",
 )
 def path_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = F.create_map(F.lit("last"), text("u", F.col("user_id")))

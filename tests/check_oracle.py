@@ -78,7 +78,8 @@ def main() -> int:
             continue
         problem = difference(got, expected)
         if problem is None and kinds(got) != kinds(expected):
-            print(f"     {key} kinds {[(c, k, kinds(expected)[c]) for c, k in kinds(got).items() if kinds(expected)[c] != k]}")
+            other = kinds(expected)
+            print(f"     {key} kinds {[(c, k, other[c]) for c, k in kinds(got).items() if other[c] != k]}")
         bad += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {key} {len(got)} {took:.1f}s {problem or ''}"[:1500], flush=True)
     print("bad:", bad)

@@ -124,8 +124,10 @@ def test_lookup_record_and_distinct(spark):
 def test_movie_chains(spark):
     users = spark.createDataFrame([("1", "Mike"), ("42", "Nobody")], "user_id string, name string")
     favorites = spark.createDataFrame([("1", "101")], "user_id string, movie_id string")
-    videos = spark.createDataFrame([("101", "Interview With Cast", 480), ("101", "Gigli", 7260)], "movie_id string, title string, length int")
-    assert {r["title"] for r in lookups.favorite_videos(users, favorites, videos).collect()} == {"Interview With Cast", "Gigli"}
+    parts = [("101", "Interview With Cast", 480), ("101", "Gigli", 7260)]
+    videos = spark.createDataFrame(parts, "movie_id string, title string, length int")
+    found = lookups.favorite_videos(users, favorites, videos).collect()
+    assert {r["title"] for r in found} == {"Interview With Cast", "Gigli"}
     movies = spark.createDataFrame([("100", "A Movie"), ("200", "B Movie")], "movie_id string, title string")
     liked = spark.createDataFrame([("1", "100"), ("1", "200")], "user_id string, movie_id string")
     got = lookups.favorite_movies(liked, movies).collect()
