@@ -103,15 +103,20 @@ def learn_profiles(labelled: DataFrame, lang: str = "lang", text: str = "text",
 class Profiles:
     """Learned profiles as arrays: a row of ranks for each n-gram that any profile has."""
 
-    def __init__(self, rows: pd.DataFrame, size: int):
-        self.size = size
-        self.langs = sorted(rows["lang"].unique())
-        known = np.unique(rows["code"].to_numpy(np.int64))
-        self.place = np.full(1 << CODE_BITS, len(known), np.int32)
-        self.place[known] = np.arange(len(known))
-        self.ranks = np.full((len(known) + 1, max(1, len(self.langs))), -1, np.int32)
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        self.ranks[self.place[rows["code"].to_numpy(np.int64)], rows["lang"].map(at).to_numpy(np.int64)] = rows["rank"]
+    def __init__(self, langs: list[str], place: np.ndarray, ranks: np.ndarray, size: int):
+        self.langs, self.place, self.ranks, self.size = langs, place, ranks, size
+
+    @staticmethod
+    def arrays(rows: pd.DataFrame, size: int) -> tuple[list[str], np.ndarray, np.ndarray, int]:
+        langs = sorted(rows["lang"].unique())
+        codes = rows["code"].to_numpy(np.int64)
+        known = np.unique(codes)
+        place = np.full(1 << CODE_BITS, len(known), np.int32)
+        place[known] = np.arange(len(known))
+        ranks = np.full((len(known) + 1, max(1, len(langs))), -1, np.int32)
+        at = {lang: i for i, lang in enumerate(langs)}
+        ranks[place[codes], rows["lang"].map(at).to_numpy(np.int64)] = rows["rank"]
+        return langs, place, ranks, size
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """The language at the least distance, and one minus that distance as a share of the greatest."""
@@ -131,12 +136,11 @@ def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", size: int
     The profiles come to the driver: at most ``size`` rows for each language.
     """
     _letter_table()
-    learned = Profiles(profiles.toPandas(), size)
-    sent = docs.sparkSession.sparkContext.broadcast(learned)
+    sent = docs.sparkSession.sparkContext.broadcast(Profiles.arrays(profiles.toPandas(), size))
 
     @F.pandas_udf("lang_pred string, score double")
     def nearest(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = sent.value
+        model = Profiles(*sent.value)
         for part in texts:
             yield pd.DataFrame([model.nearest(t) for t in part], columns=["lang_pred", "score"])
 

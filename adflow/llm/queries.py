@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import language, simhash
-from adflow.session import stored
+from adflow.llm import bpe, language, simhash, token_files
+from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FOLDS = 5
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=3, distance=2)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "token-files")
+    token_files.write_token_files(read(spark, sf_dir, "documents").select("doc_id", "text"), folder, TOKENIZER)
+    back = token_files.read_token_files(spark, folder)
+    return back.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
@@ -33,9 +42,23 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    back = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    listed = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return back.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
+    "op6_token_files": op6_token_files,
     "op7_language": op7_language,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES: dict[str, str] = {}
