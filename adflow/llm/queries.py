@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, language, simhash, token_files
+from adflow.llm import bpe, language, secrets, simhash, token_files
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,11 +54,79 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.find_secrets(docs, ["doc_id"], repository="doc_id", owner="source")
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+
+    def count(test) -> Column:
+        return F.size(F.filter(spans, test)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(lambda s: s["kind"] == 0).alias("n_assign"),
+        count(lambda s: s["kind"] == 1).alias("n_access"),
+        count(lambda s: s["kind"] == 2).alias("n_hex"),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+        count(lambda s: s["live"]).alias("n_owner_specific"),
+        count(lambda s: ~s["live"]).alias("n_copied"),
+    )
+
+
+def _spans_sql(kind: int, pattern: str, value: str, keep: str) -> str:
+    """Spans of one kind: the lengths of the texts between matches and of the matches, added up."""
+    return f"""
+  SELECT doc_id, source, {kind} AS kind, here + gap AS "start", here + gap + length(found) AS "end", {value} AS value
+  FROM (
+    SELECT *, coalesce(sum(gap + length(found)) OVER (
+      PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS here
+    FROM (
+      SELECT doc_id, source, unnest(regexp_extract_all(text, '{pattern}')) AS found,
+             unnest([length(g) FOR g IN regexp_split_to_array(text, '{pattern}')[:-2]]) AS gap,
+             unnest(range(len(regexp_extract_all(text, '{pattern}')))) AS i
+      FROM documents WHERE regexp_matches(text, '{pattern}')))
+  WHERE {keep}"""
+
+
+_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token"))
+_ASSIGN_SQL = (
+    f"({_WORDS}|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+_ASSIGNED = f"regexp_extract(found, '{_ASSIGN_SQL}', 2)"
+OP10_SQL = f"""WITH spans AS ({" UNION ALL ".join([
+    _spans_sql(0, _ASSIGN_SQL, _ASSIGNED, f"length({_ASSIGNED}) >= 12"),
+    _spans_sql(1, "AKIA[A-Z0-9]+", "found", "length(found) >= 18"),
+    _spans_sql(2, "[0-9a-f]+", "found", "length(found) >= 16"),
+    _spans_sql(3, secrets.WIDE, "found", "regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[0-9]')"),
+])}),
+owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {secrets.MAX_OWNERS} AS live FROM spans GROUP BY value),
+told AS (
+  SELECT s.*, live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || "start" || ':' || "end" AS written
+  FROM spans s JOIN owned USING (value)),
+kept AS (
+  SELECT * FROM told t WHERE kind < 3 OR (live AND NOT EXISTS (
+    SELECT 1 FROM told b WHERE b.doc_id = t.doc_id AND b.kind < 3 AND b."start" < t."end" AND t."start" < b."end"))),
+sums AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex,
+         string_agg(written, ',' ORDER BY "start", kind) FILTER (kind < 3) AS base,
+         string_agg(written, ',' ORDER BY "start", kind) AS spans,
+         count(*) FILTER (live) AS n_owner_specific, count(*) FILTER (NOT live) AS n_copied
+  FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_copied, 0) AS n_copied
+FROM documents d LEFT JOIN sums USING (doc_id)"""
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op9_bpe": op9_bpe,
+    "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_secrets": OP10_SQL}
