@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, language, secrets, simhash, token_files
+from adflow.llm import bpe, credentials, language, simhash, token_files
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +56,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = secrets.find_secrets(docs, ["doc_id"], repository="doc_id", owner="source")
+    found = credentials.find_secrets(docs, ["doc_id"], repository="doc_id", owner="source")
     spans = F.col("secrets")
     base = F.filter(spans, lambda s: s["kind"] < 3)
 
@@ -68,8 +68,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(lambda s: s["kind"] == 0).alias("n_assign"),
         count(lambda s: s["kind"] == 1).alias("n_access"),
         count(lambda s: s["kind"] == 2).alias("n_hex"),
-        F.sha2(secrets.written(base), 256).alias("base_sha256"),
-        secrets.written(spans).alias("spans"),
+        F.sha2(credentials.written(base), 256).alias("base_sha256"),
+        credentials.written(spans).alias("spans"),
         count(lambda s: s["live"]).alias("n_owner_specific"),
         count(lambda s: ~s["live"]).alias("n_copied"),
     )
@@ -99,9 +99,9 @@ OP10_SQL = f"""WITH spans AS ({" UNION ALL ".join([
     _spans_sql(0, _ASSIGN_SQL, _ASSIGNED, f"length({_ASSIGNED}) >= 12"),
     _spans_sql(1, "AKIA[A-Z0-9]+", "found", "length(found) >= 18"),
     _spans_sql(2, "[0-9a-f]+", "found", "length(found) >= 16"),
-    _spans_sql(3, secrets.WIDE, "found", "regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[0-9]')"),
+    _spans_sql(3, credentials.WIDE, "found", "regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[0-9]')"),
 ])}),
-owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {secrets.MAX_OWNERS} AS live FROM spans GROUP BY value),
+owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {credentials.MAX_OWNERS} AS live FROM spans GROUP BY value),
 told AS (
   SELECT s.*, live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || "start" || ':' || "end" AS written
   FROM spans s JOIN owned USING (value)),
