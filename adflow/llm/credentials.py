@@ -160,9 +160,12 @@ def mask_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     max_owners: int = MAX_OWNERS,
+    length: str | None = None,
 ) -> DataFrame:
     """All rows and columns, with live-looking secrets masked in the text; widely copied examples stay.
 
+    A column named as ``length`` gets the new length of the texts that change.
+
     What is found in a text depends on the text and the corpus only, so findings
     are joined by the text's digest: repeated rows and null ids need no key.
     """
@@ -173,5 +176,10 @@ def mask_secrets(
     (secrets,) = fresh_name(keyed, "secrets_found")
     live = stored(live.select(digest, F.col("secrets").alias(secrets)), "live")
     joined = keyed.join(live, digest, "left")
-    clean = F.when(F.col(secrets).isNull(), column(docs, text)).otherwise(masked(column(docs, text), F.col(secrets)))
-    return joined.select(*[clean.alias(c) if c == text else column(docs, c) for c in docs.columns])
+    unchanged = F.col(secrets).isNull()
+    clean = F.when(unchanged, column(docs, text)).otherwise(masked(column(docs, text), F.col(secrets)))
+    new = {text: clean}
+    if length:
+        chars = F.length(clean).cast(docs.schema[length].dataType)
+        new[length] = F.when(unchanged, column(docs, length)).otherwise(chars)
+    return joined.select(*[new[c].alias(c) if c in new else column(docs, c) for c in docs.columns])

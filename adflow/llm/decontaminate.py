@@ -49,7 +49,7 @@ OVERSAMPLING = 16
 BLOCK_WORDS = 40_000
 STOP_SHARE = 0.1
 """Words in more than this share of documents say nothing about a passage."""
-COSINE = 0.2
+COSINE = 0.12
 SURE = 0.7
 LIKELY = 0.5
 ANSWERED = 0.6

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, credentials, language, simhash, token_files
+from adflow.llm import bpe, credentials, decontaminate, language, shards, simhash, token_files
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, shingle=3, distance=2)
@@ -42,6 +47,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.assign_shards(read(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
@@ -122,9 +134,11 @@ FROM documents d LEFT JOIN sums USING (doc_id)"""
 
 
 QUERIES: dict[str, Query] = {
+    "op3_leaks": op3_leaks,
     "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
+    "op8_shards": op8_shards,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
 }
