@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, credentials, decontaminate, language, shards, simhash, token_files
+from adflow.llm import bpe, credentials, decontaminate, language, shards, simhash, token_files, warc
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "archive")
+    warc.write_archive(read(spark, sf_dir, "pages"), folder)
+    records = warc.read_archive(spark, folder)
+    head = F.col("warc_header")
+    return records.select(
+        F.col("id").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        warc.header(head, "WARC-Type").alias("record_type"),
+        F.regexp_extract(warc.header(head, "WARC-Refers-To"), "<urn:page:(.*)>", 1).cast("long").alias("refers_to"),
+    )
+
+
+OP1_SQL = """WITH marked AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+         coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, max(page_id) AS response_id FROM marked WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response_id IS DISTINCT FROM page_id AND response_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response_id IS DISTINCT FROM page_id THEN response_id END AS refers_to
+FROM marked LEFT JOIN firsts USING (html)"""
+
+
 def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark)
@@ -134,6 +158,7 @@ FROM documents d LEFT JOIN sums USING (doc_id)"""
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op3_leaks": op3_leaks,
     "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
@@ -143,4 +168,4 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {"op10_secrets": OP10_SQL}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op10_secrets": OP10_SQL}
