@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adflow.llm.tables import column, fresh_name
+from adflow.llm.tables import column, fresh_name, words_of
 from adflow.session import stored
 
 STEP = 16
@@ -55,14 +55,9 @@ LIKELY = 0.5
 ANSWERED = 0.6
 ANSWER_WORDS = 4
 """Without an answer column, the answer is the item's last sentence, or this many last words if that is shorter."""
-_BLANKS = bytes(b if chr(b).isalnum() or b >= 0x80 else 32 for b in range(256))
 _ROWS = 250
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_BLANKS).split()
-
-
 class Item:
     """A passage of a benchmark item with its words and the answer's words."""
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, credentials, decontaminate, language, shards, simhash, token_files, warc
+from adflow.llm import bpe, credentials, decontaminate, fingerprints, language, shards, simhash, token_files, warc
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=3, distance=2)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    terms = stored(fingerprints.lexicon(docs), "lexicon")
+    compared = fingerprints.compare_edits(docs, terms)
+    return compared.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
     token_files.write_token_files(read(spark, sf_dir, "documents").select("doc_id", "text"), folder, TOKENIZER)
@@ -161,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op3_leaks": op3_leaks,
     "op4_simhash": op4_simhash,
+    "op5_fingerprints": op5_fingerprints,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op8_shards": op8_shards,

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,18 +30,19 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.coalesce(column(df, name).cast("string"), F.lit(""))
 
 
+_BLANKS = bytes(b if chr(b).isalnum() or b >= 0x80 else 32 for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Words in lower case: runs of anything but ASCII white space and punctuation."""
+    return (text or "").lower().encode("utf-8", "replace").translate(_BLANKS).split()
+
+
 def flat(value: str | None) -> str:
     """A text as a Python string; null and NaN are the empty text."""
     return value if isinstance(value, str) else ""
 
 
-def slices(frames: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of a bounded number of rows."""
-    for frame in frames:
-        for start in range(0, len(frame), rows):
-            yield frame.iloc[start : start + rows]
-
-
 def global_order(df: DataFrame, order: list[Column], keep: list[Column], label: str, partitions: int | None = None) -> DataFrame:
     """Rows numbered from 0 in a total order, in the column ``position``.
 
