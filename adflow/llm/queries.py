@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, credentials, decontaminate, fingerprints, language, shards, simhash, token_files, warc
+from adflow.llm import bpe, credentials, decontaminate, fingerprints, language, shards, simhash, surrogates, token_files, warc
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked LEFT JOIN firsts USING (html)"""
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs)
+
+
 def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark)
@@ -169,6 +174,7 @@ FROM documents d LEFT JOIN sums USING (doc_id)"""
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_surrogates": op2_surrogates,
     "op3_leaks": op3_leaks,
     "op4_simhash": op4_simhash,
     "op5_fingerprints": op5_fingerprints,
