@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,27 @@ def array_sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
+def array_concat(a: Column, b: Column) -> Column:
+    """The elements of one list, then those of another."""
+    return F.concat(a, b)
+
+
+def array_drop(a: Column, n: int) -> Column:
+    """All elements but the first n."""
+    return F.slice(a, n + 1, F.greatest(F.size(a), F.lit(1)))
+
+
+def array_find(a: Column, meets: Callable[[Column], Column]) -> Column:
+    """The first element that meets a condition; NULL if none does."""
+    return F.get(F.filter(a, meets), 0)
+
+
+def array_partition(a: Column, meets: Callable[[Column], Column]) -> Column:
+    """A struct of the elements that meet a condition (``yes``) and those that do not (``no``)."""
+    known = lambda x: F.coalesce(meets(x), F.lit(False))
+    return F.struct(F.filter(a, known).alias("yes"), F.filter(a, lambda x: ~known(x)).alias("no"))
+
+
 def zip_short(a: Column, b: Column) -> Column:
     """Zip two lists by position, cut to the shorter one."""
     n = F.least(F.size(a), F.size(b))

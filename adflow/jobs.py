@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
 from adflow.operators import model, pricing, rollups  # noqa: E402
 from adflow.operators.ordering import shard_by_modulo  # noqa: E402
-from adflow.session import stored  # noqa: E402
+from adflow.session import remove_written, stored  # noqa: E402
 from adflow.sources import generators, readers, sinks  # noqa: E402
 from adflow.streaming import batches  # noqa: E402
 
@@ -24,7 +24,7 @@ def report_log(spark: SparkSession, source: str, target: str, shards: int = 10)
     """Roll up an ad log by user, plan and group, and write it in shards by group."""
     log = readers.read_strict(spark, source, readers.REPORT_LOG)
     sums = rollups.rollup(log, ["user_id", "plan_id", "group_id"], ["show", "clk", "cost"])
-    sinks.write_tsv(shard_by_modulo(sums, "group_id", shards).drop("shard"), target)
+    sinks.write_tsv_shards(shard_by_modulo(sums, "group_id", shards), target, "shard")
 
 
 def make_log(spark: SparkSession, target: str, groups: int = 1_000_000, batch_count: int = 100) -> None:
@@ -48,6 +48,7 @@ def price(
     priced = spark.read.parquet(f"{target}/priced")
     sinks.write_result_headers(priced, f"{target}/results")
     sinks.write_results(priced, f"{target}/results")
+    sinks.write_outcome_messages(priced, f"{target}/messages")
     sinks.write_statements(priced, run_date, f"{target}/statements")
     return priced
 
@@ -59,9 +60,10 @@ def supply_side(spark: SparkSession, source: str, target: str) -> None:
     sinks.write_lines(rejected, F.col("_line"), f"{target}/rejected")
 
 
-def salaries(spark: SparkSession, source: str) -> DataFrame:
-    """Average salary per team."""
-    return rollups.avg_by_group(readers.read_strict(spark, source, readers.SALARY), "team", "salary")
+def salaries(spark: SparkSession, source: str, target: str) -> None:
+    """Average salary per team, as tab-separated text."""
+    teams = readers.read_strict(spark, source, readers.SALARY)
+    sinks.write_tsv(rollups.avg_by_group(teams, "team", "salary"), target)
 
 
 def stream_words(spark: SparkSession, source: str, target: str, checkpoint: str, seconds: int | None) -> StreamingQuery:
@@ -106,7 +108,7 @@ def main() -> None:
         "make-log": ["target"],
         "price": ["stats", "orders", "target", "run_date"],
         "supply-side": ["source", "target"],
-        "salaries": ["source"],
+        "salaries": ["source", "target"],
         "stream-words": ["source", "target", "checkpoint", "seconds"],
         "stream-clicks": ["source", "blacklist", "target", "checkpoint", "seconds"],
         "survey": ["source", "target"],
@@ -124,13 +126,16 @@ def main() -> None:
         "make-log": make_log,
         "price": price,
         "supply-side": supply_side,
-        "salaries": lambda *a: salaries(*a).show(),
+        "salaries": salaries,
         "stream-words": lambda *a: stream_words(*a).awaitTermination(),
         "stream-clicks": lambda *a: stream_clicks(*a).awaitTermination(),
         "survey": survey,
     }
-    runs[name](spark, *values)
-    spark.stop()
+    try:
+        runs[name](spark, *values)
+    finally:
+        remove_written(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

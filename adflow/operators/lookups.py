@@ -9,7 +9,9 @@ of an aggregate are written to the shared folder first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +20,24 @@ from adflow.session import stored
 
 
 def require_unique(dim: DataFrame, key: str) -> None:
-    """Raise an error if a dictionary holds a key twice.
+    """Raise an error if a dictionary holds a key twice; NULL keys match nothing and may repeat.
 
     The check is a job of its own. The join then reads the dictionary itself,
     not the outcome of an aggregate: its size is known, and adaptive execution
     can split hot keys on the other side.
     """
-    repeated = dim.groupBy(key).count().where("count > 1").first()
+    repeated = dim.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").first()
     if repeated is not None:
         raise ValueError(f"repeated dictionary key {repeated[key]}")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, where NULL equals NULL; the left ones are kept."""
+    names = {c: f"_right_{c}" for c in on}
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,

@@ -82,8 +82,9 @@ def model_params(spark: SparkSession, model: LogisticRegressionModel) -> DataFra
     return spark.createDataFrame([row], schema)
 
 
-def predict(model: LogisticRegressionModel, test: DataFrame) -> DataFrame:
-    return model.transform(test).select("features", "rawPrediction", "probability", "prediction")
+def predict(model: LogisticRegressionModel, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Scores of test rows, next to columns that tell the rows apart."""
+    return model.transform(test).select(*keep, "features", "rawPrediction", "probability", "prediction")
 
 
 def objective_history(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:

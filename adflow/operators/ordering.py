@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import draw
+from adflow.operators.scans import with_position
 
 
 def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
@@ -26,21 +27,13 @@ def take_n(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
 def drop_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """All rows but the first n in ascending order of some columns.
 
-    The columns must tell all rows apart. A top-n finds the last row to drop,
-    and the rest are the rows after it. An offset would send all rows through
-    one task.
+    The columns must tell all rows apart. Rows are numbered range by range, so
+    neither the dropped rows nor the rest pass through one task, as they would
+    with an offset.
     """
     if n <= 0:
         return df
-    place = F.struct(*order)
-    first_n = df.select(*order).orderBy(*order).limit(n)
-    edge = first_n.agg(F.max(place).alias("_edge"), F.count(F.lit(1)).alias("_n"))
-    # Texts keep their value on the way through the driver, whatever the time zones there.
-    found = edge.select("_n", *[F.col(f"_edge.{c}").cast("string").alias(c) for c in order]).first()
-    if found["_n"] < n:
-        return df.where(F.lit(False))
-    last = F.struct(*[F.lit(found[c]).cast(df.schema[c].dataType).alias(c) for c in order])
-    return df.where(place > last)
+    return with_position(df, order, "_position").where(F.col("_position") > n).drop("_position")
 
 
 def first_match(df: DataFrame, predicate: Column, *order: str | Column) -> DataFrame:
@@ -66,12 +59,11 @@ def set_difference(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
 
 
 def shard_by_modulo(df: DataFrame, column: str, shards: int = 10) -> DataFrame:
-    """Place each row in the partition of its id modulo the number of shards.
+    """Mark each row with its shard: its id modulo the number of shards.
 
-    Meant for the output of a roll-up, which holds each key once.
+    ``sinks.write_tsv_shards`` writes one folder per shard.
     """
-    shard = F.pmod(F.col(column), F.lit(shards)).cast("int")
-    return df.withColumn("shard", shard).repartitionById(shards, "shard")
+    return df.withColumn("shard", F.pmod(F.col(column), F.lit(shards)).cast("int"))
 
 
 def spread(df: DataFrame, partitions: int = 8) -> DataFrame:

@@ -31,11 +31,10 @@ def audit_flag(premium: Column, best_rate: Column, high: float = 3.0, low: float
     return F.when(best_rate == 0, F.lit(True)).otherwise((ratio > high) | (ratio < low))
 
 
-def grains(stats: DataFrame) -> DataFrame:
-    """Each row once for its whole domain (size 0) and once for its own size."""
-    whole, own = F.lit(0).cast("bigint"), F.col("size_code")
-    both = F.when(own == 0, F.array(whole)).otherwise(F.array(whole, own))
-    return stats.select("domain", F.explode(both).alias("size_code"), "impression", "cost")
+def best_shares(stats: DataFrame, share: float = 0.25, wanted: DataFrame | None = None) -> DataFrame:
+    """The best share of each domain as a whole (size 0) and of each of its sizes."""
+    whole = {"size_code": F.lit(0).cast("bigint")}
+    return top_share(stats, ["domain", "size_code"], "impression", "cost", share, wanted=wanted, coarser=whole)
 
 
 def price_orders(
@@ -53,9 +52,9 @@ def price_orders(
     The rates of keys and domains are computed at once.
     """
     asked = orders.select("domain", "size_code").distinct()
-    priced = top_share(
-        grains(stats), ["domain", "size_code"], "impression", "cost", share, wanted=asked
-    ).select("domain", "size_code", "top_rate", F.col("all_rate").alias("original_rate"))
+    priced = best_shares(stats, share, asked).select(
+        "domain", "size_code", "top_rate", F.col("all_rate").alias("original_rate")
+    )
     channels = best_by_rate(stats, ["domain"], "dsp_id", "impression", "cost").withColumnRenamed(
         "best_dsp_id", "best_channel"
     )
@@ -131,6 +130,19 @@ def result_headers(priced: DataFrame) -> DataFrame:
     return priced.groupBy("status").count().select("status", text.alias("header"))
 
 
+def outcome_messages(priced: DataFrame) -> DataFrame:
+    """One message per outcome with its number of orders, for outcomes without any too."""
+    # The messages of the summary.
+    said = [
+        ("success", "Successful PD order num is %d"),
+        ("audit", "Auditable PD order num is %d"),
+        ("fail", "Failed to cacludate PD order num is %d"),
+    ]
+    counts = priced.agg(*[F.count(F.when(F.col("status") == status, 1)).alias(status) for status, _ in said])
+    rows = [F.struct(F.lit(s).alias("status"), F.format_string(m, F.col(s)).alias("message")) for s, m in said]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def price_statements(
     priced: DataFrame,
     run_date: str,

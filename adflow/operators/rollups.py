@@ -79,7 +79,7 @@ def clean_word_count(
     pattern: str = WHITESPACE,
     strip: str = ".",
 ) -> DataFrame:
-    """Count words: lower-case, split, strip, drop stop words and empty words; sorted by word.
+    """Count words: lower-case, split, strip, drop stop words and empty words.
 
     A list of stop words becomes a filter, a table of them (column ``word``)
     an anti join.
@@ -89,25 +89,23 @@ def clean_word_count(
     if isinstance(stop_words, DataFrame):
         # Count first: the join then sees each word once, however often it occurs.
         counted = counted.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-        return counted.join(stop_words.select("word"), "word", "left_anti").orderBy("word")
+        return counted.join(stop_words.select("word"), "word", "left_anti")
     if stop_words:
         counted = counted.where(~F.col("word").isin(*stop_words))
-    return counted.groupBy("word").agg(F.count(F.lit(1)).alias("count")).orderBy("word")
+    return counted.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def grade_histogram(df: DataFrame, grade: str, width: int | None = None) -> DataFrame:
-    """Count and bar of stars per letter, sorted by letter.
+def grade_histogram(df: DataFrame, grade: str, width: int = 60) -> DataFrame:
+    """Count and bar of stars per letter, sorted by letter; the longest bar has ``width`` stars.
 
-    One star per row, or, with ``width``, bars in proportion with the longest
-    that many stars long.
+    Bars are in proportion, so that no text grows with the rows. With the
+    largest count as the width there is one star per row.
     """
     letter = grade_letter(F.col(grade)).alias("letter")
     counts = df.groupBy(letter).agg(F.count(F.lit(1)).alias("count"))
-    stars = F.col("count")
-    if width is not None:
-        # A window over the few letters, not over rows.
-        longest = F.max("count").over(Window.partitionBy())
-        stars = F.ceil(F.col("count") * width / longest)
+    # A window over the few letters, not over rows.
+    longest = F.max("count").over(Window.partitionBy())
+    stars = F.ceil(F.col("count") * width / longest)
     return counts.withColumn("bar", F.repeat(F.lit("*"), stars.cast("int"))).orderBy("letter")
 
 

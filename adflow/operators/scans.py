@@ -1,60 +1,28 @@
 """Ordered scans that stay parallel inside one hot key.
 
-A plain window puts all rows of a key into one task. That is fine up to a
-number of rows, which is checked. Beyond it, and for scans over a whole table,
-the order column is cut into blocks of about equal size, found from quantiles
-of the data. A small table holds what each block passes on to the next, and its
-rows enter the block's window in front of the real ones. A task then sees one
-block of one key.
+Rows are range-partitioned and sorted by the keys and all order columns, and
+written with the number of their partition. A key that spans partitions hands
+on, per partition, one small row with what the later ones need: its sums, or its
+last value. That row enters the window of the next partition in front of the
+real ones, so no task sees more of a key than one partition holds. The same path
+serves every size and every type that Spark can sort.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY_ROWS = 1_000_000
-MOST_BLOCKS = 4096
-
-
-def _blocks_needed(df: DataFrame, keys: Sequence[str]) -> int:
-    """1 if no key holds more than ``KEY_ROWS`` rows, else blocks of about that size."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    if keys and (largest or 0) <= KEY_ROWS:
-        return 1
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return min(MOST_BLOCKS, max(2 * cores, math.ceil((total or 0) / KEY_ROWS)))
-
-
-def _numeric(df: DataFrame, column: str) -> Column:
-    """The column as a double that keeps its order."""
-    kind = df.schema[column].dataType.typeName()
-    place = F.col(column)
-    if kind == "timestamp_ntz":
-        # Clock time as such: a cast to a timestamp would skip or repeat hours in some time zones.
-        day, second = F.unix_date(place.cast("date")), F.date_part(F.lit("SECOND"), place)
-        place = day * 86400.0 + F.hour(place) * 3600 + F.minute(place) * 60 + second.cast("double")
-    elif kind == "timestamp":
-        place = F.unix_micros(place)
-    elif kind == "date":
-        place = F.unix_date(place)
-    return place.cast("double")
-
-
-def _with_blocks(df: DataFrame, order: str, blocks: int) -> DataFrame:
-    """Number the block of each row along an order; blocks never overlap."""
-    placed = df.withColumn("_place", _numeric(df, order))
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(placed.approxQuantile("_place", shares, 0.1 / blocks)))
-    if not cuts:
-        return placed.withColumn("_block", F.lit(0.0)).drop("_place")
-    splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(splits=splits, inputCol="_place", outputCol="_block").transform(placed).drop("_place")
+from adflow.session import stored
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None) -> DataFrame:
+    """The rows with ``_part``, the number of their range of the keys and the order."""
+    count = [] if parts is None else [parts]
+    ranged = df.repartitionByRange(*count, *keys, *order)
+    return stored(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
 
 
 def running_sums(
@@ -62,61 +30,52 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[str],
     sums: Mapping[str, Column],
-    blocks: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add running sums, this row included, along an order within each key.
 
-    ``order`` must tell the rows of a key apart; its first column is a number
-    or a time without NULLs. With no keys the whole table is one sequence.
-    ``blocks`` sets the number of blocks; without it the sizes of the keys
-    decide.
+    ``order`` must tell the rows of a key apart, else rows that tie are summed
+    in any order. With no keys the whole table is one sequence. ``parts`` sets
+    the number of ranges; without it Spark's shuffle settings do.
     """
-    blocks = _blocks_needed(df, keys) if blocks is None else blocks
-    to_here = (Window.unboundedPreceding, Window.currentRow)
-    if blocks == 1:
-        along = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*to_here)
-        return df.withColumns({name: F.sum(c).over(along) for name, c in sums.items()})
-
-    cut = _with_blocks(df, order[0], blocks)
-    rows = cut.withColumns(dict(sums)).withColumn("_real", F.lit(1))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy(*keys, "_block").agg(*[F.sum(c).alias(name) for name, c in sums.items()])
-    carried = totals.select(
-        *keys, "_block", *[F.sum(name).over(earlier).alias(name) for name in sums], F.lit(0).alias("_real")
+    rows = _ranged(df, keys, order, parts).withColumns(dict(sums)).withColumn("_real", F.lit(1))
+    totals = rows.groupBy(*keys, "_part").agg(*[F.sum(name).alias(name) for name in sums])
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    handed = totals.select(
+        *keys, "_part", *[F.sum(name).over(earlier).alias(name) for name in sums], F.lit(0).alias("_real")
     )
-    along = Window.partitionBy(*keys, "_block").orderBy("_real", *order).rowsBetween(*to_here)
-    scanned = rows.unionByName(carried, allowMissingColumns=True)
+    along = (
+        Window.partitionBy(*keys, "_part")
+        .orderBy("_real", *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    scanned = rows.unionByName(handed, allowMissingColumns=True)
     scanned = scanned.withColumns({name: F.sum(name).over(along) for name in sums})
-    return scanned.where("_real = 1").drop("_real", "_block")
+    return scanned.where("_real = 1").drop("_real", "_part")
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, blocks: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, parts: int | None = None
 ) -> DataFrame:
     """Add the value of the row before, along an order within each key; NULL for the first row.
 
-    ``order`` and ``blocks`` are as in ``running_sums``.
+    ``order`` and ``parts`` are as in ``running_sums``.
     """
-    blocks = _blocks_needed(df, keys) if blocks is None else blocks
-    if blocks == 1:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    cut = _with_blocks(df, order[0], blocks)
-    rows = cut.withColumn("_real", F.lit(1))
+    rows = _ranged(df, keys, order, parts).withColumn("_real", F.lit(1))
     newest = F.max_by(F.struct(value), F.struct(*order)).alias("_last")
-    lasts = cut.groupBy(*keys, "_block").agg(newest)
-    by_block = Window.partitionBy(*keys).orderBy("_block")
-    carried = lasts.select(
-        *keys, "_block", F.lag(f"_last.{value}").over(by_block).alias(value), F.lit(0).alias("_real")
+    lasts = rows.groupBy(*keys, "_part").agg(newest)
+    by_part = Window.partitionBy(*keys).orderBy("_part")
+    handed = lasts.select(
+        *keys, "_part", F.lag(f"_last.{value}").over(by_part).alias(value), F.lit(0).alias("_real")
     )
-    along = Window.partitionBy(*keys, "_block").orderBy("_real", *order)
-    scanned = rows.unionByName(carried, allowMissingColumns=True).withColumn(out, F.lag(value).over(along))
-    return scanned.where("_real = 1").drop("_real", "_block")
+    along = Window.partitionBy(*keys, "_part").orderBy("_real", *order)
+    scanned = rows.unionByName(handed, allowMissingColumns=True).withColumn(out, F.lag(value).over(along))
+    return scanned.where("_real = 1").drop("_real", "_part")
 
 
-def with_position(df: DataFrame, order: Sequence[str], out: str = "position", blocks: int | None = None) -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[str], out: str = "position", parts: int | None = None) -> DataFrame:
     """Number all rows from 1 along an order."""
-    return running_sums(df, [], order, {out: F.lit(1).cast("bigint")}, blocks)
+    return running_sums(df, [], order, {out: F.lit(1).cast("bigint")}, parts)
 
 
 def zip_tables(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adflow.operators.lookups import null_safe_join
 from adflow.operators.scans import previous_value, running_sums
 from adflow.session import stored
 
@@ -64,20 +65,22 @@ def validate_transitions(
     return steps.groupBy(entity).agg(F.bool_and(legal).alias("valid"), first_bad.alias("first_bad"))
 
 
-def contiguous_prefix(df: DataFrame, key: str, page: str, start: int = 1) -> DataFrame:
-    """Pages of each key from the start up to the first missing one.
+def contiguous_prefix(df: DataFrame, key: str, page: str, start: int = 1, pages: int | None = None) -> DataFrame:
+    """Pages of each key from the start up to the first missing one, or the first ``pages`` of these.
+
+    Rows without a key are one more key.
 
     A page ends a run if its successor is missing; the first such page at or
     after the start ends the prefix. Both joins are on values, not on a sorted
     group, so a key with very many pages stays spread.
     """
-    pages = df.select(key, page).where(F.col(page) >= start).distinct()
-    successors = pages.select(key, (F.col(page) - 1).alias(page))
-    ends = (
-        pages.join(successors, [key, page], "left_anti")
-        .groupBy(key)
-        .agg(F.min(page).alias("_end"))
-    )
-    opened = pages.where(F.col(page) == start).select(key)
-    ends = stored(ends.join(opened, key, "left_semi"), "prefix-ends")
-    return df.join(ends, key).where((F.col(page) >= start) & (F.col(page) <= F.col("_end"))).drop("_end")
+    wanted = F.col(page) >= start
+    if pages is not None:
+        wanted = wanted & (F.col(page) < start + pages)
+    there = df.select(key, page).where(wanted).distinct()
+    successors = there.select(key, (F.col(page) - 1).alias(page))
+    gaps = null_safe_join(there, successors, [key, page], "left_anti")
+    ends = gaps.groupBy(key).agg(F.min(page).alias("_end"))
+    opened = there.where(F.col(page) == start).select(key)
+    ends = stored(null_safe_join(ends, opened, [key], "left_semi"), "prefix-ends")
+    return null_safe_join(df.where(wanted), ends, [key]).where(F.col(page) <= F.col("_end")).drop("_end")

@@ -8,28 +8,26 @@ found in three steps instead, each over aggregates that shrink before the
 shuffle:
 
 1. sums per coarse rate band place the boundary in one band of each key;
-2. if a band holds many rows, sums per exact rate and coarse weight band place
-   the boundary in one such cell of it;
-3. within the band or cell, equal rows are counted, and the boundary row is
-   found.
+2. sums per exact rate and coarse weight band place the boundary in one such
+   cell of the band;
+3. within the cell, equal rows are counted, and the boundary row is found.
 
 Windows run over bands and distinct values only, never over raw rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import int_divide, rate
+from adflow.operators.lookups import null_safe_join
 from adflow.session import stored
 
-# So many keys at most are filtered before step 1.
-FEW_KEYS = 100_000
-
-
 def _band(n: Column, bits: int) -> Column:
     """Coarse band of a non-negative number: its leading bits and its size.
 
@@ -71,22 +69,22 @@ def top_share(
     share: float = 0.25,
     scale: float = 1000.0,
     wanted: DataFrame | None = None,
-    band_rows: int = 1_000_000,
+    coarser: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per key: weight, value and rate of its best share, and the rate of all its rows.
 
     ``weight`` is a positive integer per row and ``value`` a non-negative one;
     rows without weight have no share and are left out. Equal rates are
-    ordered by weight, then value, largest first.
+    ordered by weight, then value, largest first. NULL is a key like others.
 
-    ``wanted`` restricts the result to the keys it holds, before step 1 if they
-    are few and after it otherwise, when the sums have become small.
-    ``band_rows`` is the size up to which a band goes to one window whole; step
-    2 divides larger ones. Step 1 runs at once and writes its result to the
-    shared folder.
+    ``wanted`` restricts the result to the keys it holds. With ``coarser``
+    (values for some key columns) each row also counts for the key that has
+    these values in place of its own; the sums are added up for it, not the
+    rows. Step 1 runs at once and writes its result to the shared folder.
     """
     if not 0.0 < share < 1.0:
         raise ValueError("share must lie between 0 and 1")
+    coarser = dict(coarser or {})
     w, v = F.col(weight).cast("bigint"), F.col(value).cast("bigint")
     rows = (
         df.select(*keys, w.alias("_weight"), v.alias("_value"))
@@ -95,20 +93,16 @@ def top_share(
         .withColumn("_band", _band(F.col("_rate"), 5))
     )
 
-    few = False
-    if wanted is not None:
-        wanted = stored(wanted.select(*keys).distinct(), "wanted")
-        few = wanted.count() <= FEW_KEYS
-    if few:
-        # Small enough for the planner to broadcast: rows of other keys go no further than the scan.
-        rows = rows.join(wanted, list(keys), "left_semi")
-
     # Step 1: rate bands, and the totals of each key from the same sums.
-    bands = rows.groupBy(*keys, "_band").agg(
-        F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"), F.count(F.lit(1)).alias("_rows")
-    )
-    if wanted is not None and not few:
-        bands = bands.join(wanted, list(keys), "left_semi")
+    bands = rows.groupBy(*keys, "_band").agg(F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"))
+    if coarser:
+        finer = reduce(or_, [~F.col(k).eqNullSafe(c) for k, c in coarser.items()])
+        both = F.when(finer, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        raised = bands.withColumn("_up", F.explode(both))
+        raised = raised.withColumns({k: F.when(F.col("_up"), c).otherwise(F.col(k)) for k, c in coarser.items()})
+        bands = raised.groupBy(*keys, "_band").agg(F.sum("_w").alias("_w"), F.sum("_v").alias("_v"))
+    if wanted is not None:
+        bands = null_safe_join(bands, wanted.select(*keys), keys, "left_semi")
     # The running sums come first: their sort also serves the totals.
     whole = Window.partitionBy(*keys)
     all_w, all_v = F.sum("_w").over(whole), F.sum("_v").over(whole)
@@ -119,17 +113,22 @@ def top_share(
     state = ["_target", "_all_w", "_all_v", "_w0", "_v0"]
     # One row per key, written out: the planner then knows whether it can broadcast it, and the
     # rows of step 2 are shuffled before the join only if it cannot.
-    in_band = stored(_boundary(bands).select(*keys, "_band", "_rows", *state), "bands")
-    largest = in_band.agg(F.max("_rows")).first()[0] or 0
-
-    # Step 2: only rows of the boundary band go on, equal rows as one row and a count.
+    in_band = stored(_boundary(bands).select(*keys, "_band", *state), "bands")
+
+    # Step 2: only rows of the boundary band go on, equal rows as one row and a count, and of
+    # these only the cell of exact rate and coarse weight that the boundary lies in.
+    own = {c: f"_own_{c}" for c in [*keys, "_band"]}
+    renamed = rows.withColumnsRenamed(own)
+    same = F.col("_own__band") == F.col("_band")
+    for k in keys:
+        alike = F.col(own[k]).eqNullSafe(F.col(k))
+        same = same & (alike | F.col(k).eqNullSafe(coarser[k]) if k in coarser else alike)
     close = (
-        rows.join(in_band.drop("_rows"), [*keys, "_band"])
+        renamed.join(in_band, same)
         .groupBy(*keys, "_rate", "_weight", "_value", *state)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    if largest > band_rows:
-        close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"), 9)), keys, state)
+    close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"), 9)), keys, state)
 
     # Step 3: the boundary row, and the equal rows in front of it.
     sums = {"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")}
@@ -154,4 +153,4 @@ def _within_cell(close: DataFrame, keys: Sequence[str], state: Sequence[str]) ->
     cells = close.groupBy(*keys, "_rate", "_weight_band", *state).agg(*sums)
     in_cell = _boundary(_running(cells, keys, ["_rate", "_weight_band"]))
     in_cell = in_cell.select(*keys, "_rate", "_weight_band", "_w0", "_v0")
-    return close.drop("_w0", "_v0").join(in_cell, [*keys, "_rate", "_weight_band"])
+    return null_safe_join(close.drop("_w0", "_v0"), in_cell, [*keys, "_rate", "_weight_band"])

@@ -159,7 +159,10 @@ def parse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ssp_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Supply-side lines with blanks of any kind; open lines lack a field and must be rejected."""
+    """Supply-side lines with blanks of any kind, also at their end; open lines lack a field and must be rejected.
+
+    Returned goods cost more than an int can hold in cents.
+    """
     fields = [
         F.col("l_suppkey"),
         F.lit("  x\t"),
@@ -168,9 +171,9 @@ def ssp_folder(spark: SparkSession, sf_dir: str) -> str:
         F.lit("\tz"),
         F.col("l_linenumber"),
         F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("int").cast("string")).otherwise(""),
-        F.col("l_extendedprice").cast("string"),
+        F.when(F.col("l_returnflag") == "R", "30000000.5").otherwise(F.col("l_extendedprice").cast("string")),
     ]
-    line = F.concat_ws(" ", *[f.cast("string") for f in fields])
+    line = F.concat(F.concat_ws(" ", *[f.cast("string") for f in fields]), F.lit(" \t"))
     path = fresh_folder(spark, "ssp")
     sinks.write_lines(table(spark, sf_dir, "lineitem"), line, path)
     return path
@@ -178,7 +181,7 @@ def ssp_folder(spark: SparkSession, sf_dir: str) -> str:
 
 SSP_SQL = """ssp AS (
   SELECT l_suppkey AS tu, 's' || l_partkey AS "domain", l_linenumber AS spv, CAST(l_quantity AS INTEGER) AS clk,
-         CAST(trunc(l_extendedprice * 100) AS INTEGER) AS cost
+         CASE WHEN l_returnflag = 'R' THEN 2147483647 ELSE CAST(trunc(l_extendedprice * 100) AS INTEGER) END AS cost
   FROM lineitem WHERE l_linestatus = 'F')"""
 
 
@@ -188,7 +191,8 @@ SSP_SQL = """ssp AS (
 SELECT false AS rejected, concat_ws('|', tu, "domain", spv, clk, cost) AS "row" FROM ssp
 UNION ALL
 SELECT true, l_suppkey || '   x' || chr(9) || ' y  s' || l_partkey || ' ' || chr(9) || 'z ' || l_linenumber
-  || '  ' || l_extendedprice FROM lineitem WHERE l_linestatus <> 'F'""",
+  || '  ' || CASE WHEN l_returnflag = 'R' THEN '30000000.5' ELSE CAST(l_extendedprice AS VARCHAR) END
+  || ' ' || chr(9) FROM lineitem WHERE l_linestatus <> 'F'""",
 )
 def parse_ssp(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, rejected = readers.read_ssp(spark, ssp_folder(spark, sf_dir))
@@ -229,7 +233,8 @@ def scan_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def tokens_to_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "tokens")
-    line = F.concat(text(F.col("l_partkey")), F.lit(" \t "), text(F.col("l_suppkey"), " ", F.col("l_linenumber")))
+    # Lines with blanks at either end, and a blank line after each.
+    line = text("\t", F.col("l_partkey"), " \t ", F.col("l_suppkey"), " ", F.col("l_linenumber"), " \n \t")
     sinks.write_lines(table(spark, sf_dir, "lineitem"), line, path)
     return readers.tokens_to_ints(readers.read_lines(spark, path))
 
@@ -241,24 +246,29 @@ def count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.count_lines(spark, path)
 
 
-@query("file_prefix_bytes", "SELECT DISTINCT rpad(o_orderpriority, 10, '.')[1:10] AS prefix FROM orders")
+@query(
+    "file_prefix_bytes",
+    "SELECT DISTINCT o_orderpriority AS kind, rpad(o_orderpriority, 10, '.')[1:10] AS prefix FROM orders",
+)
 def file_prefix_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
     line = text(F.rpad(priority, 10, "."), " ", F.col("o_orderkey"))
     path = fresh_folder(spark, "prefixes")
     lines = table(spark, sf_dir, "orders").select(priority.alias("kind"), line.alias("value"))
-    lines.write.partitionBy("kind").text(path)
+    # One file for each kind, so that a file that is lost or read twice shows.
+    lines.repartition("kind").write.partitionBy("kind").text(path)
     heads = readers.file_prefix(spark, path, 10)
-    return heads.select(F.decode("prefix", "UTF-8").alias("prefix")).distinct()
+    kind = F.regexp_replace(F.regexp_extract("path", "kind=([^/]*)/", 1), "%20", " ")
+    return heads.select(kind.alias("kind"), F.decode("prefix", "UTF-8").alias("prefix"))
 
 
-PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("5-LOW", 5)]
+PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]
 
 
 @query(
     "literal_table",
-    """SELECT o_orderkey, "rank" FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('5-LOW', 5))
-  AS p(o_orderpriority, "rank") USING (o_orderpriority)""",
+    """SELECT o_orderkey, "rank" FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3),
+  ('4-NOT SPECIFIED', 4), ('5-LOW', 5)) AS p(o_orderpriority, "rank") USING (o_orderpriority)""",
 )
 def literal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = readers.literal_table(spark, PRIORITIES, "o_orderpriority string, rank int")
@@ -305,16 +315,32 @@ def gen_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generators.purchases(table(spark, sf_dir, "events"), "event_id")
 
 
+# Line items as pages of their supplier's book; parts leave gaps, one book has no name.
+PAGES_SQL = """pages AS (
+  SELECT l_orderkey, l_linenumber, nullif('b' || l_suppkey, 'b1') AS book, l_partkey % 200 + 1 AS page FROM lineitem),
+there AS (SELECT DISTINCT book, page FROM pages),
+runs AS (SELECT book, page, page - row_number() OVER (PARTITION BY book ORDER BY page) AS gap FROM there),
+prefix AS (
+  SELECT p.* FROM pages p JOIN runs r ON p.book IS NOT DISTINCT FROM r.book AND p.page = r.page WHERE gap = 0)"""
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = F.nullif(text("b", F.col("l_suppkey")), F.lit("b1")).alias("book")
+    page = (F.col("l_partkey") % 200 + 1).alias("page")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", book, page)
+
+
 @query(
     "contiguous_pages",
-    """WITH kept AS (SELECT conv_id, turn FROM conversations WHERE length(text) >= 100),
-firsts AS (
-  SELECT conv_id, turn, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) + 1 AS gap FROM kept)
-SELECT conv_id, turn FROM firsts WHERE gap = 0""",
+    f"WITH {PAGES_SQL} SELECT l_orderkey, l_linenumber, book, page FROM prefix",
 )
 def contiguous_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where(F.length("text") >= 100).select("conv_id", "turn")
-    return contiguous_prefix(turns, "conv_id", "turn", start=0)
+    return contiguous_prefix(pages(spark, sf_dir), "book", "page")
+
+
+@query("contiguous_first_pages", f"WITH {PAGES_SQL} SELECT l_orderkey, l_linenumber, book, page FROM prefix WHERE page <= 5")
+def contiguous_first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contiguous_prefix(pages(spark, sf_dir), "book", "page", pages=5)
 
 
 @query(

@@ -157,13 +157,10 @@ def favorite_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "chained_lookup",
     """SELECT c_custkey AS user_id, o_orderkey AS movie_id, l_linenumber, l_quantity
-FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey
-WHERE c_mktsegment = 'BUILDING' AND o_orderstatus = 'F'""",
+FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def chained_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
-    favorites = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
-    videos = table(spark, sf_dir, "lineitem")
+    users, favorites, videos = (table(spark, sf_dir, name) for name in ("customer", "orders", "lineitem"))
     return lookups.favorite_videos(
         users.select(F.col("c_custkey").alias("user_id")),
         favorites.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("movie_id")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adflow.operators import model
 from adflow.plans.registry import draw_sql, joined, query, table
-from adflow.session import stored, widened
+from adflow.session import stored
 
 SURVEY_SQL = """survey AS (
   SELECT l_orderkey * 8 + l_linenumber AS answer_id,
@@ -30,7 +30,7 @@ encoded AS (
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, line = F.col("l_quantity"), F.col("l_linenumber")
     supplier, part = F.col("l_suppkey"), F.col("l_partkey")
-    return widened(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 8 + line).alias("answer_id"),
         F.when(quantity + 3 * line + supplier % 20 > 45, line).otherwise(0).alias("affairs"),
         F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("gender"),
@@ -106,9 +106,9 @@ def ml_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ml_predict")
 def ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained, test = fitted(spark, sf_dir)
-    scored = model.predict(trained, test)
+    scored = model.predict(trained, test, ["answer_id"])
     vectors = [vector_to_array(c).alias(c) for c in ("features", "rawPrediction", "probability")]
-    return scored.select(*vectors, "prediction")
+    return scored.select("answer_id", *vectors, "prediction")
 
 
 @query("ml_summary")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from adflow.operators import pricing
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
-from adflow.operators.topshare import top_share
 from adflow.plans.registry import ORDERS_SQL, STATS_SQL, orders, query, stats
 from adflow.session import fresh_folder, stored
 from adflow.sources import readers, sinks
@@ -86,7 +85,7 @@ priced AS (
 
 def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics as a table of their own: pricing reads them more than once, the join runs once."""
-    return stored(stats(spark, sf_dir, wide=True), "stats")
+    return stored(stats(spark, sf_dir), "stats")
 
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,9 +101,14 @@ def stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 query("price_orders", f"WITH {PRICED_SQL} SELECT * FROM priced")(priced)
 
 
-@query("top_share_rate", f"WITH {STATS_SQL}, {TOP_SQL} SELECT * FROM top")
+NAMELESS_SQL = STATS_SQL.replace("'s' || l_suppkey AS domain", "nullif('s' || l_suppkey, 's1') AS domain")
+
+
+@query("top_share_rate", f"WITH {NAMELESS_SQL}, {TOP_SQL} SELECT * FROM top")
 def top_share_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_share(pricing.grains(stored_stats(spark, sf_dir)), ["domain", "size_code"], "impression", "cost")
+    """One domain has no name, and must not be lost."""
+    nameless = stats(spark, sf_dir).withColumn("domain", F.nullif("domain", F.lit("s1")))
+    return pricing.best_shares(stored(nameless, "stats"))
 
 
 @query(

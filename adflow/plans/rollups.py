@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from adflow.functions.numbers import percent_discount
 from adflow.operators import rollups
-from adflow.operators.ordering import shard_by_modulo
+from adflow.operators.ordering import shard_by_modulo, sort_rows
 from adflow.operators.sequences import ledger_total, running_valid, validate_transitions
 from adflow.plans.files import LOG_SQL, report_log
 
 from adflow.plans.registry import STATS_SQL, cents, query, stats, table, text, words_sql
-from adflow.session import widened
 
 
 @query(
@@ -66,12 +65,10 @@ def report_log_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     "shard_by_modulo",
     f"""WITH log AS ({LOG_SQL})
 SELECT user_id, plan_id, group_id, CAST(sum("show") AS BIGINT) AS "show", CAST(sum(clk) AS BIGINT) AS clk,
-  CAST(sum(cost) AS BIGINT) AS cost, group_id % 10 AS shard, group_id % 10 AS partition FROM log GROUP BY ALL""",
+  CAST(sum(cost) AS BIGINT) AS cost, group_id % 10 AS shard FROM log GROUP BY ALL""",
 )
 def log_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_by_modulo(report_log_rollup(spark, sf_dir), "group_id", 10).withColumn(
-        "partition", F.spark_partition_id()
-    )
+    return shard_by_modulo(report_log_rollup(spark, sf_dir), "group_id", 10)
 
 
 @query(
@@ -89,7 +86,7 @@ def rollup_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("word_count_clean", f"""WITH {words_sql('documents')} SELECT word, "count" FROM word_counts WHERE word <> 'the'""")
 def word_count_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.clean_word_count(widened(table(spark, sf_dir, "documents").select("text")), "text", ["the"])
+    return sort_rows(rollups.clean_word_count(table(spark, sf_dir, "documents"), "text", ["the"]), "word")
 
 
 GRADED_SQL = "(l_quantity / 10) AS grade"

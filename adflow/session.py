@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,24 +33,37 @@ def local_session(cpus: str | int = "*", app: str = "adflow", **conf: str) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local session that names none gets a temporary folder of its own. A
-    cluster session must name one: a machine-local folder would lose data
-    with the machine.
+    A session in one JVM (``local[...]``) that names none gets a folder of its
+    own, which is removed when Python ends. A cluster session must name one: a
+    machine-local folder would lose data with the machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="adflow-")
+        folder = tempfile.mkdtemp(prefix="adflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[context.applicationId] = folder
     return _local_folders[context.applicationId]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of all that this application writes between its steps."""
+    return f"{shared_folder(spark)}/adflow/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/adflow/{label}-{uuid.uuid4().hex}"
+    """A path below the run's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove the run's folder. Call it when a run has written its results."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -61,13 +76,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def widened(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores where the input has fewer splits than cores.
-
-    A few files that cannot be split would keep most of the cores idle. Tables
-    of many files stay as they are. Meant for tables as they are read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -86,15 +86,22 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
 
 
 def parse_lines(
-    lines: DataFrame, fields: Sequence[Field], sep: str = "\t", count: int | None = None, strict: bool = False
+    lines: DataFrame,
+    fields: Sequence[Field],
+    sep: str = "\t",
+    count: int | None = None,
+    strict: bool = False,
+    trim_end: bool = False,
 ) -> DataFrame:
     """Lines cut into typed fields, with ``_line`` and ``_ok`` added.
 
     A row is fine if every field is present and has its type, and, with
     ``count``, if the line has exactly that many fields; further fields are
-    ignored otherwise. ``strict`` makes a bad row an error.
+    ignored otherwise. ``strict`` makes a bad row an error. ``trim_end`` leaves
+    out white space at the end of a line before it is cut.
     """
-    cut = lines.select(F.col("value").alias("_line"), F.split("value", sep).alias("_cut"))
+    text = F.regexp_replace("value", r"\s+$", "") if trim_end else F.col("value")
+    cut = lines.select(F.col("value").alias("_line"), F.split(text, sep).alias("_cut"))
     parsed = cut.select(
         "_line",
         "_cut",
@@ -115,9 +122,10 @@ def read_delimited(
     sep: str = "\t",
     encoding: str = "UTF-8",
     count: int | None = None,
+    trim_end: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected lines with nothing lost."""
-    parsed = parse_lines(read_lines(spark, path, encoding), fields, sep, count)
+    parsed = parse_lines(read_lines(spark, path, encoding), fields, sep, count, trim_end=trim_end)
     good = parsed.where("_ok").drop("_ok", "_line")
     return good, parsed.where("not _ok").select("_line")
 
@@ -141,9 +149,15 @@ def read_orders(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Data
 
 
 def read_ssp(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Supply-side rows of exactly 8 fields, cost in truncated cents, and rejected lines."""
-    good, rejected = read_delimited(spark, path, SSP, sep=r"\s+", count=8)
-    return good.withColumn("cost", (F.col("price") * 100).cast("int")).drop("price"), rejected
+    """Supply-side rows of exactly 8 fields, cost in truncated cents, and rejected lines.
+
+    White space at the end of a line is no field. Costs beyond the range of an
+    int are cut to its ends; a price that is no number costs 0.
+    """
+    good, rejected = read_delimited(spark, path, SSP, sep=r"\s+", count=8, trim_end=True)
+    cents = F.least(F.greatest(F.col("price") * 100, F.lit(-2147483648.0)), F.lit(2147483647.0))
+    cost = F.when(F.isnan("price"), 0).otherwise(cents.cast("int"))
+    return good.withColumn("cost", cost).drop("price"), rejected
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -154,8 +168,8 @@ def read_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tokens_to_ints(lines: DataFrame) -> DataFrame:
-    """All white-space separated tokens as ints; a token that is none fails the job."""
-    token = F.explode(F.split(F.trim("value"), r"\s+")).alias("token")
+    """All white-space separated tokens as ints; a token that is none fails the job, a blank line has none."""
+    token = F.explode(F.filter(F.split("value", r"\s+"), lambda t: t != "")).alias("token")
     number = F.col("token").try_cast("int")
     failure = F.raise_error(F.concat(F.lit("not a number: "), F.col("token"))).cast("int")
     return lines.select(token).select(F.coalesce(number, failure).alias("number"))
@@ -166,7 +180,11 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_prefix(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
-    """First bytes of each file below a path; no more than these bytes are read."""
+    """Path, length and first bytes of each file below a path; no more than these bytes are read.
+
+    Spark's own binary source reads whole files, so each file is opened in the
+    task instead, by the file system that its address names.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,6 +195,7 @@ def file_prefix(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
             for path in batch["path"]:
                 scheme, _, rest = path.partition(":")
                 rest = rest if rest.startswith("//") else f"//{rest}"
+                scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
                 system, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@=')}")
                 with system.open_input_file(name) as stream:
                     found.append(stream.read(n))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.operators.pricing import price_statements, result_headers, result_lines
+from adflow.operators.pricing import outcome_messages, price_statements, result_headers, result_lines
 from adflow.sources.readers import java_charsets, line_of
 
 
@@ -14,6 +14,16 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.select(line_of(*[F.col(c) for c in df.columns]).alias("value")).write.mode(mode).text(path)
 
 
+def write_tsv_shards(df: DataFrame, path: str, shard: str) -> None:
+    """A folder of tab-separated text for each value of a column, which is not written itself.
+
+    A rebalancing exchange brings a shard's rows together and cuts a large shard
+    into partitions of the advised size, so several tasks write it.
+    """
+    line = line_of(*[F.col(c) for c in df.columns if c != shard]).alias("value")
+    df.select(line, shard).hint("rebalance", F.col(shard)).write.partitionBy(shard).text(path)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
     df.write.mode(mode).csv(path, sep=sep)
 
@@ -42,6 +52,11 @@ def write_result_headers(priced: DataFrame, path: str) -> None:
     headers.write.mode("append").partitionBy("status").text(path)
 
 
+def write_outcome_messages(priced: DataFrame, path: str) -> None:
+    """The summary of outcomes as text, one line each."""
+    outcome_messages(priced).select(F.col("message").alias("value")).write.mode("errorifexists").text(path)
+
+
 def write_statements(priced: DataFrame, run_date: str, path: str, **tables: str) -> None:
     """One SQL statement per result as text."""
     statements = price_statements(priced, run_date, **tables)

@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from adflow.functions.numbers import draw_unit  # noqa: E402
 from adflow.operators.rollups import estimate_pi  # noqa: E402
 from adflow.plans.catalog import QUERIES  # noqa: E402
-from adflow.session import local_session  # noqa: E402
+from adflow.session import local_session, remove_written  # noqa: E402
 
 HEADLINES = [
     "tpch_q1",
@@ -84,6 +84,7 @@ def main() -> None:
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": int(cpus),
     }
+    remove_written(spark)
     spark.stop()
     print(json.dumps(result))
 

@@ -51,7 +51,7 @@ def difference(got: pd.DataFrame, expected: pd.DataFrame) -> str | None:
 
 def main() -> int:
     from adflow.plans.catalog import ORACLES, QUERIES
-    from adflow.session import local_session
+    from adflow.session import local_session, remove_written
 
     sf_dir, keys = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = local_session(8)
@@ -83,6 +83,7 @@ def main() -> int:
         bad += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {key} {len(got)} {took:.1f}s {problem or ''}"[:1500], flush=True)
     print("bad:", bad)
+    remove_written(spark)
     return bad
 
 

@@ -13,12 +13,13 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 @pytest.fixture(scope="session")
 def spark():
-    from adflow.session import local_session
+    from adflow.session import local_session, remove_written
 
     folder = tempfile.mkdtemp(prefix="adflow-tests-")
     session = local_session(4, "adflow-tests", spark__sql__shuffle__partitions="4", spark__checkpoint__dir=folder)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_written(session)
     session.stop()
 
 

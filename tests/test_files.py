@@ -61,7 +61,7 @@ def test_encodings(spark, folder, encoding):
 
 
 def test_tokens(spark, folder):
-    path = write(spark, folder, "12 3", "  4\t5 ", "6")
+    path = write(spark, folder, "12 3", "  4\t5 ", "", "\t6", " \t ")
     assert sorted(r["number"] for r in readers.tokens_to_ints(readers.read_lines(spark, path)).collect()) == [3, 4, 5, 6, 12]
     with pytest.raises(Exception, match="not a number: x"):
         readers.tokens_to_ints(readers.read_lines(spark, write(spark, folder, "1 x"))).collect()
@@ -108,17 +108,21 @@ def test_pricing_job(spark, folder):
     priced = jobs.price(spark, stats, orders, target, "2016-01-31")
     assert [(r["status"], r["ssp_name"]) for r in priced.collect()] == [("audit", "ABC网站")]
     assert lines_of(spark, f"{target}/results")[1] == "Output audit results, num=1"
+    assert lines_of(spark, f"{target}/messages") == [
+        "Auditable PD order num is 1", "Failed to cacludate PD order num is 0", "Successful PD order num is 0",
+    ]
     assert lines_of(spark, f"{target}/statements")[0].startswith("insert ignore into pre_order_audit(")
 
 
 def test_supply_side_job(spark, folder):
-    source = write(spark, folder, "7 a b x.com c 10 2 3.99", "7 a b x.com c 5 1 0.10", "broken line")
+    source = write(spark, folder, "7 a b x.com c 10 2 3.99 ", "7 a b x.com c 5 1 0.10\t", "broken line", "8 a b y c 1 1 30000000")
     target = folder("ssp")
     jobs.supply_side(spark, source, target)
-    assert lines_of(spark, f"{target}/sums") == ["7\tx.com\t15\t3\t409"]
+    assert lines_of(spark, f"{target}/sums") == ["7\tx.com\t15\t3\t409", "8\ty\t1\t1\t2147483647"]
     assert lines_of(spark, f"{target}/rejected") == ["broken line"]
 
 
 def test_salaries_job(spark, folder):
     path = write(spark, folder, "Reds\ta\t100\tP", "Reds\tb\t200\tC", "Mets\tc\t5\tP")
-    assert sorted(tuple(r) for r in jobs.salaries(spark, path).collect()) == [("Mets", 5.0), ("Reds", 150.0)]
+    jobs.salaries(spark, path, target := folder("averages"))
+    assert lines_of(spark, target) == ["Mets\t5.0", "Reds\t150.0"]

@@ -156,6 +156,14 @@ def test_arrays(spark):
     assert got == (
         [4, 8], [50, 51, 52, 53, 54], "apples", ["oranges", "pears"], True, 55, [50], [0, 2, 5, 7], [1, 2, 3, 4, 5],
     )
+    four = F.array(*[F.lit(i) for i in (1, 2, 3, 4)])
+    even = lambda x: x % 2 == 0
+    parts = one(spark, arrays.array_partition(four, even))[0]
+    assert (parts["yes"], parts["no"]) == ([2, 4], [1, 3])
+    assert one(
+        spark, arrays.array_concat(strings("a"), strings("b")), arrays.array_drop(four, 3), arrays.array_drop(four, 9),
+        arrays.array_find(four, lambda x: x > 2), arrays.array_find(four, lambda x: x > 9),
+    ) == (["a", "b"], [4], [], 3, None)
     zipped = one(spark, arrays.zip_short(F.array(F.lit(1), F.lit(2), F.lit(3)), strings("a", "b")))[0]
     assert [tuple(z) for z in zipped] == [(1, "a"), (2, "b")]
     assert one(spark, arrays.array_tail(F.array().cast("array<int>")), arrays.array_head(F.array())) == ([], None)

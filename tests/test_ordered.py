@@ -21,11 +21,11 @@ def entries(n: int = 600) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("blocks", [2, 7, 50, None])
-def test_running_sums(spark, blocks):
+@pytest.mark.parametrize("parts", [1, 2, 7, 50, None])
+def test_running_sums(spark, parts):
     rows = entries()
     df = spark.createDataFrame(rows, "key string, day int, id int, amount int").repartition(5)
-    got = running_sums(df, ["key"], ["day", "id"], {"total": F.col("amount"), "n": F.lit(1)}, blocks).collect()
+    got = running_sums(df, ["key"], ["day", "id"], {"total": F.col("amount"), "n": F.lit(1)}, parts).collect()
     totals, counts, expected = defaultdict(int), defaultdict(int), {}
     for key, _, i, amount in sorted(rows, key=lambda r: r[2]):
         totals[key] += amount
@@ -35,11 +35,11 @@ def test_running_sums(spark, blocks):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("blocks", [2, 9, None])
-def test_previous_value(spark, blocks):
+@pytest.mark.parametrize("parts", [1, 2, 9, None])
+def test_previous_value(spark, parts):
     rows = entries()
     df = spark.createDataFrame(rows, "key string, day int, id int, amount int")
-    got = previous_value(df, ["key"], ["day", "id"], "amount", "before", blocks).collect()
+    got = previous_value(df, ["key"], ["day", "id"], "amount", "before", parts).collect()
     last, expected = {}, {}
     for key, _, i, amount in sorted(rows, key=lambda r: r[2]):
         expected[i] = last.get(key)
@@ -49,34 +49,38 @@ def test_previous_value(spark, blocks):
 
 def test_scans_of_nothing_and_of_one_value(spark):
     empty = spark.createDataFrame([], "key string, day int, id int, amount int")
-    for blocks in (None, 4):
-        assert running_sums(empty, ["key"], ["day", "id"], {"total": F.col("amount")}, blocks).count() == 0
+    for parts in (None, 4):
+        assert running_sums(empty, ["key"], ["day", "id"], {"total": F.col("amount")}, parts).count() == 0
     assert with_position(empty, ["day", "id"]).count() == 0
     same = spark.createDataFrame([("k", 1, i, 1) for i in range(10)], "key string, day int, id int, amount int")
-    for blocks in (None, 4):
-        got = running_sums(same, ["key"], ["day", "id"], {"total": F.col("amount")}, blocks)
+    for parts in (None, 4):
+        got = running_sums(same, ["key"], ["day", "id"], {"total": F.col("amount")}, parts)
         assert sorted(r["total"] for r in got.collect()) == list(range(1, 11))
 
 
-def test_a_hot_key_is_cut_into_blocks(spark):
-    """No window partition of the real rows is a whole key."""
-    df = spark.range(1000).select(F.lit("hot").alias("key"), F.col("id"))
-    plan = running_sums(df, ["key"], ["id"], {"n": F.lit(1)}, 8)._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(key" in plan
-    real = plan.split("Union")[0]
-    assert "_block" in real.split("windowspecdefinition(")[1].split("unspecified")[0].split(")")[0]
+def test_ties_in_the_first_order_column_are_spread(spark):
+    """Nine rows in ten have one day; no range holds more than twice the mean."""
+    from adflow.operators import scans
 
+    df = spark.range(20_000).select(F.lit("hot").alias("key"), F.when(F.col("id") % 10 > 0, 5).otherwise(F.col("id") % 9).alias("day"), "id")
+    rows = scans._ranged(df, ["key"], ["day", "id"], 10)
+    sizes = [r["count"] for r in rows.groupBy("_part").count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes) and len(sizes) >= 9
+    got = running_sums(df, ["key"], ["day", "id"], {"n": F.lit(1)}, 10).select("day", "id", "n").collect()
+    assert [r["n"] for r in sorted(got, key=lambda r: (r["day"], r["id"]))] == list(range(1, 20_001))
 
-def test_the_size_of_keys_decides_on_blocks(spark, monkeypatch):
-    from adflow.operators import scans
 
-    df = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", i) for i in range(300)], "key string, id int")
-    assert scans._blocks_needed(df, ["key"]) == 1
-    assert scans._blocks_needed(df, []) > 1
-    plain = {r["id"]: r["n"] for r in running_sums(df, ["key"], ["id"], {"n": F.lit(1)}).collect()}
-    monkeypatch.setattr(scans, "KEY_ROWS", 10)
-    assert scans._blocks_needed(df, ["key"]) >= 30
-    assert {r["id"]: r["n"] for r in running_sums(df, ["key"], ["id"], {"n": F.lit(1)}).collect()} == plain
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_orders_of_text_and_with_nan_and_null(spark, kind):
+    values = ["b", None, "a", "c", "é"] if kind == "string" else [2.5, None, float("nan"), -1.0, 0.0]
+    rows = [(v, i) for i, v in enumerate(values * 20)]
+    df = spark.createDataFrame(rows, f"at {kind}, id int")
+    expected = {r["id"]: n for n, r in enumerate(df.coalesce(1).orderBy("at", "id").collect(), 1)}
+    for parts in (1, 3, 8):
+        assert {r["id"]: r["n"] for r in running_sums(df, [], ["at", "id"], {"n": F.lit(1)}, parts).collect()} == expected
+    before = {r["id"]: r["before"] for r in previous_value(df, [], ["at", "id"], "id", "before", 6).collect()}
+    by_place = {n: i for i, n in expected.items()}
+    assert before == {i: by_place.get(n - 1) for i, n in expected.items()}
 
 
 def test_positions_and_zip(spark):
@@ -134,11 +138,15 @@ def test_random_walks_agree_with_literal_machine(spark):
 def test_contiguous_prefix(spark):
     pages = {"a": [1, 2, 3, 5], "b": [2, 3], "c": [1], "d": [0, 1, 2, 2, 4], "e": [1, 3]}
     rows = [(k, p, f"Page{p}") for k, ps in pages.items() for p in ps]
-    got = contiguous_prefix(spark.createDataFrame(rows, "k string, page int, text string"), "k", "page").collect()
+    rows += [(None, 1, "x"), (None, 2, "x"), (None, 4, "x")]
+    df = spark.createDataFrame(rows, "k string, page int, text string")
+    got = contiguous_prefix(df, "k", "page").collect()
     found = defaultdict(list)
     for r in got:
         found[r["k"]].append(r["page"])
-    assert {k: sorted(v) for k, v in found.items()} == {"a": [1, 2, 3], "c": [1], "d": [1, 2, 2], "e": [1]}
+    assert {k: sorted(v) for k, v in found.items()} == {"a": [1, 2, 3], "c": [1], "d": [1, 2, 2], "e": [1], None: [1, 2]}
+    first = contiguous_prefix(df, "k", "page", pages=2).collect()
+    assert sorted(r["page"] for r in first if r["k"] == "a") == [1, 2]
 
 
 def test_take_drop_first(spark):
@@ -169,9 +177,18 @@ def test_order_columns_of_any_kind_and_time_zone(spark, kind):
         rows = sorted((r["at"], r["id"]) for r in df.collect())
         kept = {r["id"] for r in ordering.drop_n(df, 7, "at", "id").collect()}
         assert kept == {i for _, i in rows[7:]}
-        if kind != "string":
-            got = running_sums(df, [], ["at", "id"], {"n": F.lit(1)}, blocks=6).collect()
-            assert {r["id"]: r["n"] for r in got} == {i: n + 1 for n, (_, i) in enumerate(rows)}
+        got = running_sums(df, [], ["at", "id"], {"n": F.lit(1)}, parts=6).collect()
+        assert {r["id"]: r["n"] for r in got} == {i: n + 1 for n, (_, i) in enumerate(rows)}
+
+
+def test_drop_across_the_hour_that_comes_twice(spark):
+    from test_skew import settings
+
+    with settings(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        # 1:30 twice, then 2:30: the clocks go back at 6:00 UTC.
+        instants = [1730611800, 1730615400, 1730619000]
+        df = spark.createDataFrame([(s,) for s in instants], "s bigint").select(F.timestamp_seconds("s").alias("at"), "s")
+        assert [r["s"] for r in ordering.drop_n(df, 2, "at").collect()] == instants[2:]
 
 
 def test_sorting(spark):
@@ -191,8 +208,22 @@ def test_shuffle_is_reproducible(spark):
 
 def test_shards(spark):
     df = spark.createDataFrame([(i,) for i in range(-20, 40)], "g int")
-    got = ordering.shard_by_modulo(df, "g", 10).withColumn("p", F.spark_partition_id()).collect()
-    assert all(r["shard"] == r["g"] % 10 == r["p"] for r in got)
+    assert all(r["shard"] == r["g"] % 10 for r in ordering.shard_by_modulo(df, "g", 10).collect())
+
+
+def test_a_large_shard_is_written_by_several_tasks(spark, folder):
+    from test_skew import settings
+
+    from adflow.sources import sinks
+
+    df = spark.range(40_000).select(F.when(F.col("id") < 39_000, 7).otherwise(F.col("id") % 10).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    path = folder("shards")
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}):
+        sinks.write_tsv_shards(ordering.shard_by_modulo(df, "g", 10), path, "shard")
+    back = spark.read.text(path).select("shard", F.split("value", "\t")[0].cast("int").alias("g"), F.input_file_name().alias("file"))
+    assert back.where("shard <> g % 10").count() == 0 and back.count() == 40_000
+    files = {r["shard"]: r["n"] for r in back.groupBy("shard").agg(F.count_distinct("file").alias("n")).collect()}
+    assert files[7] > 1
 
 
 def test_set_operations(spark):

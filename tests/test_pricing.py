@@ -143,15 +143,14 @@ def random_rows(seed: int, keys: int) -> list[tuple[str, int, int]]:
     return rows + hot + [("same", 4, 3)] * 101 + [("zero", w, 0) for w in range(1, 200)]
 
 
-@pytest.mark.parametrize("band_rows", [1_000_000, 0])
 @pytest.mark.parametrize("share", [0.25, 0.1, 0.9])
-def test_top_share_agrees_with_literal_loop(spark, band_rows, share):
+def test_top_share_agrees_with_literal_loop(spark, share):
     rows = random_rows(seed=int(share * 100), keys=120)
     df = spark.createDataFrame(rows, "key string, w bigint, v bigint")
     expected = defaultdict(list)
     for key, w, v in rows:
         expected[key].append((w, v))
-    got = top_share(df, ["key"], "w", "v", share=share, band_rows=band_rows).collect()
+    got = top_share(df, ["key"], "w", "v", share=share).collect()
     assert {r["key"]: tuple(r)[1:] for r in got} == {k: literal_top_share(v, share) for k, v in expected.items()}
 
 
@@ -173,11 +172,20 @@ def test_top_share_of_nothing(spark):
         top_share(empty, ["key"], "w", "v", share=1.5)
 
 
-@pytest.mark.parametrize("few", [0, 100])
-def test_top_share_of_wanted_keys(spark, monkeypatch, few):
-    from adflow.operators import topshare
+def test_top_share_keeps_the_key_null_and_adds_up_coarser_keys(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([0, 1, 2, None]), rng.randint(1, 50), rng.randint(0, 99)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "d string, s int, w bigint, v bigint")
+    got = top_share(df, ["d", "s"], "w", "v", coarser={"s": F.lit(0)}).collect()
+    expected = defaultdict(list)
+    for d, s, w, v in rows:
+        for key in {(d, s), (d, 0)}:
+            expected[key].append((w, v))
+    assert {(r["d"], r["s"]): tuple(r)[2:] for r in got} == {k: literal_top_share(v) for k, v in expected.items()}
+    assert len(got) == len(expected) == 12
+
 
-    monkeypatch.setattr(topshare, "FEW_KEYS", few)
+def test_top_share_of_wanted_keys(spark):
     df = spark.createDataFrame(random_rows(seed=4, keys=30), "key string, w bigint, v bigint")
     wanted = spark.createDataFrame([("k3",), ("hot",), ("hot",), ("nowhere",)], "key string")
     got = {tuple(r) for r in top_share(df, ["key"], "w", "v", wanted=wanted).collect()}

@@ -92,14 +92,4 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Cluster(None))
-    assert session.fresh_folder(Cluster("hdfs://shared/"), "t").startswith("hdfs://shared/adflow/t-")
-
-
-def test_widened_leaves_wide_tables_alone(spark):
-    from adflow.session import widened
-
-    narrow = spark.range(0, 100, 1, 1)
-    assert widened(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert widened(wide) is wide
-    assert widened(narrow).agg(F.sum("id")).first()[0] == 4950
+    assert session.fresh_folder(Cluster("hdfs://shared/"), "t").startswith("hdfs://shared/adflow/x/t-")
