@@ -178,8 +178,11 @@ def mask_secrets(
     joined = keyed.join(live, digest, "left")
     unchanged = F.col(secrets).isNull()
     clean = F.when(unchanged, column(docs, text)).otherwise(masked(column(docs, text), F.col(secrets)))
-    new = {text: clean}
+    # In a column of its own: names inside a lambda would find a new column of the same select.
+    (fresh,) = fresh_name(joined, "masked_text")
+    joined = joined.withColumn(fresh, clean)
+    new = {text: F.col(fresh)}
     if length:
-        chars = F.length(clean).cast(docs.schema[length].dataType)
+        chars = F.length(fresh).cast(docs.schema[length].dataType)
         new[length] = F.when(unchanged, column(docs, length)).otherwise(chars)
     return joined.select(*[new[c].alias(c) if c in new else column(docs, c) for c in docs.columns])
