@@ -18,7 +18,7 @@ SURVEY_SQL = """survey AS (
     l_quantity + 17 AS age, l_linenumber + 0.75::DOUBLE AS yearsmarried,
     CASE WHEN l_returnflag = 'R' THEN 'yes' ELSE 'no' END AS children,
     CAST(l_suppkey % 5 + 1 AS DOUBLE) AS religiousness, CAST(l_partkey % 12 + 9 AS DOUBLE) AS education,
-    CAST(l_linenumber AS DOUBLE) AS occupation, CAST(l_partkey % 5 + 1 AS DOUBLE) AS rating
+    CAST(l_orderkey % 7 + 1 AS DOUBLE) AS occupation, CAST(l_partkey % 5 + 1 AS DOUBLE) AS rating
   FROM lineitem),
 encoded AS (
   SELECT answer_id, CASE WHEN affairs > 0 THEN 1 ELSE 0 END AS affairs,
@@ -27,6 +27,9 @@ encoded AS (
   FROM survey)"""
 
 
+TRAINS_SQL = f"{draw_sql('answer_id', 12345)} % 100 < 90"
+
+
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, line = F.col("l_quantity"), F.col("l_linenumber")
     supplier, part = F.col("l_suppkey"), F.col("l_partkey")
@@ -39,7 +42,7 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "yes").otherwise("no").alias("children"),
         (supplier % 5 + 1).cast("double").alias("religiousness"),
         (part % 12 + 9).cast("double").alias("education"),
-        line.cast("double").alias("occupation"),
+        (F.col("l_orderkey") % 7 + 1).cast("double").alias("occupation"),
         (part % 5 + 1).cast("double").alias("rating"),
     )
 
@@ -52,8 +55,9 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> tuple[LogisticRegressionModel, DataFrame]:
+    """A fit run until no more digits change that are shown."""
     train, test = halves(spark, sf_dir)
-    return model.fit_logistic(train), test
+    return model.fit_logistic(train, tol=1e-13, maxIter=500), test
 
 
 @query("ml_encode", f"WITH {SURVEY_SQL} SELECT * FROM encoded")
@@ -80,8 +84,7 @@ def ml_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ml_split",
     f"""WITH {SURVEY_SQL}
-SELECT answer_id, affairs, CASE WHEN {draw_sql('answer_id', 12345)} % 100 < 90 THEN 'train' ELSE 'test' END AS side
-FROM encoded""",
+SELECT answer_id, affairs, CASE WHEN {TRAINS_SQL} THEN 'train' ELSE 'test' END AS side FROM encoded""",
 )
 def ml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = halves(spark, sf_dir)
@@ -89,9 +92,53 @@ def ml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.unionByName(test.select("answer_id", "affairs", F.lit("test").alias("side")))
 
 
-@query("ml_fit_logistic")
+def newton_sql(steps: int = 10) -> str:
+    """SQL for the maximum-likelihood coefficients by Newton's method, as ``beta`` with b0 to b8, the intercept last.
+
+    Each step sums the gradient and the upper half of the Hessian over the
+    training rows and solves the equations by elimination and substitution.
+    """
+    n = len(model.FEATURES) + 1
+    xs = [*(f"CAST({name} AS DOUBLE) AS x{i}" for i, name in enumerate(model.FEATURES)), f"1.0::DOUBLE AS x{n - 1}"]
+    parts = [
+        f"train AS (SELECT CAST(affairs AS DOUBLE) AS y, {', '.join(xs)} FROM encoded WHERE {TRAINS_SQL})",
+        "beta0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(n)) + ")",
+    ]
+    score = " + ".join(f"b{i} * x{i}" for i in range(n))
+    upper = [(i, j) for i in range(n) for j in range(i, n)]
+    for step in range(steps):
+        sums = [f"sum(p * (1 - p) * x{i} * x{j}) AS a{i}_{j}" for i, j in upper]
+        sums += [f"sum((y - p) * x{i}) AS g{i}" for i in range(n)]
+        parts.append(
+            f"e{step}_0 AS (SELECT {', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-({score}))) AS p FROM train, beta{step}))"
+        )
+        for k in range(n - 1):
+            cells = [f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" if i > k else f"a{i}_{j}" for i, j in upper]
+            cells += [f"g{i} - a{k}_{i} * g{k} / a{k}_{k} AS g{i}" if i > k else f"g{i}" for i in range(n)]
+            parts.append(f"e{step}_{k + 1} AS (SELECT {', '.join(cells)} FROM e{step}_{k})")
+        for i in reversed(range(n)):
+            known = "".join(f" - a{i}_{j} * d{j}" for j in range(i + 1, n))
+            source = f"d{step}_{i + 1}" if i < n - 1 else f"e{step}_{n - 1}"
+            parts.append(f"d{step}_{i} AS (SELECT *, (g{i}{known}) / a{i}_{i} AS d{i} FROM {source})")
+        moved = ", ".join(f"b{i} + d{i} AS b{i}" for i in range(n))
+        parts.append(f"beta{step + 1} AS (SELECT {moved} FROM beta{step}, d{step}_0)")
+    parts.append(f"beta AS (SELECT * FROM beta{steps})")
+    return ",\n".join(parts)
+
+
+NEWTON_SQL = f"{SURVEY_SQL},\n{newton_sql()}"
+SCORE_SQL = " + ".join([*(f"b{i} * {name}" for i, name in enumerate(model.FEATURES)), f"b{len(model.FEATURES)}"])
+TERMS = [*model.FEATURES, "intercept"]
+
+
+@query(
+    "ml_fit_logistic",
+    f"WITH {NEWTON_SQL}\n"
+    + " UNION ALL ".join(f"SELECT '{t}' AS term, round(b{i}, 3) + 0.0 AS coefficient FROM beta" for i, t in enumerate(TERMS)),
+)
 def ml_fit_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.coefficients(spark, fitted(spark, sf_dir)[0])
+    found = model.coefficients(spark, fitted(spark, sf_dir)[0])
+    return found.select("term", (F.round("coefficient", 3) + 0.0).alias("coefficient"))
 
 
 @query(
@@ -100,17 +147,40 @@ def ml_fit_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
   1e-6::DOUBLE AS tol, 100 AS max_iter""",
 )
 def ml_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.model_params(spark, fitted(spark, sf_dir)[0])
+    """The parameters of a fit that names none."""
+    return model.model_params(spark, model.fit_logistic(halves(spark, sf_dir)[0]))
 
 
-@query("ml_predict")
+@query(
+    "ml_predict",
+    f"""WITH {NEWTON_SQL},
+scored AS (
+  SELECT answer_id, 1 / (1 + exp(-({SCORE_SQL}))) AS p FROM encoded, beta WHERE NOT ({TRAINS_SQL}))
+SELECT answer_id, round(p, 2) + 0.0 AS probability, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM scored""",
+)
 def ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained, test = fitted(spark, sf_dir)
+    likely = vector_to_array("probability")[1]
     scored = model.predict(trained, test, ["answer_id"])
-    vectors = [vector_to_array(c).alias(c) for c in ("features", "rawPrediction", "probability")]
-    return scored.select("answer_id", *vectors, "prediction")
+    return scored.select("answer_id", (F.round(likely, 2) + 0.0).alias("probability"), "prediction")
 
 
-@query("ml_summary")
+@query(
+    "ml_summary",
+    f"""WITH {NEWTON_SQL},
+share AS (SELECT avg(y) AS p FROM train),
+losses AS (
+  SELECT -avg(y * ln(q) + (1 - y) * ln(1 - q)) AS loss
+  FROM (SELECT y, 1 / (1 + exp(-({" + ".join(f"b{i} * x{i}" for i in range(len(TERMS)))}))) AS q FROM train, beta))
+SELECT 'first' AS iteration, round(-(p * ln(p) + (1 - p) * ln(1 - p)), 6) AS loss FROM share
+UNION ALL SELECT 'last', round(loss, 6) FROM losses""",
+)
 def ml_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.objective_history(spark, fitted(spark, sf_dir)[0])
+    """Loss before the first and after the last iteration."""
+    history = model.objective_history(spark, fitted(spark, sf_dir)[0])
+    ends = history.agg(
+        F.min_by("loss", "iteration").alias("first"), F.max_by("loss", "iteration").alias("last")
+    )
+    rows = F.array(*[F.struct(F.lit(n).alias("iteration"), F.round(n, 6).alias("loss")) for n in ("first", "last")])
+    return ends.select(F.inline(rows))

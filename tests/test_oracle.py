@@ -13,28 +13,22 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
-# Results of a numeric optimiser: compared with Newton's method in test_model.py instead.
-NO_SQL = {"ml_fit_logistic", "ml_predict", "ml_summary"}
-
-
 @pytest.fixture(scope="module")
 def connection():
     return oracle_connection(SF_DIR)
 
 
-def test_only_optimiser_results_have_no_sql():
-    assert set(QUERIES) - set(ORACLES) == NO_SQL
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, connection, key):
     got = QUERIES[key](spark, SF_DIR).toPandas()
     assert len(got) > 0
-    if key in ORACLES:
-        expected = connection.execute(ORACLES[key]).df()
-        assert difference(got, expected) is None
-        assert kinds(got) == kinds(expected)
+    expected = connection.execute(ORACLES[key]).df()
+    assert difference(got, expected) is None
+    assert kinds(got) == kinds(expected)
 
 
 def test_entry(spark):
