@@ -103,7 +103,9 @@ def find_secrets(
         docs.select(
             *[column(docs, k) for k in keep],
             F.monotonically_increasing_id().alias(row),
-            F.struct(column(docs, repository).cast("string").alias("repository"), column(docs, owner).cast("string").alias("owner")).alias("of_"),
+            F.struct(
+                column(docs, repository).cast("string").alias("repository"), column(docs, owner).cast("string").alias("owner")
+            ).alias("of_"),
             found_spans(text_of(docs, text)).alias(spans),
         ),
         "scanned",
@@ -132,10 +134,12 @@ def find_secrets(
 
 def written(spans: Column) -> Column:
     """Spans as ``kind:start:end``, joined by commas."""
-    name = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
+    names = F.array(*[F.lit(k) for k in KINDS])
+
+    def shown(s: Column) -> Column:
+        return F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, shown), ",")
 
 
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:

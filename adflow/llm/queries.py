@@ -40,7 +40,8 @@ OP1_SQL = """WITH marked AS (
          coalesce(html, '') AS html FROM pages),
 firsts AS (SELECT html, max(page_id) AS response_id FROM marked WHERE payload_bytes >= 1000 GROUP BY html)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN response_id IS DISTINCT FROM page_id AND response_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response_id IS NOT NULL AND response_id IS DISTINCT FROM page_id
+         THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN response_id IS DISTINCT FROM page_id THEN response_id END AS refers_to
 FROM marked LEFT JOIN firsts USING (html)"""
 
@@ -141,18 +142,22 @@ def _spans_sql(kind: int, pattern: str, value: str, keep: str) -> str:
   WHERE {keep}"""
 
 
-_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token"))
+_KEYS = "|".join("".join(f"[{c.upper()}{c}]" for c in word) for word in ("password", "passwd", "secret", "token"))
 _ASSIGN_SQL = (
-    f"({_WORDS}|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+    f"({_KEYS}|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
 )
 _ASSIGNED = f"regexp_extract(found, '{_ASSIGN_SQL}', 2)"
-OP10_SQL = f"""WITH spans AS ({" UNION ALL ".join([
+_MIXED = " AND ".join(f"regexp_matches(found, '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]"))
+_SPANS = [
     _spans_sql(0, _ASSIGN_SQL, _ASSIGNED, f"length({_ASSIGNED}) >= 12"),
     _spans_sql(1, "AKIA[A-Z0-9]+", "found", "length(found) >= 18"),
     _spans_sql(2, "[0-9a-f]+", "found", "length(found) >= 16"),
-    _spans_sql(3, credentials.WIDE, "found", "regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[0-9]')"),
-])}),
-owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {credentials.MAX_OWNERS} AS live FROM spans GROUP BY value),
+    _spans_sql(3, credentials.WIDE, "found", _MIXED),
+]
+OP10_SQL = f"""WITH spans AS ({" UNION ALL ".join(_SPANS)}),
+owned AS (
+  SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {credentials.MAX_OWNERS} AS live
+  FROM spans GROUP BY value),
 told AS (
   SELECT s.*, live, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || "start" || ':' || "end" AS written
   FROM spans s JOIN owned USING (value)),

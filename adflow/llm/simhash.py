@@ -223,9 +223,8 @@ def deduplicated(
     row, print_name = fresh_name(docs, "row_number", "print")
     numbered = docs.withColumns({row: F.monotonically_increasing_id(), print_name: fingerprint(docs, text, shingle)})
     numbered = stored(numbered, "numbered")
-    ids = numbered.select(
-        F.struct(column(docs, id_column).isNull().alias("none"), column(docs, id_column).alias("id"), F.col(row).alias("row")).alias("id"),
-        F.col(print_name).alias("print"),
-    )
+    own = column(docs, id_column)
+    smallest = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(row).alias("row"))
+    ids = numbered.select(smallest.alias("id"), F.col(print_name).alias("print"))
     kept = classes(ids, "print", "id", distance, segments).select(F.col("component_id.row").alias(row)).distinct()
     return numbered.join(kept, row, "left_semi").select(*[column(docs, c) for c in docs.columns])

@@ -170,7 +170,8 @@ def _kind(surface: Column) -> Column:
 
 def _parts(surface: Column, kind: Column) -> Column:
     """What of a mention is replaced: (kind, norm, piece) in order; a person has a part for each name."""
-    norm = F.when(kind.isin(*_DIGITS), F.regexp_replace(surface, "[^0-9]", "")).when(kind == "email", F.lower(surface)).otherwise(surface)
+    digits = F.regexp_replace(surface, "[^0-9]", "")
+    norm = F.when(kind.isin(*_DIGITS), digits).when(kind == "email", F.lower(surface)).otherwise(surface)
     whole = F.array(F.struct(kind.alias("kind"), norm.alias("norm"), surface.alias("piece")))
     title = F.regexp_extract(surface, f"^({_TITLE}) ", 1)
     bare = F.regexp_replace(title, r"\.", "")
