@@ -6,7 +6,7 @@ distinct lexicon terms are sorted; the hash of all of them is its I-Match
 signature. As one changed term changes that hash, subsets of the lexicon are
 drawn too: for each of ``DRAWS`` random draws and each level ``j`` the subset
 that keeps a term with probability 2^-j (those of a draw are nested), and the
-sorted terms that a subset keeps are hashed likewise.
+terms that a subset keeps are hashed likewise.
 
 A fingerprint is a text: number of terms, signature, then for each draw the
 hashes of its levels, ``-`` for a subset that keeps none of the terms. Likeness
@@ -72,13 +72,32 @@ def lexicon(docs: DataFrame, text: str = "text", least: float = IDF_LEAST, most:
     return sums.where((F.col("count") >= low) & (F.col("count") <= max(high, 1.0))).select("term")
 
 
-def _mixed(terms: np.ndarray, draw: int) -> np.ndarray:
-    x = terms + np.uint64((draw * 0x9E3779B97F4A7C15 + 0x1F83D9ABFB41BD6B) & 0xFFFFFFFFFFFFFFFF)
+def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+_SEEDS = np.array([(d * 0x9E3779B97F4A7C15 + 0x1F83D9ABFB41BD6B) % (1 << 64) for d in range(DRAWS)], np.uint64)
+_LIMITS = np.array([1 << (64 - level) for level in range(LEVELS, 0, -1)], np.uint64)
+
+
+def subset_hashes(terms: np.ndarray) -> list[str]:
+    """For each draw the hashes of what each level's subset keeps, four digits each, up to the last that keeps a term.
+
+    The hash of a set of distinct terms is made from the sum of their mixed
+    hashes, so it does not depend on an order and all levels come from one pass.
+    """
+    mixed = _mixed(terms[None, :] + _SEEDS[:, None])
+    # A draw's subsets are nested: a term is in those of levels 1 to its own.
+    level = LEVELS - np.searchsorted(_LIMITS, mixed, side="right")
+    sums = np.zeros((DRAWS, LEVELS + 1), np.uint64)
+    np.add.at(sums, (np.arange(DRAWS)[:, None], level), np.broadcast_to(_mixed(terms), mixed.shape))
+    sums = np.cumsum(sums[:, ::-1], axis=1, dtype=np.uint64)[:, ::-1]
+    digits = (_mixed(sums) >> np.uint64(48)).astype(">u2")
+    return [row[1 : top + 1].tobytes().hex() or "-" for row, top in zip(digits, level.max(axis=1).tolist())]
+
+
 class Fingerprinter:
     """Fingerprints of texts by a sorted array of the lexicon's terms."""
 
@@ -99,18 +118,8 @@ class Fingerprinter:
         terms = self.kept(text)
         if not len(terms):
             return f"0:{xxhash.xxh3_64_hexdigest((text or '').encode('utf-8', 'replace'))}"
-        parts = [f"{len(terms)}:{xxhash.xxh3_64_hexdigest(terms.tobytes())}"]
-        for draw in range(DRAWS):
-            left, mixed = terms, _mixed(terms, draw)
-            hashes = []
-            for level in range(1, LEVELS + 1):
-                few = mixed < np.uint64(1 << (64 - level))
-                left, mixed = left[few], mixed[few]
-                if not len(left):
-                    break
-                hashes.append(f"{xxhash.xxh32_intdigest(left.tobytes()) & 0xFFFF:04x}")
-            parts.append("".join(hashes) or "-")
-        return ":".join(parts)
+        whole = f"{len(terms)}:{xxhash.xxh3_64_hexdigest(terms.tobytes())}"
+        return ":".join([whole, *subset_hashes(terms)])
 
 
 def likeness(a: str, b: str) -> float:
@@ -236,5 +245,8 @@ def compare_edits(docs: DataFrame, terms: DataFrame, id_column: str = "doc_id",
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
 
-    schema = "id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = (
+        "id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double"
+    )
     return dealt.mapInArrow(compared, schema).withColumnRenamed("id", id_column)
