@@ -27,6 +27,7 @@ empty. Texts of any length are searched whole.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -44,11 +45,12 @@ from adflow.session import stored
 STEP = 16
 LONGEST = 64
 """Longer benchmark items are cut into passages of so many words."""
-RANK = 256
+RANK = 192
 OVERSAMPLING = 16
 BLOCK_WORDS = 40_000
-STOP_SHARE = 0.1
-"""Words in more than this share of documents say nothing about a passage."""
+STOP_SHARE = 0.02
+"""Words in more than this share of documents say nothing about a passage, but for an item's rarest ``KEPT_WORDS``."""
+KEPT_WORDS = 6
 COSINE = 0.12
 SURE = 0.7
 LIKELY = 0.5
@@ -69,9 +71,9 @@ def items_of(item_id, text: str | None, answer: str | None) -> list[Item]:
     """The item as passages of ``LONGEST`` words at most."""
     words = words_of(text)
     if answer is not None:
-        told = words_of(answer)
+        told = words_of(answer)[-LONGEST:]
     else:
-        sentences = [s for s in map(words_of, (text or "").replace("?", ".").replace("!", ".").replace("\n", ".").split(".")) if s]
+        sentences = [s for s in map(words_of, re.split(r"[.?!\n]", text or "")) if s]
         told = sentences[-1] if sentences and len(sentences[-1]) >= ANSWER_WORDS else words[-ANSWER_WORDS:]
     if len(words) <= LONGEST:
         return [Item(item_id, words, told)] if words else []
@@ -101,6 +103,7 @@ def _coded(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> DataFram
     """A row (id, codes) for each text with words, and rows (code, count) of document frequencies; code 0 is any other word."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema["id"].dataType
+    names = ["id", "codes", "code", "count"]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code_of = sent.value.get
@@ -117,29 +120,32 @@ def _coded(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> DataFram
                     kept.append(i)
             ids = batch.column(0).take(pa.array(kept, pa.int64()))
             none = pa.nulls(len(kept), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(codes, pa.binary()), none, none], names=["id", "codes", "code", "count"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(codes, pa.binary()), none, none], names=names)
         used = np.flatnonzero(seen)
-        columns = [pa.nulls(len(used), batch.schema.field(0).type) if len(used) else None, pa.nulls(len(used), pa.binary()), pa.array(used), pa.array(seen[used])]
         if len(used):
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "codes", "code", "count"])
+            blank = [pa.nulls(len(used), batch.schema.field(0).type), pa.nulls(len(used), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*blank, pa.array(used), pa.array(seen[used])], names=names)
 
-    schema = T.StructType(
-        [T.StructField("id", kind), T.StructField("codes", T.BinaryType()), T.StructField("code", T.LongType()), T.StructField("count", T.LongType())]
-    )
+    kinds = [kind, T.BinaryType(), T.LongType(), T.LongType()]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
     return docs.select("id", column(docs, text).cast("string").alias("text")).mapInArrow(coded, schema)
 
 
-def _weights(counts: np.ndarray) -> np.ndarray:
+def _weights(counts: np.ndarray, items: list[np.ndarray]) -> np.ndarray:
     """Inverse document frequencies by code; stop words weigh nothing, other words as much as a word of one document."""
     documents = max(1, int(counts[0]))
-    weights = np.log(documents / np.maximum(1, counts)) + 1.0
-    weights[counts > max(1.0, STOP_SHARE * documents)] = 0.0
+    rarity = np.log(documents / np.maximum(1, counts)) + 1.0
+    weights = np.where(counts > max(1.0, STOP_SHARE * documents), 0.0, rarity)
+    for item in items:
+        words = np.unique(item)
+        rarest = words[np.argsort(-rarity[words], kind="stable")[:KEPT_WORDS]]
+        weights[rarest] = rarity[rarest]
     weights[0] = np.log(documents) + 1.0
     return weights.astype(np.float32)
 
 
 class Passages:
-    """Passages of some texts: for each block of words its text and place, and sums over its known words."""
+    """Passages of some texts: a block of ``STEP`` words and the one after it in the same text."""
 
     def __init__(self, codes: list[np.ndarray], weights: np.ndarray):
         lengths = np.array([len(c) for c in codes])
@@ -154,37 +160,68 @@ class Passages:
         mass = np.bincount(block, weight.astype(np.float64) ** 2, len(self.text))
         known = np.flatnonzero((every > 0) & (weight > 0))
         self.code, self.block, self.weight = every[known], block[known], weight[known]
-        # A passage is a block and the one after it in the same text.
         self.pair = np.zeros(len(self.text), bool)
         self.pair[:-1] = self.text[1:] == self.text[:-1]
-        self.norm = np.sqrt(np.maximum(self.joined(mass[:, None])[:, 0], 1e-9))
+        self.norm = np.sqrt(np.maximum(self.joined(mass), 1e-9))
 
     def joined(self, sums: np.ndarray) -> np.ndarray:
         """Sums over passages from sums over blocks."""
-        total = sums.copy()
+        total = sums.astype(np.float64)
         at = np.flatnonzero(self.pair)
         total[at] += sums[at + 1]
         return total
 
-    def project(self, vectors: np.ndarray) -> np.ndarray:
-        """Each passage's weighted sum of the vectors of its words."""
-        sums = np.zeros((len(self.text), vectors.shape[1]), np.float32)
-        if len(self.code):
-            starts = np.flatnonzero(np.concatenate([[True], self.block[1:] != self.block[:-1]]))
-            sums[self.block[starts]] = np.add.reduceat(vectors[self.code] * self.weight[:, None], starts, axis=0)
-        return self.joined(sums)
-
-    def back(self, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each word that occurs, the weighted sum of its passages' rows."""
-        spread = rows.copy()
-        at = np.flatnonzero(self.pair)
-        spread[at + 1] += rows[at]
-        order = np.argsort(self.code, kind="stable")
-        code = self.code[order]
-        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, int)
-        if not len(starts):
+    def summed(self, values: np.ndarray) -> np.ndarray:
+        """For each passage the sum of a number for each of its known words."""
+        return self.joined(np.bincount(self.block, values, len(self.text)))
+
+    def _needed(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the blocks of some passages, the known words in them, and which passages have two blocks."""
+        both = which[self.pair[which]]
+        need = np.zeros(len(self.text), bool)
+        need[which] = need[both + 1] = True
+        return np.cumsum(need) - 1, np.flatnonzero(need[self.block]), np.flatnonzero(self.pair[which])
+
+    def project(self, vectors: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """For some passages the weighted sum of the vectors of their known words."""
+        at, words, both = self._needed(which)
+        sums = np.zeros((at[-1] + 1 if len(at) else 0, vectors.shape[1]), np.float32)
+        if len(words):
+            block = at[self.block[words]]
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            sums[block[starts]] = np.add.reduceat(vectors[self.code[words]] * self.weight[words, None], starts, axis=0)
+        rows = sums[at[which]]
+        rows[both] += sums[at[which[both] + 1]]
+        return rows
+
+    def back(self, rows: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each known word of some passages the weighted sum of the passages' rows."""
+        at, words, both = self._needed(which)
+        spread = np.zeros((at[-1] + 1 if len(at) else 0, rows.shape[1]), np.float32)
+        spread[at[which]] += rows
+        spread[at[which[both] + 1]] += rows[both]
+        words = words[np.argsort(self.code[words], kind="stable")]
+        code = self.code[words]
+        if not len(code):
             return code, np.zeros((0, rows.shape[1]), np.float32)
-        return code[starts], np.add.reduceat(spread[self.block[order]] * self.weight[order][:, None], starts, axis=0)
+        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        return code[starts], np.add.reduceat(spread[at[self.block[words]]] * self.weight[words, None], starts, axis=0)
+
+    def product(self, omega: np.ndarray) -> np.ndarray:
+        """AᵀAΩ for the rows of unit length that the passages are.
+
+        A passage with one known word only adds to that word's own entry of AᵀA.
+        """
+        total = np.zeros(omega.shape, np.float64)
+        count, scale = self.summed(np.ones(len(self.code))), 1.0 / self.norm**2
+        many = np.flatnonzero(count > 1)
+        rows = self.project(omega, many) * scale[many, None]
+        used, sums = self.back(rows.astype(np.float32), many)
+        total[used] += sums
+        alone = np.where(count == 1, scale, 0.0)
+        before = np.concatenate([[0.0], np.where(self.pair, alone, 0.0)[:-1]])
+        own = np.bincount(self.code, self.weight.astype(np.float64) ** 2 * (alone + before)[self.block], len(omega))
+        return total + own[:, None] * omega
 
 
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
@@ -220,10 +257,7 @@ def latent_basis(coded: DataFrame, weights: np.ndarray, items: list[np.ndarray],
     def multiplied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         omega, total = _random(words, width), np.zeros((words, width), np.float64)
         for _, codes in _batches(frames):
-            passages = Passages(codes, sent.value)
-            rows = passages.project(omega) / passages.norm[:, None] ** 2
-            used, sums = passages.back(rows.astype(np.float32), words)
-            total[used] += sums
+            total += Passages(codes, sent.value).product(omega)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pd.DataFrame(total[used].astype(np.float32), columns=names).assign(code=used)
 
@@ -235,11 +269,8 @@ def latent_basis(coded: DataFrame, weights: np.ndarray, items: list[np.ndarray],
     omega[0] = 0
     product = np.zeros((words, width))
     product[summed["code"].to_numpy(np.int64)] = summed[names].to_numpy(np.float64)
-    mine = Passages(items, weights)
-    rows = mine.project(omega.astype(np.float32)) / mine.norm[:, None] ** 2
-    used, sums = mine.back(rows.astype(np.float32), words)
-    corpus, own = np.linalg.norm(product), max(np.linalg.norm(sums), 1e-9)
-    product[used] += sums * max(1.0, corpus / own)
+    own = Passages(items, weights).product(omega.astype(np.float32))
+    product += own * max(1.0, np.linalg.norm(product) / max(np.linalg.norm(own), 1e-9))
     basis, _ = np.linalg.qr(product)
     small = basis.T @ product @ np.linalg.pinv(basis.T @ omega)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
@@ -261,25 +292,29 @@ def common(words: np.ndarray, around: np.ndarray) -> int:
     return len(words) - row.bit_count()
 
 
-def _search(coded: DataFrame, weights: np.ndarray, basis: np.ndarray, items: list[np.ndarray], answers: list[np.ndarray], cosine: float) -> DataFrame:
+def _search(
+    coded: DataFrame,
+    weights: np.ndarray,
+    basis: np.ndarray,
+    items: list[np.ndarray],
+    answers: list[np.ndarray],
+    cosine: float,
+) -> DataFrame:
+    """A row (id, item, cosine, lcs, answer, word) for each text and benchmark passage that leaked into it."""
     spark, kind = coded.sparkSession, coded.schema["id"].dataType
-    passages = Passages(items, weights)
-    latent = np.zeros((len(items), basis.shape[1]), np.float32)
-    np.add.at(latent, passages.text, _blocks(passages, basis))
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    sent = spark.sparkContext.broadcast((weights, basis, latent, items, answers))
+    latent = latent_items(items, weights, basis)
+    # The most that a word can add to the product with any benchmark passage.
+    most = np.maximum((basis @ latent.T).max(axis=1, initial=0.0), 0.0)
+    sent = spark.sparkContext.broadcast((weights, basis, latent, most, items, answers))
 
     def searched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, basis, latent, items, answers = sent.value
+        weights, basis, latent, most, items, answers = sent.value
         for frame, codes in _batches(frames):
             passages = Passages(codes, weights)
-            busy = np.unique(passages.text[passages.block])
-            if not len(busy):
+            likely = np.flatnonzero(passages.summed(passages.weight * most[passages.code]) >= cosine * passages.norm)
+            if not len(likely):
                 continue
-            rows = passages.project(basis) / passages.norm[:, None]
-            # No cosine is greater than the share of a passage that lies in the latent space.
-            likely = np.flatnonzero(np.einsum("ij,ij->i", rows, rows) >= cosine * cosine)
-            near = rows[likely] @ latent.T
+            near = passages.project(basis, likely) @ latent.T / passages.norm[likely, None]
             found = []
             tried: dict[tuple[int, int], list] = {}
             for i, q in zip(*np.nonzero(near >= cosine)):
@@ -313,11 +348,12 @@ def _search(coded: DataFrame, weights: np.ndarray, basis: np.ndarray, items: lis
     return coded.mapInPandas(searched, schema)
 
 
-def _blocks(passages: Passages, basis: np.ndarray) -> np.ndarray:
-    """Sums over blocks, of which an item has few."""
-    sums = np.zeros((len(passages.text), basis.shape[1]), np.float32)
-    np.add.at(sums, passages.block, basis[passages.code] * passages.weight[:, None])
-    return sums
+def latent_items(items: list[np.ndarray], weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The direction of each benchmark passage in the latent space."""
+    latent = np.zeros((len(items), basis.shape[1]), np.float32)
+    for i, words in enumerate(items):
+        latent[i] = (basis[words] * weights[words, None]).sum(axis=0)
+    return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
 
 def find_leaks(
@@ -343,10 +379,10 @@ def find_leaks(
         sums = coded.where("codes is null").groupBy("code").agg(F.sum("count").alias("count")).toPandas()
         frequency = np.zeros(len(vocabulary) + 1, np.int64)
         frequency[sums["code"].to_numpy(np.int64)] = sums["count"]
-        weights = _weights(frequency)
         texts = coded.where("codes is not null").select("id", "codes")
         items = [np.array([vocabulary[w] for w in item.words], np.uint16) for item in block]
         answers = [np.array([vocabulary[w] for w in item.answer], np.uint16) for item in block]
+        weights = _weights(frequency, items)
         basis = latent_basis(texts, weights, items, rank)
         found = stored(_search(texts, weights, basis, items, answers, cosine), "leaks")
         ids = spark.createDataFrame([(i, item.item_id) for i, item in enumerate(block)], names)
@@ -364,7 +400,9 @@ def find_leaks(
     return all_results
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
     """The rows of the table whose text has no leak.
 
     Whether a text leaks depends on the text and the corpus only, so leaking

@@ -86,19 +86,37 @@ def test_candidates_of_latent_search(spark):
     weights = np.concatenate([[7.0], rng.uniform(2, 6, 800)]).astype(np.float32)
     basis = decontaminate.latent_basis(df, weights, items, rank=48)
     assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-3)
-    passages, queries = decontaminate.Passages(codes, weights), decontaminate.Passages(items, weights)
+    passages = decontaminate.Passages(codes, weights)
+    every = np.arange(len(passages.text))
 
     def near(vectors: np.ndarray) -> np.ndarray:
-        latent = np.zeros((len(items), vectors.shape[1]), np.float32)
-        np.add.at(latent, queries.text, decontaminate._blocks(queries, vectors))
-        latent /= np.linalg.norm(latent, axis=1, keepdims=True)
-        return passages.project(vectors) @ latent.T / passages.norm[:, None]
+        latent = decontaminate.latent_items(items, weights, vectors)
+        return passages.project(vectors, every) @ latent.T / passages.norm[:, None]
 
     plain = near(np.eye(801, dtype=np.float32) * (np.arange(801) > 0)[:, None])
     hits = plain >= 0.4
     assert hits.sum() >= 300 and (near(basis)[hits] >= decontaminate.COSINE).mean() >= 0.9
 
 
+def test_product_by_a_dense_matrix():
+    rng = np.random.default_rng(2)
+    codes = [(rng.integers(0, 40, n) * (rng.random(n) < 0.2)).astype(np.uint16) for n in (5, 16, 17, 100, 33, 1)]
+    weights = rng.uniform(0.5, 3, 40).astype(np.float32)
+    weights[[3, 4]] = 0
+    rows, norms = [], []
+    for c in codes:
+        for start in range(0, len(c), decontaminate.STEP):
+            window = c[start : start + 2 * decontaminate.STEP]
+            row = np.zeros(40)
+            np.add.at(row, window[window > 0], weights[window[window > 0]])
+            rows.append(row)
+            norms.append((weights[window].astype(float) ** 2).sum())
+    a = np.array(rows) / np.sqrt(np.array(norms))[:, None]
+    omega = rng.standard_normal((40, 7)).astype(np.float32)
+    got = decontaminate.Passages(codes, weights).product(omega)
+    assert np.allclose(got, a.T @ a @ omega, atol=1e-4)
+
+
 def test_long_items_answers_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 150)
     long, short = words(200, 1), words(20, 2)
