@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from adflow.llm.units import UnitEncoder, byte_letters, held_in, lists, texts_of, with_column
+from adflow.llm.units import UnitEncoder, byte_letters, held_in, lists, simple_pieces, texts_of, with_column
 
 SHORT = 64
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -68,7 +68,8 @@ class Encoder(UnitEncoder):
         self.vocabulary = vocabulary
 
     def split(self, unit: str) -> list[str]:
-        return [unit] if unit[:1] == " " and unit[1:].isalpha() else _SPLIT.findall(unit)
+        pieces = simple_pieces(unit)
+        return _SPLIT.findall(unit) if pieces is None else pieces
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         data = [p.encode("utf-8", "replace") for p in pieces]

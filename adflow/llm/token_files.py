@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from adflow.llm.tables import column
-from adflow.llm.units import UnitEncoder, byte_letters, held_in, texts_of, with_column
+from adflow.llm.units import UnitEncoder, byte_letters, held_in, simple_pieces, texts_of, with_column
 
 END_ID = 0
 LEVEL = 3
@@ -56,13 +56,14 @@ class LibraryEncoder(UnitEncoder):
         self.letters = dict(enumerate(byte_letters()))
 
     def split(self, unit: str) -> list[str]:
-        if unit[:1] == " " and unit[1:].isalpha() and max(unit) < "ʰ":
-            return [unit.encode().decode("latin-1").translate(self.letters)]
-        return [piece for piece, _ in self.splitter.pre_tokenize_str(unit)] if unit else []
+        pieces = simple_pieces(unit)
+        if pieces is None:
+            pieces = [unit[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(unit)] if unit else []
+        return pieces
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        tokenize = self.model.tokenize
-        ids = [[t.id for t in tokenize(piece)] for piece in pieces]
+        tokenize, letters = self.model.tokenize, self.letters
+        ids = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
         flat = np.fromiter((i for row in ids for i in row), "<u4").tobytes()
         ends = np.cumsum([0, *map(len, ids)]) * 4
         return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
@@ -153,8 +154,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_column: s
     sums = entries.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     running = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     starts = sums.select("part", (running - F.col("n")).alias("first"))
+    start = (F.col("first") + F.col("before")).alias("start")
     index = entries.join(starts, "part").select(
-        "id", "file", "place", "length", "n_tokens", (F.col("first") + F.col("before")).alias("start"), F.lit(digest).alias("dictionary_sha256")
+        "id", "file", "place", "length", "n_tokens", start, F.lit(digest).alias("dictionary_sha256")
     )
     index.write.parquet(f"{folder}/index")
 
@@ -185,7 +187,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     source, name = store.open_input_file(f"{path}/{row.file}"), row.file
                 data = expand.decompress(source.read_at(row.length, row.place))
                 ids.append(np.frombuffer(data, f"<u{width}").astype("<u4").tobytes())
-            yield pd.DataFrame({"id": frame["id"].astype("Int64"), "start": frame["start"], "n_tokens": frame["n_tokens"], "ids": ids})
+            yield frame[["id", "start", "n_tokens"]].astype({"id": "Int64"}).assign(ids=ids)
         if source is not None:
             source.close()
 

@@ -19,9 +19,22 @@ from pyspark.sql import types as T
 UNITS_KEPT = 400_000
 """Units whose ids are kept in one Python worker; beyond, the cache starts anew."""
 
-_SHARED_WHITE_SPACE = re.compile(r"  |\s \s|\s \Z")
+_SHARED_WHITE_SPACE = re.compile(r" (?:\s|\Z)")
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ʯ", r"!-&(-/:-@\[-`{-~"
+_SIMPLE = re.compile(rf"(?: ?[{_LETTERS}]+| ?[{_MARKS}]+|(?<=\S)\n(?=\S))+")
+_SIMPLE_PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[{_MARKS}]+|\n")
+
+
+def simple_pieces(unit: str) -> list[str] | None:
+    """The pieces of a unit of Latin letters, ASCII marks other than apostrophes and lone line breaks; else None.
+
+    On such units all byte-level splitting patterns in use agree: runs of letters
+    and runs of marks, each with the blank before it, and the line breaks.
+    """
+    return _SIMPLE_PIECE.findall(unit) if _SIMPLE.fullmatch(unit) else None
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary."""
@@ -59,11 +72,13 @@ class UnitEncoder:
         """Ids of units that no cache has; their pieces may be known."""
         if len(self.pieces) >= self.kept:
             self.pieces.clear()
-        cut = [self.split(unit) for unit in units]
-        unknown = list({p for pieces in cut for p in pieces if p not in self.pieces})
-        self.pieces.update(zip(unknown, self.encode_pieces(unknown)))
-        known = self.pieces.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        cut = list(map(self.split, units))
+        unknown = list({p for pieces in cut if len(pieces) > 1 for p in pieces if p not in self.pieces})
+        # A unit of one piece is kept as a unit, not a second time as a piece.
+        ids = self.encode_pieces(unknown + [pieces[0] for pieces in cut if len(pieces) == 1])
+        self.pieces.update(zip(unknown, ids))
+        alone, known = iter(ids[len(unknown) :]), self.pieces.__getitem__
+        return [next(alone) if len(pieces) == 1 else b"".join(map(known, pieces)) for pieces in cut]
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """Ids of texts without special tokens."""
