@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.llm.tables import column, fresh_name
+from adflow.llm.tables import column, fresh_name, text_of
 from adflow.session import stored
 
 BITS = 64
@@ -217,14 +217,17 @@ def deduplicated(
 ) -> DataFrame:
     """The rows of the table with one of each class: the smallest id, of repeated ids one row.
 
-    Rows get a number as they are written once with their fingerprint, so that
-    rows that agree in everything can still be told apart.
+    Rows are known by a digest of their id and text, so texts are neither
+    written nor numbered. Rows that agree in both are one; which of their other
+    columns stay is open.
     """
-    row, print_name = fresh_name(docs, "row_number", "print")
-    numbered = docs.withColumns({row: F.monotonically_increasing_id(), print_name: fingerprint(docs, text, shingle)})
-    numbered = stored(numbered, "numbered")
-    own = column(docs, id_column)
-    smallest = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(row).alias("row"))
-    ids = numbered.select(smallest.alias("id"), F.col(print_name).alias("print"))
-    kept = classes(ids, "print", "id", distance, segments).select(F.col("component_id.row").alias(row)).distinct()
-    return numbered.join(kept, row, "left_semi").select(*[column(docs, c) for c in docs.columns])
+    own, whole = column(docs, id_column), text_of(docs, text)
+    (key,) = fresh_name(docs, "row_digest")
+    digest = F.sha2(F.concat_ws("|", F.coalesce(own.cast("string"), F.lit("-")), F.sha2(whole, 256)), 256)
+    smallest = F.struct(own.isNull().alias("none"), own.alias("id"), digest.alias("key"))
+    marked = stored(docs.select(smallest.alias("id"), fingerprint(docs, text, shingle).alias("print")), "simhash")
+    kept = classes(marked, "print", "id", distance, segments).select(F.col("component_id.key").alias(key)).distinct()
+    keyed = docs.withColumn(key, digest)
+    # The join deals rows out by the key, so the duplicates need no second exchange.
+    left = keyed.join(stored(kept, "kept"), key, "left_semi").dropDuplicates([key])
+    return left.select(*[column(docs, c) for c in docs.columns])
