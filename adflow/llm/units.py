@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-UNITS_KEPT = 400_000
-"""Units whose ids are kept in one Python worker; beyond, the cache starts anew."""
+UNITS_KEPT = 600_000
+"""Units whose ids are kept in one Python worker, in two generations; the older one goes when the newer is full."""
 
 _SHARED_WHITE_SPACE = re.compile(r" (?:\s|\Z)")
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -53,6 +53,7 @@ class UnitEncoder:
         self.special = special
         self.kept = kept
         self.spaced: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         longest_first = sorted(special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
@@ -70,7 +71,7 @@ class UnitEncoder:
 
     def learn(self, units: list[str]) -> list[bytes]:
         """Ids of units that no cache has; their pieces may be known."""
-        if len(self.pieces) >= self.kept:
+        if len(self.pieces) >= self.kept // 2:
             self.pieces.clear()
         cut = list(map(self.split, units))
         unknown = list({p for pieces in cut if len(pieces) > 1 for p in pieces if p not in self.pieces})
@@ -82,14 +83,17 @@ class UnitEncoder:
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """Ids of texts without special tokens."""
-        if len(self.spaced) >= self.kept:
-            self.spaced.clear()
+        if len(self.spaced) >= self.kept // 2:
+            self.older, self.spaced = self.spaced, {}
         cut = [self.units_of(text) for text in texts]
         known = self.spaced.get
         found = [list(map(known, units)) for units in cut]
         gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
-        unknown = list({units[i] for units, row in zip(cut, gaps) for i in row})
-        self.spaced.update(zip(unknown, self.learn([" " + unit for unit in unknown])))
+        unknown = {units[i] for units, row in zip(cut, gaps) for i in row}
+        met = unknown & self.older.keys()
+        self.spaced.update((unit, self.older[unit]) for unit in met)
+        new = list(unknown - met)
+        self.spaced.update(zip(new, self.learn([" " + unit for unit in new])))
         heads = self.learn([units[0] for units in cut])
         known = self.spaced.__getitem__
         for head, units, row, holes in zip(heads, cut, found, gaps):
