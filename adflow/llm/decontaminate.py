@@ -8,14 +8,16 @@
    back, the products are summed by Spark, and a small factorisation on the
    driver gives the latent basis.
 3. Each passage is searched in the latent space: its cosine with a benchmark
-   passage makes a candidate.
+   passage makes a candidate. So does the plain cosine of the TF-IDF rows, so
+   what lies outside the latent basis is not lost.
 4. A candidate is a leak if the longest common subsequence of the words around
    it and the benchmark passage covers ``SURE`` of the latter, or ``LIKELY`` of
    it while the answer's words are there in order (``ANSWERED``).
 
-The benchmark is taken in blocks of a bounded number of words, each with its own
-vocabulary, basis and search over all passages, so what is broadcast and what
-comes to the driver is bounded by ``BLOCK_WORDS`` and ``RANK``, not by the data.
+The benchmark is taken in blocks of a bounded number of words and passages, each
+with its own vocabulary, basis and search over all passages, so what is broadcast
+and what comes to the driver is bounded by ``BLOCK_WORDS`` and ``BLOCK_PASSAGES``,
+not by the data. The rank is no less than the passages of the block.
 Benchmark items of more than ``LONGEST`` words are cut into passages of that length.
 
 Words are runs of characters other than ASCII white space and punctuation, in
@@ -46,8 +48,10 @@ STEP = 16
 LONGEST = 64
 """Longer benchmark items are cut into passages of so many words."""
 RANK = 192
+"""The least rank; a block of more passages has a rank of their number."""
 OVERSAMPLING = 16
 BLOCK_WORDS = 40_000
+BLOCK_PASSAGES = 256
 STOP_SHARE = 0.02
 """Words in more than this share of documents say nothing about a passage, but for an item's rarest ``KEPT_WORDS``."""
 KEPT_WORDS = 6
@@ -83,14 +87,15 @@ def items_of(item_id, text: str | None, answer: str | None) -> list[Item]:
 
 
 def blocks_of(benchmark: DataFrame, item_id: str, text: str, answer: str | None) -> Iterator[list[Item]]:
-    """The benchmark's passages in blocks of a bounded number of words."""
+    """The benchmark's passages in blocks of a bounded number of words and passages."""
     told = column(benchmark, answer) if answer else F.lit(None).cast("string")
     rows = benchmark.select(column(benchmark, item_id), column(benchmark, text).cast("string"), told.cast("string"))
     held: list[Item] = []
     size = 0
     for row in rows.toLocalIterator():
         for item in items_of(*row):
-            if held and size + len(item.words) + len(item.answer) > BLOCK_WORDS:
+            full = len(held) == BLOCK_PASSAGES or size + len(item.words) + len(item.answer) > BLOCK_WORDS
+            if held and full:
                 yield held
                 held, size = [], 0
             held.append(item)
@@ -302,19 +307,19 @@ def _search(
 ) -> DataFrame:
     """A row (id, item, cosine, lcs, answer, word) for each text and benchmark passage that leaked into it."""
     spark, kind = coded.sparkSession, coded.schema["id"].dataType
-    latent = latent_items(items, weights, basis)
+    latent, plain = latent_items(items, weights, basis), plain_items(items, weights)
     # The most that a word can add to the product with any benchmark passage.
-    most = np.maximum((basis @ latent.T).max(axis=1, initial=0.0), 0.0)
-    sent = spark.sparkContext.broadcast((weights, basis, latent, most, items, answers))
+    most = np.maximum((basis @ latent.T).max(axis=1, initial=0.0), plain.max(axis=1, initial=0.0))
+    sent = spark.sparkContext.broadcast((weights, np.hstack([basis, plain]), latent, most, items, answers))
 
     def searched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, basis, latent, most, items, answers = sent.value
+        weights, vectors, latent, most, items, answers = sent.value
         for frame, codes in _batches(frames):
             passages = Passages(codes, weights)
             likely = np.flatnonzero(passages.summed(passages.weight * most[passages.code]) >= cosine * passages.norm)
             if not len(likely):
                 continue
-            near = passages.project(basis, likely) @ latent.T / passages.norm[likely, None]
+            near = cosines(passages, vectors, latent, likely)
             found = []
             tried: dict[tuple[int, int], list] = {}
             for i, q in zip(*np.nonzero(near >= cosine)):
@@ -356,6 +361,23 @@ def latent_items(items: list[np.ndarray], weights: np.ndarray, basis: np.ndarray
     return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
 
+def plain_items(items: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """The TF-IDF rows of unit length of the benchmark passages, as a column for each."""
+    plain = np.zeros((len(weights), len(items)), np.float32)
+    for i, words in enumerate(items):
+        np.add.at(plain[:, i], words, weights[words])
+    return plain / np.maximum(np.linalg.norm(plain, axis=0), 1e-9)
+
+
+def cosines(passages: Passages, vectors: np.ndarray, latent: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The larger of the latent and the plain cosine of some passages (rows) with each benchmark passage.
+
+    The vectors are the latent basis and, beside it, the benchmark's plain rows.
+    """
+    rows, rank = passages.project(vectors, which), latent.shape[1]
+    return np.maximum(rows[:, :rank] @ latent.T, rows[:, rank:]) / passages.norm[which, None]
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -383,12 +405,11 @@ def find_leaks(
         items = [np.array([vocabulary[w] for w in item.words], np.uint16) for item in block]
         answers = [np.array([vocabulary[w] for w in item.answer], np.uint16) for item in block]
         weights = _weights(frequency, items)
-        basis = latent_basis(texts, weights, items, rank)
+        basis = latent_basis(texts, weights, items, max(rank, len(items)))
         found = stored(_search(texts, weights, basis, items, answers, cosine), "leaks")
         ids = spark.createDataFrame([(i, item.item_id) for i, item in enumerate(block)], names)
-        best = F.max_by(F.struct("cosine", "lcs", "answer", "word"), F.struct("lcs", "answer", "cosine")).alias("best")
-        named = found.join(ids, "item").groupBy(F.col("id").alias(id_column), column(ids, item_id).alias(item_id)).agg(best)
-        results.append(named.select(id_column, item_id, "best.*"))
+        leak = F.struct("cosine", "lcs", "answer", "word").alias("leak")
+        results.append(found.join(ids, "item").select(F.col("id").alias(id_column), column(ids, item_id).alias(item_id), leak))
     if not results:
         empty = narrow.select(F.col("id").alias(id_column)).where(F.lit(False))
         none = [F.lit(None).cast(benchmark.schema[item_id].dataType).alias(item_id)]
@@ -397,7 +418,9 @@ def find_leaks(
     all_results = results[0]
     for more in results[1:]:
         all_results = all_results.unionByName(more)
-    return all_results
+    # Passages of one item may lie in two blocks.
+    best = F.max_by("leak", F.struct("leak.lcs", "leak.answer", "leak.cosine")).alias("best")
+    return all_results.groupBy(id_column, item_id).agg(best).select(id_column, item_id, "best.*")
 
 
 def decontaminated(

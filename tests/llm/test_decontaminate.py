@@ -98,6 +98,65 @@ def test_candidates_of_latent_search(spark):
     assert hits.sum() >= 300 and (near(basis)[hits] >= decontaminate.COSINE).mean() >= 0.9
 
 
+def leaked_corpus(items: list[list[str]], filler: int) -> tuple[list[tuple], set]:
+    """A text for each item that holds it verbatim, or with a quarter of its words changed, between other words."""
+    rng, rows = random.Random(11), []
+    for i, item in enumerate(items):
+        body = list(item)
+        for at in rng.sample(range(len(body)), i % 2 * len(body) // 4):
+            body[at] = f"changed{rng.randrange(10**6)}"
+        around = [f"other{rng.randrange(filler)}" for _ in range(60)]
+        rows.append((i, " ".join(around[:30] + body + around[30:]), None, None, 0))
+    return rows, {(i, i) for i in range(len(items))}
+
+
+def full_benchmark(spark, n: int):
+    """Items that fill a block: words of a shared vocabulary."""
+    rng, vocabulary = random.Random(3), words(6000, 9)
+    items = [[vocabulary[int(6000 * rng.random() ** 1.5)] for _ in range(37)] for _ in range(n)]
+    return items, spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+
+
+def test_recall_of_a_benchmark_that_fills_a_block(spark):
+    items, benchmark = full_benchmark(spark, 1050)
+    rows, leaks = leaked_corpus(items, 20_000)
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, PLAIN).repartition(4), benchmark).collect()
+    assert leaks <= {(r["doc_id"], r["item_id"]) for r in got}
+    assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got})
+    sizes = [len(b) for b in decontaminate.blocks_of(benchmark, "item_id", "text", None)]
+    assert sum(sizes) == 1050 and max(sizes) <= decontaminate.BLOCK_PASSAGES
+
+
+def test_nothing_of_the_plain_cosine_is_lost(spark):
+    """At a rank far below the items, what the plain cosine ranks near stays a candidate."""
+    rng = np.random.default_rng(8)
+    items = [rng.integers(1, 3000, 37).astype(np.uint16) for _ in range(decontaminate.BLOCK_PASSAGES)]
+    codes = [np.concatenate([np.zeros(30, np.uint16), q, np.zeros(30, np.uint16)]) for q in items]
+    weights = np.concatenate([[7.0], rng.uniform(2, 6, 2999)]).astype(np.float32)
+    df = spark.createDataFrame([(i, c.tobytes()) for i, c in enumerate(codes)], "id long, codes binary")
+    basis = decontaminate.latent_basis(df, weights, items, rank=8)
+    latent, plain = decontaminate.latent_items(items, weights, basis), decontaminate.plain_items(items, weights)
+    passages = decontaminate.Passages(codes, weights)
+    every = np.arange(len(passages.text))
+    dense = np.zeros((len(every), 3000))
+    for p in every:
+        at = passages.place[p] * decontaminate.STEP
+        window = codes[passages.text[p]][at : at + 2 * decontaminate.STEP]
+        np.add.at(dense[p], window[window > 0], weights[window[window > 0]])
+    literal = dense @ plain / passages.norm[:, None]
+    got = decontaminate.cosines(passages, np.hstack([basis, plain]), latent, every)
+    assert (got >= literal - 1e-4).all()
+    found = decontaminate._search(df, weights, basis, items, items, decontaminate.COSINE).collect()
+    assert {(i, i) for i in range(len(items))} <= {(r["id"], r["item"]) for r in found}
+
+
+def test_one_row_for_an_item_in_two_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 150)
+    benchmark = spark.createDataFrame([(1, " ".join(words(300, 1)))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(words(300, 1)), None, None, 0)], PLAIN)
+    assert [(r["doc_id"], r["item_id"], r["lcs"]) for r in decontaminate.find_leaks(docs, benchmark).collect()] == [(1, 1, 1.0)]
+
+
 def test_product_by_a_dense_matrix():
     rng = np.random.default_rng(2)
     codes = [(rng.integers(0, 40, n) * (rng.random(n) < 0.2)).astype(np.uint16) for n in (5, 16, 17, 100, 33, 1)]
