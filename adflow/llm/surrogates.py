@@ -10,15 +10,19 @@ gets one surrogate for the whole corpus, drawn by a keyed hash:
 - cards that pass the Luhn test still do, IBANs keep country and check sum,
   addresses get the reserved block 240.0.0.0/4, email domains the reserved
   ending ``.example``, social security numbers the unassigned area 9xx;
-- a given name gets one of the same gender and script, a surname a name of the
-  same pattern of vowels and consonants; titles stay.
+- a given name gets one of the same gender and script: a well-known one, or, as
+  those are soon used up or entities themselves, syllables with an ending of the
+  gender, more syllables with each draw; a surname gets a name of the same
+  pattern of vowels and consonants; titles stay.
 
 Mentions that only differ in case or punctuation refer to one entity and get one
 surrogate in each mention's own format; a surname is replaced alike with and
 without the given name, a domain alike in all addresses. Collisions are checked:
 a candidate that another entity has, or that is itself an entity of the corpus,
-is drawn again. After ``MOST_DRAWS`` draws the surrogate is a longer name of the
-hash, which is distinct but longer than the format.
+is drawn again. After ``MOST_DRAWS`` draws the format counts as used up and the
+surrogate gets longer: more syllables in a surname, a longer local part in an
+email address, more digits in a number (IBANs up to their 34 characters, check
+sums right), an IPv6 address of the documentation block for an IPv4 address.
 
 Only DataFrame functions are used. Defined cases. Null and empty texts stay.
 Texts without an entity stay as they are. Repeated rows each keep their row.
@@ -34,6 +38,8 @@ from adflow.llm.tables import column, fresh_name, text_of
 from adflow.session import stored
 
 MOST_DRAWS = 12
+LISTED_DRAWS = 3
+"""So many draws of a given name are from the lists of well-known ones."""
 KEY = "surrogates"
 
 # Titles, and well-known given names, by gender.
@@ -56,6 +62,12 @@ GIVEN_CYRILLIC = {
 LATIN = ("aeiou", "bcdfghjklmnpqrstvwxyz")
 CYRILLIC = ("аеиоуэюя", "бвгдзклмнпрстфхцчш")
 GREEK = ("αεηιουω", "βγδζθκλμνξπρστφχψ")
+# Endings of given names by script and gender; none ends in one of another gender.
+ENDINGS = {
+    LATIN: {"m": ["us", "ard", "olf", "ert"], "f": ["ina", "ia", "ette", "elle"], "n": ["yn", "is", "ey", "en"]},
+    CYRILLIC: {"m": ["ор", "ан", "ислав", "имир"], "f": ["ина", "ия", "ана", "ислава"], "n": ["иша", "уня", "ася"]},
+    GREEK: {"m": ["ος", "ης", "ων"], "f": ["ινα", "ουλα", "ινη"], "n": ["ι", "υ"]},
+}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
@@ -112,6 +124,32 @@ def _recast(value: Column, seed: Column, name: bool = False) -> Column:
     return F.array_join(F.transform(F.split(value, ""), lambda c, i: _like(c, _draw(seed, i), name)), "")
 
 
+def _in_script(norm: Column, of_script) -> Column:
+    """What a function of an alphabet gives for the alphabet of the name."""
+    found = F.when(norm.rlike(r"\p{IsCyrillic}"), of_script(CYRILLIC)).when(norm.rlike(r"\p{IsGreek}"), of_script(GREEK))
+    return found.otherwise(of_script(LATIN))
+
+
+def _syllables(norm: Column, seed: Column, count: Column) -> Column:
+    """So many syllables of a consonant and a vowel of the name's script."""
+    pairs = _in_script(norm, lambda alphabet: F.array(*[F.lit(c + v) for c in alphabet[1] for v in alphabet[0]]))
+    drawn = F.transform(F.sequence(F.lit(1), count), lambda i: (_draw(seed, i) % F.size(pairs) + 1).cast("int"))
+    return F.array_join(F.transform(drawn, lambda at: F.element_at(pairs, at)), "")
+
+
+def _ending(kind: Column, norm: Column, number: Column) -> Column:
+    """A consonant and an ending of the given name's script and gender."""
+    def of_script(alphabet: tuple[str, str]) -> Column:
+        every = F.lit(None).cast("array<string>")
+        for gender, endings in ENDINGS[alphabet].items():
+            listed = F.array(*[F.lit(c + e) for c in alphabet[1] for e in endings])
+            every = F.when(kind == f"given_{gender}", listed).otherwise(every)
+        return every
+
+    endings = _in_script(norm, of_script)
+    return F.element_at(endings, (number % F.size(endings) + 1).cast("int"))
+
+
 def _luhn(digits: Column) -> Column:
     """The Luhn sum of a number modulo 10, the last digit undoubled."""
     chars = F.split(F.reverse(digits), "")
@@ -135,30 +173,40 @@ def _check_sum(iban: Column) -> Column:
 def _candidate(kind: Column, norm: Column, draw: Column, key: str) -> Column:
     """The surrogate of an entity at a draw."""
     seed = F.concat_ws("|", F.lit(key), kind, norm, draw.cast("string"))
+    used_up = draw >= MOST_DRAWS
+    more, digest = F.concat(seed, F.lit("|more")), F.sha2(seed, 256)
+    digits = F.when(used_up, F.substring(F.translate(F.sha2(more, 256), "abcdef", "012345"), 1, 24)).otherwise("")
     plain = _recast(norm, seed)
     size = F.length(norm)
-    body = F.concat(F.substring(norm, 1, 1), F.substr(plain, F.lit(2), size - 2))
+    body = F.concat(F.substring(norm, 1, 1), F.substr(plain, F.lit(2), size - 2), digits)
     rest = _luhn(F.concat(body, F.lit("0")))
     card = F.when(_luhn(norm) == 0, F.concat(body, ((10 - rest) % 10).cast("string"))).otherwise(
         F.concat(body, F.substr(plain, size, F.lit(1)))
     )
     octets = [(240 + _draw(seed, 0) % 15).cast("string"), *[(_draw(seed, i) % 256).cast("string") for i in (1, 2, 3)]]
-    country, account = F.substring(norm, 1, 2), F.substr(plain, F.lit(5), size)
+    country, account = F.substring(norm, 1, 2), F.substring(F.concat(F.substr(plain, F.lit(5), size), digits), 1, 30)
     check = 98 - _check_sum(F.concat(country, F.lit("00"), account))
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     first = F.regexp_replace(domain, r"\.[^.]+$", "")
-    at = F.concat(_recast(local, seed), F.lit("@"), _recast(first, F.concat(F.lit(f"{key}|domain|"), domain)), F.lit(".example"))
-    found = F.when(kind == "email", at).when(kind == "ip", F.concat_ws(".", *octets)).when(kind == "card", card)
-    found = found.when(kind == "ssn", F.concat(F.lit("9"), F.substr(plain, F.lit(2), size)))
-    found = found.when(kind == "phone", F.concat(F.substring(norm, 1, 1), F.substr(plain, F.lit(2), size)))
+    name = F.concat(_recast(local, seed), F.when(used_up, F.concat(F.lit("."), F.substring(digest, 1, 32))).otherwise(""))
+    at = F.concat(name, F.lit("@"), _recast(first, F.concat(F.lit(f"{key}|domain|"), domain)), F.lit(".example"))
+    found = F.when(kind == "email", at).when(kind == "card", card)
+    groups = [F.substring(digest, i, 4) for i in range(1, 25, 4)]
+    address = F.when(used_up, F.concat_ws(":", F.lit("2001:db8"), *groups)).otherwise(F.concat_ws(".", *octets))
+    found = found.when(kind == "ip", address)
+    found = found.when(kind == "ssn", F.concat(F.lit("9"), F.substr(plain, F.lit(2), size), digits))
+    found = found.when(kind == "phone", F.concat(F.substring(norm, 1, 1), F.substr(plain, F.lit(2), size), digits))
     found = found.when(kind == "iban", F.concat(country, F.lpad(check.cast("string"), 2, "0"), account))
+    listed = F.lit(None).cast("string")
     for gender in GIVEN:
         script = F.when(norm.rlike(r"\p{IsCyrillic}"), _one_of(GIVEN_CYRILLIC[gender], _draw(seed, 0)))
         given = script.when(norm.rlike("^[a-zß-ÿ'’-]+$"), _one_of(GIVEN[gender], _draw(seed, 0)))
-        given = F.when(draw < 3, given)
-        found = found.when(kind == f"given_{gender}", F.coalesce(F.lower(given), _recast(norm, seed, name=True)))
-    found = found.otherwise(_recast(norm, seed, name=True))
-    return F.when(draw >= MOST_DRAWS, F.concat(kind, F.lit("-"), F.substring(F.sha2(seed, 256), 1, 32))).otherwise(found)
+        listed = F.when(kind == f"given_{gender}", given).otherwise(listed)
+    named = kind.startswith("given_")
+    longer = _syllables(norm, more, F.when(named, F.greatest(F.lit(2), draw - 1)).otherwise(8))
+    given = F.coalesce(F.when(draw < LISTED_DRAWS, F.lower(listed)), F.concat(longer, _ending(kind, norm, _draw(more, 0))))
+    name = F.concat(_recast(norm, seed, name=True), F.when(used_up, longer).otherwise(""))
+    return found.when(named, given).otherwise(name)
 
 
 def _kind(surface: Column) -> Column:
@@ -207,10 +255,10 @@ def _fitted(kind: Column, piece: Column, norm: Column, surrogate: Column) -> Col
         "",
     )
     cased = F.when(piece == F.upper(piece), F.upper(surrogate)).otherwise(F.initcap(surrogate))
-    fits = F.length(norm) == F.length(surrogate)
+    surplus = F.substr(surrogate, F.length(norm) + 1, F.lit(100))
     named = kind.startswith("given_") | (kind == "surname")
     return (
-        F.when(kind.isin(*_DIGITS) & fits, filled)
+        F.when(kind.isin(*_DIGITS), F.concat(filled, surplus))
         .when(named, cased)
         .when((kind == "email") & (piece == F.upper(piece)), F.upper(surrogate))
         .otherwise(surrogate)

@@ -79,6 +79,42 @@ def test_distinct_and_never_an_original(spark):
     assert sum(g in surrogates.GIVEN["m"] for g in given) >= 8
 
 
+def test_given_names_beyond_the_lists(spark):
+    """Gender and script are kept though the corpus has every listed name and many more."""
+    rows = []
+    for gender in "mfn":
+        listed = surrogates.GIVEN[gender] + surrogates.GIVEN_CYRILLIC[gender]
+        others = [f"{a}{b}{c}{gender}" for a in "bdfg" for b in "aeiou" for c in "klmnp"]
+        cyrillic = [f"{a}{b}{c}" for a in "бдф" for b in "аеи" for c in {"m": "кл", "f": "мн", "n": "пр"}[gender]]
+        greek = [f"{a}{b}{c}" for a in "βδ" for b in "αε" for c in {"m": "κλ", "f": "μν", "n": "πρ"}[gender]]
+        rows += [(f"given_{gender}", n.lower()) for n in [*listed, *others, *cyrillic, *greek, f"čeněk{gender}"]]
+    got = surrogates.draw_surrogates(spark.createDataFrame(rows, "kind string, norm string")).collect()
+    assert {(r["kind"], r["norm"]) for r in got} == set(rows)
+    assert len({r["surrogate"] for r in got}) == len(rows) and not {r["surrogate"] for r in got} & {n for _, n in rows}
+    script = lambda w: "c" if re.search("[а-яё]", w) else "g" if re.search("[α-ως]", w) else "l"
+    endings = {g: tuple(e for by in surrogates.ENDINGS.values() for e in by[g]) for g in "mfn"}
+    for r in got:
+        assert script(r["surrogate"]) == script(r["norm"])
+        assert [g for g in "mfn" if r["surrogate"].endswith(endings[g])] == [r["kind"][-1]], r
+
+
+def test_forms_of_longer_surrogates(spark, monkeypatch):
+    """What is drawn when a format is used up is still a name, an address or a number of its kind."""
+    monkeypatch.setattr(surrogates, "MOST_DRAWS", 0)
+    got = rewritten(spark, TEXT)[0]
+    mails = re.findall(r"\S+@\S+\.example\b", got)
+    assert len(mails) == 2 and len(set(mails)) == 1 and re.fullmatch(surrogates.PATTERNS["email"], mails[0])
+    assert re.search(r"[a-z]{4}\.[a-z]{3}\d{2}\.[0-9a-f]{32}@", mails[0])
+    assert len({re.sub(r"\D", "", p) for p in re.findall(r"\+1 \(?\d{3}\)? \d{3}[- ]\d{28}", got)}) == 1
+    assert re.search(r"IP 2001:db8(:[0-9a-f]{4}){6}\.", got) and re.search(r"SSN 9\d\d-\d\d-\d{28},", got)
+    cards = {re.sub("-", "", c) for c in re.findall(r"\b\d{4}-?\d{4}-?\d{4}-?\d{28}\b", got)}
+    assert len(cards) == 1 and luhn(cards.pop()) == 0
+    [iban] = re.findall(r"DE\d{32}\b", got)
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    names = re.search(r"Mr\. (\w+) (\w+) met Mrs (\w+) and (\w+) (\w+); г-н ([А-Я][а-я]+), Frau (\w+)\.$", got)
+    assert names[2] == names[3] and len(names[2]) == 21 and names[7].isupper()
+
+
 def test_when_a_format_is_used_up(spark):
     """Eleven one-digit entities cannot have one-digit surrogates; none is lost."""
     df = spark.createDataFrame([("surname", c) for c in "bcdfghjklmnpqrstvwxyz"], "kind string, norm string")
