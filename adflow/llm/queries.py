@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.llm import bpe, credentials, decontaminate, fingerprints, language, shards, simhash, surrogates, token_files, warc
+from adflow.llm import (
+    bpe,
+    credentials,
+    decontaminate,
+    divergence,
+    fingerprints,
+    language,
+    shards,
+    simhash,
+    surrogates,
+    token_files,
+    warc,
+)
 from adflow.session import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +189,46 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN sums USING (doc_id)"""
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SHARE_SQL = "(1 + 1000000000::HUGEINT * ({count} + 1) // ({total} + v))"
+OP11_SQL = f"""WITH docs AS (
+  SELECT row_number() OVER () AS doc, translate(coalesce(text, ''), {_LOWER}) AS text,
+         coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS lang_count FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= {divergence.LEAST_DOCS}),
+langs AS (SELECT lang, count(*) AS v, sum(lang_count) AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+         {_SHARE_SQL.format(count="coalesce(n, 0)", total="coalesce(total, 0)")} AS p,
+         {_SHARE_SQL.format(count="lang_count", total="lang_total")} AS lang_p
+  FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang)
+  LEFT JOIN totals USING (lang, source) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - lang_p) * (p - lang_p) // lang_p AS value
+  FROM shares WHERE n > 0 AND p > lang_p),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (FROM every UNION ALL FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_surrogates": op2_surrogates,
@@ -188,6 +240,11 @@ QUERIES: dict[str, Query] = {
     "op8_shards": op8_shards,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
+    "op11_divergence": op11_divergence,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op10_secrets": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+    "op10_secrets": OP10_SQL,
+    "op11_divergence": OP11_SQL,
+}
