@@ -15,6 +15,7 @@ from adflow.llm import (
     divergence,
     fingerprints,
     language,
+    prefix_trie,
     shards,
     simhash,
     surrogates,
@@ -229,6 +230,43 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}"""
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+_CRC_STEP = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), "
+    f"lambda d: ord(d)::BIGINT)), lambda c, b: {_CRC_STEP}), 4294967295)"
+)
+OP12_SQL = f"""WITH turns AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY place) AS said, {_CRC} % {prefix_trie.HEADS} AS h FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.said[1:c.h], []), c.said[c.h + 1:]) AS said
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % {prefix_trie.BASE}),
+members AS (
+  SELECT conv_id, len(said) AS length, depth, said[1:depth] AS path
+  FROM (SELECT *, unnest(range(len(said) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth) AS ends,
+         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[-1].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM members GROUP BY path, depth),
+children AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+told AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path)),
+above AS (SELECT *, path[1:unnest(range(depth + 1))] AS top FROM told),
+sums AS (
+  SELECT top AS path, sum((n_convs - 1) * words) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM above GROUP BY ALL)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+FROM told t JOIN sums s USING (path) LEFT JOIN nodes p ON t.depth > 0 AND p.path = t.path[1:t.depth - 1]"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_surrogates": op2_surrogates,
@@ -241,10 +279,12 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
     "op11_divergence": op11_divergence,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op10_secrets": OP10_SQL,
     "op11_divergence": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
