@@ -42,7 +42,9 @@ def difference(got: pd.DataFrame, expected: pd.DataFrame) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(expected.columns)}"
     if len(got) != len(expected):
         return f"{len(got)} rows != {len(expected)}"
-    have, want = canonical(got), canonical(expected)
+    # Whole numbers with nulls come as doubles from one side and as nullable integers from the other.
+    whole = {c: "Int64" for c in got.columns if "Int64" in (str(expected[c].dtype), str(got[c].dtype))}
+    have, want = canonical(got.astype(whole)), canonical(expected.astype(whole))
     if have != want:
         only = [(h, w) for h, w in zip(have, want) if h != w][:2]
         return f"values differ: {only}"
