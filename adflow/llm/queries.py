@@ -14,6 +14,7 @@ from adflow.llm import (
     decontaminate,
     divergence,
     fingerprints,
+    jaccard,
     language,
     prefix_trie,
     shards,
@@ -234,6 +235,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _CRC_STEP = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
 _CRC = (
     "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), "
@@ -280,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
     "op11_divergence": op11_divergence,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_jaccard": op13_jaccard,
 }
 
 ORACLES: dict[str, str] = {
