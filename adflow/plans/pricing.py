@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adflow.operators import pricing
+from adflow.operators import order_table, pricing
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
 from adflow.plans.registry import ORDERS_SQL, STATS_SQL, orders, query, stats
 from adflow.session import fresh_folder, stored
-from adflow.sources import readers, sinks
+from adflow.sources import readers, sinks, versions
 
 RATE = "CAST(trunc({v} / ({w} / 1000.0::DOUBLE)) AS BIGINT)"
 
@@ -238,3 +238,41 @@ def mock_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "mock-orders")
     sinks.write_tsv(pricing.mock_orders(stats(spark, sf_dir)), path)
     return readers.read_orders(spark, path)
+
+
+@query(
+    "apply_order_results",
+    f"""WITH {PRICED_SQL}
+SELECT 'order' AS entry, order_id, CASE WHEN status = 'success' THEN premium_rate / 100.0::DOUBLE ELSE 0 END AS price,
+       CASE status WHEN 'success' THEN 6 WHEN 'fail' THEN 7 ELSE 0 END AS state,
+       CASE WHEN status = 'audit' THEN '2015-12-01' ELSE '2016-01-31' END AS mod_time
+FROM priced WHERE order_key % 7 <> 0
+UNION ALL
+SELECT 'audit', order_id, CASE WHEN order_key % 5 = 0 THEN 1.0 ELSE premium_rate / 100.0::DOUBLE END,
+       CASE WHEN order_key % 5 = 0 THEN 2 ELSE 0 END,
+       CASE WHEN order_key % 5 = 0 THEN '2015-12-01' ELSE '2016-01-31' END
+FROM priced WHERE status = 'audit'""",
+)
+def apply_order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results applied to an order table that lacks some orders and an audit table that has some entries.
+
+    They are applied twice under one name and once more under another, which must change nothing.
+    """
+    results = stored_prices(spark, sf_dir)
+    root = fresh_folder(spark, "order-table")
+    known = order_table.new_orders(results.where("order_key % 7 <> 0"), "order_id", "2015-12-01")
+    seen = order_table.audit_rows(results.where("order_key % 5 = 0"), "2015-12-01")
+    seen = seen.withColumns({"advice_price": F.lit(1).cast(order_table.MONEY), "audit_status": F.lit(2)})
+    tables = {order_table.ORDERS: (known, "order_id"), order_table.AUDITS: (seen, "order_id")}
+    versions.create(spark, root, tables, buckets=8)
+    for run in ("january", "january", "january again"):
+        version = order_table.apply_results(spark, root, results, "2016-01-31", run)
+    orders_now = versions.read_table(spark, root, version, order_table.ORDERS)
+    audits_now = versions.read_table(spark, root, version, order_table.AUDITS)
+
+    def shown(entry: str, df: DataFrame, price: str, state: str) -> DataFrame:
+        return df.select(
+            F.lit(entry).alias("entry"), "order_id", F.col(price).cast("double").alias("price"), F.col(state).alias("state"), "mod_time"
+        )
+
+    return shown("order", orders_now, "order_price", "pre_state").unionByName(shown("audit", audits_now, "advice_price", "audit_status"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adflow.functions.numbers import percent_discount
 from adflow.operators import rollups
+from adflow.operators.machines import run_machine
 from adflow.operators.ordering import shard_by_modulo, sort_rows
 from adflow.operators.sequences import ledger_total, running_valid, validate_transitions
 from adflow.plans.files import LOG_SQL, report_log
@@ -225,3 +226,41 @@ def discounted_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     reduced = exact(percent_discount(F.col("l_extendedprice"), 25))
     total = rollups.discounted_total(table(spark, sf_dir, "lineitem"), reduced)
     return total.select(F.col("total").cast("double").alias("total"))
+
+
+# A visitor's session as a machine; most events are allowed from several states.
+SESSION = {
+    "signup": {"new": "member", "browsing": "member"},
+    "view": {"new": "browsing", "browsing": "browsing", "member": "browsing", "engaged": "browsing", "bought": "browsing"},
+    "click": {"browsing": "engaged", "engaged": "engaged", "member": "engaged", "bought": "engaged"},
+    "purchase": {"engaged": "bought", "member": "bought", "browsing": "bought"},
+    "error": {"new": "new", "browsing": "new", "engaged": "browsing", "member": "member"},
+}
+_MOVES_SQL = ", ".join(f"('{e}', '{a}', '{b}')" for e, moves in SESSION.items() for a, b in moves.items())
+
+
+@query(
+    "machine_walks",
+    f"""WITH RECURSIVE moves AS (SELECT * FROM (VALUES {_MOVES_SQL}) AS m(event_type, before, after)),
+steps AS (
+  SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place,
+         count(*) OVER (PARTITION BY user_id) AS n FROM events),
+walk AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS place, 'new' AS state, n, CAST(-1 AS BIGINT) AS bad FROM steps WHERE place = 1
+  UNION ALL
+  SELECT w.user_id, s.place, m.after, w.n, CASE WHEN m.after IS NULL THEN s.event_id ELSE -1 END
+  FROM walk w JOIN steps s ON s.user_id = w.user_id AND s.place = w.place + 1
+  LEFT JOIN moves m ON m.event_type = s.event_type AND m.before = w.state
+  WHERE w.state IS NOT NULL)
+SELECT user_id, state IS NOT NULL AS valid, coalesce(state, '-') AS end_state, bad AS first_bad_event
+FROM walk WHERE state IS NULL OR place = n""",
+)
+def machine_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    walked = run_machine(events, "user_id", ["ts", "event_id"], "event_type", SESSION, start="new")
+    return walked.select(
+        "user_id",
+        "valid",
+        F.coalesce("end_state", F.lit("-")).alias("end_state"),
+        F.coalesce("first_bad.event_id", F.lit(-1)).alias("first_bad_event"),
+    )
