@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
-from adflow.operators import model, pricing, rollups  # noqa: E402
+from adflow.operators import model, order_table, pricing, rollups  # noqa: E402
 from adflow.operators.ordering import shard_by_modulo  # noqa: E402
 from adflow.session import remove_written, stored  # noqa: E402
 from adflow.sources import generators, readers, sinks  # noqa: E402
-from adflow.streaming import batches  # noqa: E402
+from adflow.streaming import batches, stateful  # noqa: E402
 
 
 def report_log(spark: SparkSession, source: str, target: str, shards: int = 10) -> None:
@@ -44,15 +44,20 @@ def price(
     """Price orders; write prices, result lines with headings, and SQL statements below a folder."""
     stats = readers.read_stats(spark, stats_path, encoding)
     orders = readers.read_orders(spark, orders_path, encoding)
-    pricing.price_orders(stats, orders).write.parquet(f"{target}/priced")
+    counts = sinks.write_counted(pricing.price_orders(stats, orders), f"{target}/priced")
     priced = spark.read.parquet(f"{target}/priced")
-    sinks.write_result_headers(priced, f"{target}/results")
+    sinks.write_result_headers(priced, f"{target}/results", counts)
     sinks.write_results(priced, f"{target}/results")
-    sinks.write_outcome_messages(priced, f"{target}/messages")
+    sinks.write_outcome_messages(priced, f"{target}/messages", counts)
     sinks.write_statements(priced, run_date, f"{target}/statements")
     return priced
 
 
+def apply_prices(spark: SparkSession, priced_path: str, orders: str, run_date: str, run: str) -> None:
+    """Apply priced results to the versioned order table below a folder; a run that it holds has no effect."""
+    order_table.apply_results(spark, orders, spark.read.parquet(priced_path), run_date, run)
+
+
 def supply_side(spark: SparkSession, source: str, target: str) -> None:
     """Roll up supply-side rows by slot and domain; rejected lines are kept next to the result."""
     good, rejected = readers.read_ssp(spark, source)
@@ -72,6 +77,12 @@ def stream_words(spark: SparkSession, source: str, target: str, checkpoint: str,
     return batches.start_word_count(lines, "value", target, checkpoint, seconds)
 
 
+def stream_totals(spark: SparkSession, source: str, target: str, checkpoint: str, seconds: int | None) -> StreamingQuery:
+    """Count the words of all text files so far; a restart goes on from the checkpoint."""
+    lines = batches.text_stream(spark, source)
+    return stateful.start_running_words(lines, "value", target, checkpoint, seconds)
+
+
 def stream_clicks(
     spark: SparkSession, source: str, blacklist: str, target: str, checkpoint: str, seconds: int | None
 ) -> StreamingQuery:
@@ -107,9 +118,11 @@ def main() -> None:
         "report-log": ["source", "target"],
         "make-log": ["target"],
         "price": ["stats", "orders", "target", "run_date"],
+        "apply-prices": ["priced", "orders", "run_date", "run"],
         "supply-side": ["source", "target"],
         "salaries": ["source", "target"],
         "stream-words": ["source", "target", "checkpoint", "seconds"],
+        "stream-totals": ["source", "target", "checkpoint", "seconds"],
         "stream-clicks": ["source", "blacklist", "target", "checkpoint", "seconds"],
         "survey": ["source", "target"],
     }
@@ -125,9 +138,11 @@ def main() -> None:
         "report-log": report_log,
         "make-log": make_log,
         "price": price,
+        "apply-prices": apply_prices,
         "supply-side": supply_side,
         "salaries": salaries,
         "stream-words": lambda *a: stream_words(*a).awaitTermination(),
+        "stream-totals": lambda *a: stream_totals(*a).awaitTermination(),
         "stream-clicks": lambda *a: stream_clicks(*a).awaitTermination(),
         "survey": survey,
     }

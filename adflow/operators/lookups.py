@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adflow.session import stored
+from adflow.session import folder_exists, stored
 
 
 def require_unique(dim: DataFrame, key: str) -> None:
@@ -73,6 +73,27 @@ def lookup_distinct(df: DataFrame, on: str, value: str, expensive: Column) -> Da
     return df.join(stored(once, "lookups"), on, "left")
 
 
+def memoized(df: DataFrame, on: str, value: str, expensive: Column, memo: str) -> DataFrame:
+    """Add the value of an expensive expression, evaluated once for each key that the memo does not hold.
+
+    The memo is a folder that outlives the call: a table of keys and values that
+    calls, batches and applications share. Keys without a value there are
+    evaluated and appended; all values are then read from it. A call that fails
+    half-way leaves whole rows or none of a task, so the next one evaluates what
+    is missing. Two writers at once may evaluate a key twice; one value counts.
+    A NULL key finds no value and is not evaluated.
+    """
+    spark = df.sparkSession
+    asked = stored(df.select(on).where(F.col(on).isNotNull()).distinct(), "asked")
+    schema = asked.withColumn(value, expensive).schema
+    fresh = asked
+    if folder_exists(spark, memo):
+        fresh = asked.join(spark.read.schema(schema).parquet(memo), on, "left_anti")
+    fresh.withColumn(value, expensive).write.mode("append").parquet(memo)
+    known = spark.read.schema(schema).parquet(memo).join(asked, on, "left_semi")
+    return df.join(stored(known.dropDuplicates([on]), "lookups"), on, "left")
+
+
 def partner_salts(df: DataFrame, partners: DataFrame) -> DataFrame:
     """Add the hash salt of each row's namespace; an unknown namespace has none."""
     return lookup(df, partners, "ns", "hash_salt")

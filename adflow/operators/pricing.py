@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from adflow.functions.records import CHANNELS, ORDER_NOT_FOR_BUYING, ORDER_TO_CONFIRM, code_to_literal
 from adflow.functions.sizes import size_decode
-from adflow.operators.rollups import best_by_rate
+from adflow.operators.rollups import best_by_rate, status_counts
 from adflow.operators.topshare import top_share
 from adflow.session import stored
 
 TRAFFIC_WEB = 1
+STATUSES = ("success", "fail", "audit")
 
 ORDER_FIELDS = (
     "order_key",
@@ -130,15 +131,26 @@ def result_headers(priced: DataFrame) -> DataFrame:
     return priced.groupBy("status").count().select("status", text.alias("header"))
 
 
+def counted_headers(counts: DataFrame) -> DataFrame:
+    """The same headings from a row of ``status_counts``; sections without rows have none."""
+    each = [F.struct(F.lit(s).alias("status"), F.col(s).alias("count")) for s in STATUSES]
+    rows = counts.select(F.inline(F.array(*each))).where("count > 0")
+    return rows.select("status", F.format_string("Output %s results, num=%d", "status", "count").alias("header"))
+
+
 def outcome_messages(priced: DataFrame) -> DataFrame:
     """One message per outcome with its number of orders, for outcomes without any too."""
+    return counted_messages(status_counts(priced))
+
+
+def counted_messages(counts: DataFrame) -> DataFrame:
+    """The same messages from a row of ``status_counts``."""
     # The messages of the summary.
     said = [
         ("success", "Successful PD order num is %d"),
         ("audit", "Auditable PD order num is %d"),
         ("fail", "Failed to cacludate PD order num is %d"),
     ]
-    counts = priced.agg(*[F.count(F.when(F.col("status") == status, 1)).alias(status) for status, _ in said])
     rows = [F.struct(F.lit(s).alias("status"), F.format_string(m, F.col(s)).alias("message")) for s, m in said]
     return counts.select(F.inline(F.array(*rows)))
 

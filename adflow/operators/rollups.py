@@ -172,17 +172,22 @@ def discounted_total(df: DataFrame, discounted: Column) -> DataFrame:
     return df.agg(F.sum(discounted).alias("total"))
 
 
-def status_counts(priced: DataFrame) -> DataFrame:
-    """One row of counts by outcome: success, normal, below the floor, fail, audit."""
+def outcome_counts() -> list[Column]:
+    """Counts by outcome: success, normal, below the floor, fail, audit."""
     status = F.col("status")
-    return priced.agg(
+    return [
         F.count(F.lit(1)).alias("results"),
         F.count_if(status == "success").alias("success"),
         F.count_if((status == "success") & ~F.col("below_floor")).alias("normal"),
         F.count_if((status == "success") & F.col("below_floor")).alias("below_floor"),
         F.count_if(status == "fail").alias("fail"),
         F.count_if(status == "audit").alias("audit"),
-    )
+    ]
+
+
+def status_counts(priced: DataFrame) -> DataFrame:
+    """One row of counts by outcome."""
+    return priced.agg(*outcome_counts())
 
 
 def estimate_pi(points: DataFrame, x: Column, y: Column) -> DataFrame:

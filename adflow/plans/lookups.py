@@ -21,6 +21,7 @@ from adflow.operators import lookups
 from adflow.operators.scans import zip_tables
 from adflow.plans.filters import PEOPLE_SQL, people
 from adflow.plans.registry import joined, query, table, text
+from adflow.session import fresh_folder
 
 
 @query(
@@ -95,6 +96,19 @@ def lookup_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.lookup_distinct(orders, "o_custkey", "found", F.try_element_at(known, F.col("o_custkey").cast("int")))
 
 
+@query(
+    "lookup_memo",
+    """SELECT o_orderkey % 3 AS batch, o_orderkey, o_custkey, sha256(CAST(o_custkey AS VARCHAR)) AS found FROM orders""",
+)
+def lookup_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches with one memo: each finds the customers of the ones before in it."""
+    memo = fresh_folder(spark, "memo")
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("batch"), "o_orderkey", "o_custkey")
+    expensive = F.sha2(F.col("o_custkey").cast("string"), 256)
+    done = [lookups.memoized(orders.where(F.col("batch") == b), "o_custkey", "found", expensive, memo) for b in range(3)]
+    return done[0].unionByName(done[1]).unionByName(done[2]).select("batch", "o_orderkey", "o_custkey", "found")
+
+
 SALTED_SQL = """salted AS (
   SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Acxiom' WHEN 1 THEN 'Bluekai' ELSE 'Dummy' END AS partner,
          CASE c_custkey % 3 WHEN 0 THEN 'AC' WHEN 1 THEN 'CMP' ELSE '' END AS ns

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adflow.operators import order_table, pricing
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
-from adflow.plans.registry import ORDERS_SQL, STATS_SQL, orders, query, stats
+from adflow.plans.registry import ORACLES, ORDERS_SQL, STATS_SQL, orders, query, stats
 from adflow.session import fresh_folder, stored
 from adflow.sources import readers, sinks, versions
 
@@ -276,3 +276,9 @@ def apply_order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return shown("order", orders_now, "order_price", "pre_state").unionByName(shown("audit", audits_now, "advice_price", "audit_status"))
+
+
+@query("observed_counts", ORACLES["status_counts"])
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by outcome from the job that writes the results."""
+    return sinks.write_counted(priced(spark, sf_dir), fresh_folder(spark, "priced"))

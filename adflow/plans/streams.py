@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adflow.plans.registry import query, table, text
+from adflow.plans.registry import ORACLES, query, table, text
+from adflow.plans.rollups import SESSION
 from adflow.session import fresh_folder
 from adflow.sources import sinks
-from adflow.streaming import batches
+from adflow.streaming import batches, stateful
 
 
 def finish(run: StreamingQuery) -> None:
@@ -113,3 +114,45 @@ def micro_batch_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
         run.stop()
     counted = spark.read.schema("event_type string, count bigint, batch_id bigint").parquet(out)
     return counted.groupBy("event_type").agg(F.sum("count").alias("count"))
+
+
+@query(
+    "stream_running_count",
+    """WITH w AS (
+  SELECT CASE WHEN text = '' THEN [''] WHEN trim(text, ' ') = '' THEN []
+              ELSE string_split(rtrim(text, ' '), ' ') END AS words FROM documents)
+SELECT word, count(*) AS "count" FROM (SELECT unnest(words) AS word FROM w) GROUP BY word""",
+)
+def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over documents that arrive in three parts; the stream stops and starts again before each."""
+    source, out, checkpoint = [fresh_folder(spark, x) for x in ("arriving", "totals", "checkpoint")]
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    for part in range(3):
+        documents.where(F.pmod("doc_id", F.lit(3)) == part).write.mode("append").parquet(source)
+        stream = batches.parquet_stream(spark, source, "doc_id bigint, text string")
+        finish(stateful.start_running_words(stream, "text", out, checkpoint))
+    totals = stateful.count_words(documents, "text").schema
+    return stateful.newest(spark, out, totals, ["word"]).select("word", "count")
+
+
+@query("stream_machine", ORACLES["machine_walks"])
+def stream_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions judged as events arrive: three spans of time, with a restart before each."""
+    source, out, checkpoint = [fresh_folder(spark, x) for x in ("arriving", "walks", "checkpoint")]
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    width = ((last or 0) - (first or 0)) // 3 + 1
+    for part in range(3):
+        span = F.floor((seconds - F.lit(first)) / F.lit(width)) == part
+        events.where(span).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        run = stateful.start_walks(stream, "user_id", ["ts", "event_id"], "event_type", SESSION, "new", out, checkpoint)
+        finish(run)
+    walks = stateful.newest(spark, out, stateful.walk_schema(events, "user_id", ["ts", "event_id"]), ["user_id"])
+    return walks.select(
+        "user_id",
+        "valid",
+        F.coalesce("end_state", F.lit("-")).alias("end_state"),
+        F.coalesce("bad_event_id", F.lit(-1)).alias("first_bad_event"),
+    )

@@ -60,6 +60,11 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_written(spark: SparkSession) -> None:
     """Remove the run's folder. Call it when a run has written its results."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from adflow.operators.pricing import outcome_messages, price_statements, result_headers, result_lines
+from adflow.operators.pricing import (
+    counted_headers,
+    counted_messages,
+    outcome_messages,
+    price_statements,
+    result_headers,
+    result_lines,
+)
+from adflow.operators.rollups import outcome_counts
 from adflow.sources.readers import java_charsets, line_of
 
 
@@ -41,20 +49,34 @@ def write_lines(
     lines.write.mode(mode).text(path)
 
 
+def write_counted(priced: DataFrame, path: str) -> DataFrame:
+    """Write results as a table and give their counts by outcome, which the write itself has observed.
+
+    One job writes and counts; nothing is read again. The counts are a table of
+    one row, as ``status_counts`` gives them.
+    """
+    seen = Observation()
+    priced.observe(seen, *outcome_counts()).write.mode("errorifexists").parquet(path)
+    counts = seen.get
+    return priced.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 def write_results(priced: DataFrame, path: str) -> None:
     """Pricing results as text, added to a folder per status."""
     result_lines(priced).write.mode("append").partitionBy("status").text(path)
 
 
-def write_result_headers(priced: DataFrame, path: str) -> None:
-    """Section headings with counts, added next to the results."""
-    headers = result_headers(priced).select("status", F.col("header").alias("value"))
+def write_result_headers(priced: DataFrame, path: str, counts: DataFrame | None = None) -> None:
+    """Section headings with counts, added next to the results; from given counts if there are any."""
+    headers = result_headers(priced) if counts is None else counted_headers(counts)
+    headers = headers.select("status", F.col("header").alias("value"))
     headers.write.mode("append").partitionBy("status").text(path)
 
 
-def write_outcome_messages(priced: DataFrame, path: str) -> None:
-    """The summary of outcomes as text, one line each."""
-    outcome_messages(priced).select(F.col("message").alias("value")).write.mode("errorifexists").text(path)
+def write_outcome_messages(priced: DataFrame, path: str, counts: DataFrame | None = None) -> None:
+    """The summary of outcomes as text, one line each; from given counts if there are any."""
+    messages = outcome_messages(priced) if counts is None else counted_messages(counts)
+    messages.select(F.col("message").alias("value")).write.mode("errorifexists").text(path)
 
 
 def write_statements(priced: DataFrame, run_date: str, path: str, **tables: str) -> None:
