@@ -2,22 +2,28 @@
 
 A document is its set of distinct word shingles, told apart by 64-bit digests.
 Two sets of similarity ``t`` or more must share a token among the first
-``n - ceil(t n) + 1`` tokens of each, under any order of all tokens. A pair is
-verified only if it does so under three orders.
+``n - ceil(t n) + 1`` tokens of each, under any order of all tokens. The filters
+of four orders are intersected before a pair is verified:
 
-The first order puts rare tokens first. Its frequencies are counted over a fixed
-quarter of all digests; tokens outside the quarter come last. That is an order
-of all tokens, so nothing is lost, and only a quarter of them is shuffled. Sets
-meet in the buckets of its prefix tokens. The other two orders go by digest and
-by digest with its halves exchanged; a candidate whose prefixes do not meet
-under one of them too is dropped. What is left is verified on whole sets.
+1. Tokens of a fixed quarter of all digests, the rarest first, then the others.
+   A set that has alone as many tokens of the quarter as its prefix is long can
+   have no partner. Only a quarter of all tokens is shuffled to find that out.
+2. Among the sets left, all tokens, the rarest first. Sets meet in the buckets of
+   their prefix tokens. A set's own tokens, which no other has, also bound every
+   overlap that it can have, so most pairs of a bucket are never made.
+3. Tokens by digest, and
+4. tokens by digest with its halves exchanged: a candidate whose prefixes do not
+   meet under one of these is dropped.
+
+What is left is verified on whole sets.
 
 Equal sets are one set before any join. In each bucket all sets are first
-compared with one leader; once links have made classes, only pairs of a bucket
-whose sets lie in different classes are left, so a bucket of many copies costs
-a comparison for each copy and not for each pair. Leaders are drawn again while
-that leaves much fewer pairs. The pairs that remain are all compared, large
-buckets in cells of bounded size. No link between classes is lost.
+compared with one leader, the one with the least share of own tokens; once links
+have made classes, only pairs whose sets lie in different classes are left, so a
+bucket of many copies costs a comparison for each copy and not for each pair.
+Other leaders are drawn while that leaves much fewer pairs. The pairs that
+remain are all compared, large buckets in cells of bounded size. No link between
+classes is lost.
 
 Defined cases. Texts with fewer words than a shingle are one shingle of all
 their words; null, empty and blank texts have no shingle and are linked with
@@ -45,7 +51,7 @@ from adflow.session import stored
 SHINGLE = 3
 PERCENT = 90
 COUNTED_BITS = 2
-"""Tokens whose digest starts with so many zero bits are counted: one in four."""
+"""Tokens whose digest starts with so many zero bits come first in the first order: one in four."""
 CELL = 2048
 """Sets of a bucket that one task compares with so many others."""
 LEFT = 4
@@ -93,96 +99,126 @@ def _list_array(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.uint64).view(np.int64)))
 
 
-def _set_rows(shingle: int, percent: int):
-    """Of (id, text_digest, text): size, key and the tokens that can be in the first order's prefix."""
+def _set_rows(shingle: int):
+    """Of (id, text_digest, text): size, key and the tokens of the first order's quarter."""
     cut = np.uint64(1 << (64 - COUNTED_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, heads = [], [], []
+            sizes, keys, quarters = [], [], []
             for text in batch.column(2).cast(pa.binary()):
                 tokens = shingle_digests(text.as_py(), shingle)
-                n = len(tokens)
-                # Sorted, so the counted tokens come first, and the ones that fill up a prefix follow.
-                counted = int(np.searchsorted(tokens, cut))
-                sizes.append(n)
-                keys.append(xxhash.xxh3_128_digest(tokens.tobytes()) if n else None)
-                heads.append(tokens[: max(counted, prefix_length(n, percent))] if n else tokens)
-            arrays = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _list_array(heads)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["id", "text_digest", "n", "set_key", "head"])
+                sizes.append(len(tokens))
+                keys.append(xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
+                quarters.append(tokens[: np.searchsorted(tokens, cut)])
+            arrays = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _list_array(quarters)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["id", "text_digest", "n", "set_key", "quarter"])
 
     return run
 
 
 def _whole_sets(shingle: int, percent: int):
-    """Of texts: key, all tokens, and the prefixes of the second and third order."""
+    """Of texts: key, all tokens, and the prefixes of the third and fourth order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets, seconds, thirds = [], [], [], []
+            keys, sets, thirds, fourths = [], [], [], []
             for text in batch.column(0).cast(pa.binary()):
                 tokens = shingle_digests(text.as_py(), shingle)
                 length = prefix_length(len(tokens), percent)
-                turned = np.sort(_turned(tokens))[:length]
                 keys.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 sets.append(tokens)
-                seconds.append(tokens[:length])
-                thirds.append(np.sort(_turned(turned)))
-            arrays = [pa.array(keys, pa.binary()), _list_array(sets), _list_array(seconds), _list_array(thirds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["set_key", "tokens", "second", "third"])
+                thirds.append(tokens[:length])
+                fourths.append(np.sort(_turned(tokens))[:length])
+            arrays = [pa.array(keys, pa.binary()), *map(_list_array, (sets, thirds, fourths))]
+            yield pa.RecordBatch.from_arrays(arrays, ["set_key", "tokens", "third", "fourth"])
 
     return run
 
 
-def document_sets(docs: DataFrame, id_column: str, text: str, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(id, text_digest, n, set_key, head) of each row, written."""
+def document_sets(docs: DataFrame, id_column: str, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """(row, id, text_digest, n, set_key, quarter) of each row, written."""
     kind = docs.select(column(docs, id_column)).schema[0].dataType.simpleString()
     whole = text_of(docs, text)
     rows = docs.select(column(docs, id_column).alias("id"), F.xxhash64(whole).alias("text_digest"), whole.alias("text"))
-    schema = f"id {kind}, text_digest long, n long, set_key binary, head array<long>"
-    sets = rows.mapInArrow(_set_rows(shingle, percent), schema)
+    schema = f"id {kind}, text_digest long, n long, set_key binary, quarter array<long>"
+    sets = rows.mapInArrow(_set_rows(shingle), schema)
     return stored(sets.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def rare_prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, sid, n, members): prefix tokens of the first order that at least two distinct sets have, written.
+def _counted(tokens: DataFrame) -> DataFrame:
+    """(token, members, sid): how many sets have a token, and one of these sets; takes (token, sid)."""
+    return tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("sid").alias("sid"))
+
+
+def _own_tokens(counted: DataFrame) -> DataFrame:
+    """(sid, own): how many tokens a set has that no other set has."""
+    return counted.where("members = 1").groupBy("sid").agg(F.count("*").alias("own"))
+
+
+def with_partners(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The distinct sets (sid, n, ..) that the first order leaves: their prefix has a token that others may have."""
+    own = _own_tokens(_counted(sets.select("sid", F.explode("quarter").alias("token"))))
+    left = sets.drop("quarter").join(stored(own, "own-tokens"), "sid", "left")
+    return left.where(F.coalesce("own", F.lit(0)) < prefix_length(F.col("n"), percent)).drop("own")
+
+
+def whole_sets(docs: DataFrame, sets: DataFrame, text: str, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(sid, n, tokens, third, fourth) of the given sets, written; only their texts are read again."""
+    whole = text_of(docs, text)
+    texts = docs.select(F.xxhash64(whole).alias("text_digest"), whole.alias("text"))
+    texts = texts.join(sets.select("text_digest").distinct(), "text_digest", "left_semi").distinct()
+    schema = "set_key binary, tokens array<long>, third array<long>, fourth array<long>"
+    found = texts.select("text").mapInArrow(_whole_sets(shingle, percent), schema)
+    return stored(found.join(sets.select("sid", "n", "set_key"), "set_key").drop("set_key"), "whole-sets")
+
+
+def rare_prefixes(found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, sid, n, own, members): prefix tokens of the second order that at least two sets have, written.
 
-    Takes distinct sets (sid, n, head). A token that one set alone has comes
-    first in the order and meets no other set: such tokens are only counted.
+    A set's own tokens come first in the order and meet no other set, so they
+    are only counted; a set with a prefix of own tokens is left out.
     """
-    tokens = sets.select("sid", "n", F.explode("head").alias("token"))
-    counted = F.shiftrightunsigned("token", 64 - COUNTED_BITS) == 0
-    frequent = tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    # One pass over the tokens: a row for each frequent token, and a row for each set with the number of its own ones.
+    counted = _counted(found.select("sid", F.explode("tokens").alias("token")))
+    single = F.col("members") == 1
+    counted = counted.groupBy(F.when(~single, F.col("token")).alias("token"), F.when(single, F.col("sid")).alias("sid"))
+    counted = stored(counted.agg(F.max("members").alias("members"), F.count("*").alias("own")), "counted")
+    own = counted.where("token IS NULL").select("sid", "own")
+    frequent = counted.where("token IS NOT NULL").select("token", "members")
+    told = found.select("sid", "n", "tokens").join(own, "sid", "left").fillna(0, ["own"])
+    told = told.where(F.col("own") < prefix_length(F.col("n"), percent))
+    tokens = told.select("sid", "n", "own", F.explode("tokens").alias("token"))
     # Merged at every size: the tokens are many more than what may be broadcast, and hot ones can be split.
-    shared = tokens.join(stored(frequent, "frequent").hint("merge"), "token").withColumn("counted", counted)
-    # How many of a set's counted tokens are its own alone: those come before all others.
-    sizes = sets.select("sid", F.size(F.filter("head", lambda t: F.shiftrightunsigned(t, 64 - COUNTED_BITS) == 0)).alias("counted_tokens"))
-    place = Window.partitionBy("sid").orderBy(F.desc("counted"), F.when(F.col("counted"), F.col("members")), "token_order")
+    shared = tokens.join(frequent.hint("merge"), "token")
     unsigned = F.col("token").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
-    placed = shared.withColumn("token_order", unsigned).withColumn("place", F.row_number().over(place))
-    of_set = Window.partitionBy("sid")
-    placed = placed.withColumn("shared_counted", F.sum(F.col("counted").cast("long")).over(of_set)).join(sizes, "sid")
-    alone = F.col("counted_tokens") - F.col("shared_counted")
-    kept = placed.where(F.col("place") + alone <= prefix_length(F.col("n"), percent))
-    met = stored(kept.select("token", "sid", "n"), "prefixes")
+    place = F.row_number().over(Window.partitionBy("sid").orderBy("members", unsigned))
+    kept = shared.withColumn("place", place).where(F.col("place") + F.col("own") <= prefix_length(F.col("n"), percent))
+    met = stored(kept.select("token", "sid", "n", "own"), "prefixes")
     buckets = met.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     return stored(met.join(stored(buckets, "buckets"), "token"), "prefixes")
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _can_link(n: str, own: str, other_n: str, other_own: str, percent: int) -> Column:
+    """Whether two sets may be similar enough: no token that one set alone has is in their intersection."""
+    most = F.least(F.col(n) - F.col(own), F.col(other_n) - F.col(other_own))
+    return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
 def leader_pairs(prefixes: DataFrame, draw: int, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of each bucket's leader and its other sets."""
-    lot = F.struct(F.xxhash64(F.lit(draw), "sid").alias("lot"), F.col("sid").alias("leader"), F.col("n").alias("leader_n"))
-    leaders = stored(prefixes.groupBy("token").agg(F.min(lot).alias("l")).select("token", "l.leader", "l.leader_n"), "leaders")
-    met = prefixes.join(leaders, "token").where("sid <> leader").where(_sizes_fit("n", "leader_n", percent))
-    return met.select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
+    """Pairs (a, b) of each bucket's leader and its other sets.
+
+    The first leader is the set with the least share of own tokens; later ones are drawn.
+    """
+    rank = F.floor(F.col("own") * 1_000_000 / F.col("n")) if draw == 0 else F.xxhash64(F.lit(draw), "sid")
+    lot = F.struct(rank.alias("rank"), *[F.col(c).alias(f"leader_{c}") for c in ("sid", "n", "own")])
+    leaders = stored(prefixes.groupBy("token").agg(F.min(lot).alias("l")).select("token", "l.*").drop("rank"), "leaders")
+    met = prefixes.join(leaders, "token").where("sid <> leader_sid").where(_can_link("n", "own", "leader_n", "leader_own", percent))
+    return met.select(F.least("sid", "leader_sid").alias("a"), F.greatest("sid", "leader_sid").alias("b")).distinct()
 
 
 def remaining_pairs(prefixes: DataFrame, cell: int = CELL, percent: int = PERCENT) -> DataFrame:
-    """All pairs (a, b) of a bucket in different classes; takes (token, sid, n, root, members).
+    """All pairs (a, b) of a bucket in different classes that may link; takes (token, sid, n, own, root, members).
 
     A bucket of more than ``cell`` sets is cut into blocks, and each pair of
     blocks is a cell of its own: a set goes to as many cells as there are blocks.
@@ -190,51 +226,36 @@ def remaining_pairs(prefixes: DataFrame, cell: int = CELL, percent: int = PERCEN
     blocks = F.ceil(F.col("members") / cell).cast("int")
     rows = prefixes.withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "sid", "n", "root"
-    )
-    a = rows.select("token", "low", "high", *[F.col(c).alias(f"a_{c}") for c in ("block", "sid", "n", "root")])
-    b = rows.select("token", "low", "high", *[F.col(c).alias(f"b_{c}") for c in ("block", "sid", "n", "root")])
+    own = ["block", "sid", "n", "own", "root"]
+    rows = rows.select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *own)
+    a, b = [rows.select("token", "low", "high", *[F.col(c).alias(f"{side}_{c}") for c in own]) for side in "ab"]
     once = (F.col("low") == F.col("high")) | (F.col("a_block") != F.col("b_block"))
     pairs = a.join(b, ["token", "low", "high"]).where("a_sid < b_sid AND a_root <> b_root").where(once)
-    return pairs.where(_sizes_fit("a_n", "b_n", percent)).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
+    pairs = pairs.where(_can_link("a_n", "a_own", "b_n", "b_own", percent))
+    return pairs.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text: str, shingle: int, percent: int) -> DataFrame:
-    """The pairs that share prefix tokens under the other two orders and are similar enough as whole sets.
-
-    ``docs`` are read again, but only texts of sets in a pair; ``sets`` are
-    (sid, set_key, text_digest).
-    """
-    pairs = stored(pairs, "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    asked = stored(sets.join(asked, "sid").select("sid", "set_key", "text_digest"), "asked")
-    whole = text_of(docs, text)
-    texts = docs.select(F.xxhash64(whole).alias("text_digest"), whole.alias("text"))
-    texts = texts.join(asked.select("text_digest").distinct(), "text_digest", "left_semi").distinct()
-    schema = "set_key binary, tokens array<long>, second array<long>, third array<long>"
-    found = texts.select("text").mapInArrow(_whole_sets(shingle, percent), schema).join(asked.select("sid", "set_key"), "set_key")
-    found = stored(found.drop("set_key"), "whole-sets")
+def verified(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs that share prefix tokens under the third and fourth order and are similar enough as whole sets, written."""
 
     def end(name: str, *columns: str) -> DataFrame:
         return found.select(F.col("sid").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-    near = pairs.join(end("a", "second", "third"), "a").join(end("b", "second", "third"), "b")
-    near = near.where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b")
+    near = stored(pairs, "pairs").join(end("a", "third", "fourth"), "a").join(end("b", "third", "fourth"), "b")
+    near = near.where(F.arrays_overlap("a_third", "b_third") & F.arrays_overlap("a_fourth", "b_fourth")).select("a", "b")
     met = stored(near, "candidates").join(end("a", "tokens"), "a").join(end("b", "tokens"), "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     union = F.size("a_tokens") + F.size("b_tokens") - common
     return stored(met.where(common * 100 >= union * percent).select("a", "b"), "links")
 
 
-def set_classes(docs: DataFrame, sets: DataFrame, text: str, shingle: int, percent: int, cell: int = CELL) -> DataFrame:
-    """(sid, root): the class of each distinct set that has a link."""
-    prefixes = rare_prefixes(sets, percent)
-    known = sets.select("sid", "set_key", "text_digest")
+def set_classes(found: DataFrame, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
+    """(sid, root): the class of each set that has a link; takes whole sets."""
+    prefixes = rare_prefixes(found, percent)
     links, left = None, None
     for draw in range(ROUNDS):
-        found = verified(leader_pairs(prefixes, draw, percent), docs, known, text, shingle, percent)
-        links = found if links is None else links.unionByName(found)
+        linked = verified(leader_pairs(prefixes, draw, percent), found, percent)
+        links = linked if links is None else links.unionByName(linked)
         roots = stored(components(links).select(F.col("f").alias("sid"), "root"), "roots")
         rooted = prefixes.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         same = rooted.groupBy("token", "root").agg(F.count("*").alias("k"))
@@ -245,7 +266,7 @@ def set_classes(docs: DataFrame, sets: DataFrame, text: str, shingle: int, perce
         if left <= LEFT * rows or (before is not None and left * 2 > before):
             break
     rooted = stored(rooted.join(mixed.select("token"), "token", "left_semi"), "rooted")
-    last = verified(remaining_pairs(rooted, cell, percent), docs, known, text, shingle, percent)
+    last = verified(remaining_pairs(rooted, cell, percent), found, percent)
     return components(links.unionByName(last)).select(F.col("f").alias("sid"), "root")
 
 
@@ -262,13 +283,14 @@ def jaccard_classes(
     Two sets link if 100 times the size of their intersection is at least
     ``percent`` times that of their union.
     """
-    rows = document_sets(docs, id_column, text, shingle, percent)
+    rows = document_sets(docs, id_column, text, shingle)
     named = rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("id").alias("least"), F.min("row").alias("row"))
     named = stored(named, "distinct-sets")
-    sets = rows.join(named.select("row"), "row", "left_semi").select(F.col("row").alias("sid"), "set_key", "text_digest", "n", "head")
-    roots = set_classes(docs, sets, text, shingle, percent, cell)
-    rooted = sets.select("sid", "set_key").join(roots, "sid", "left").select("set_key", F.coalesce("root", "sid").alias("root"))
-    rooted = stored(rooted.join(named.select("set_key", "least"), "set_key"), "rooted")
+    sets = rows.join(named.select("row"), "row", "left_semi").select(F.col("row").alias("sid"), "set_key", "text_digest", "n", "quarter")
+    near = stored(with_partners(sets, percent), "near-sets")
+    roots = set_classes(whole_sets(docs, near, text, shingle, percent), percent, cell)
+    rooted = named.join(roots.withColumnRenamed("sid", "row"), "row", "left")
+    rooted = stored(rooted.select("set_key", "least", F.coalesce("root", "row").alias("root")), "rooted")
     ids = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "class-ids")
     classes = stored(rooted.join(ids, "root").select("set_key", "component_id"), "classes")
     own = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
