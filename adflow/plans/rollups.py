@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import percent_discount
 from adflow.operators import rollups
 from adflow.operators.machines import run_machine
-from adflow.operators.ordering import shard_by_modulo, sort_rows
+from adflow.operators.ordering import deal_shards, shard_by_modulo, sort_rows
 from adflow.operators.sequences import ledger_total, running_valid, validate_transitions
 from adflow.plans.files import LOG_SQL, report_log
 
@@ -72,6 +72,22 @@ def log_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_modulo(report_log_rollup(spark, sf_dir), "group_id", 10)
 
 
+@query(
+    "shard_partitions",
+    f"""WITH log AS ({LOG_SQL}), sums AS (SELECT DISTINCT user_id, plan_id, group_id FROM log),
+sizes AS (SELECT group_id % 10 AS shard, count(*) AS "rows" FROM sums GROUP BY ALL)
+SELECT shard, "rows", CAST(1 AS BIGINT) AS shards_met, CAST(ceil("rows" / 400.0) AS BIGINT) AS parts FROM sizes""",
+)
+def log_shard_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many partitions each shard is dealt to, and how many shards its partitions hold."""
+    dealt = deal_shards(log_shards(spark, sf_dir), "shard", rows_per_part=400)
+    held = dealt.withColumn("part", F.spark_partition_id()).groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"))
+    met = held.withColumn("shards_met", F.count(F.lit(1)).over(Window.partitionBy("part")))
+    return met.groupBy("shard").agg(
+        F.sum("rows").alias("rows"), F.max("shards_met").alias("shards_met"), F.count_distinct("part").alias("parts")
+    )
+
+
 @query(
     "rollup_by_group",
     f"""WITH log AS ({LOG_SQL})

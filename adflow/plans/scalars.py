@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adflow.functions import collections as arrays
-from adflow.functions import numbers, text as texts
+from adflow.functions import numbers, text as texts, variants
 from adflow.functions.sizes import size_decode, size_encode
 from adflow.plans.registry import joined, query, table, text
 
@@ -336,3 +336,55 @@ def path_select(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(arrays.path_select(F.col("props"), "k", "x"), F.lit("none")).alias("missing"),
         arrays.path_select_map(nested, "name", "last").alias("nested"),
     )
+
+
+def mixed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a value of several types: small sizes, words, emails, lists, fractions and nothing."""
+    size, name = F.col("p_size"), F.col("p_name")
+    email = F.struct(
+        name.alias("subject"), F.col("p_type").alias("text"), F.col("p_brand").alias("sender"), F.lit("shop").alias("recipient")
+    )
+    nested = F.struct(F.struct(name.alias("first"), size.alias("size")).alias("name"))
+    kind = F.col("p_partkey") % 6
+    told = (
+        F.when(kind == 0, size.cast("string"))
+        .when(kind == 1, F.when(size > 25, F.lit('"two"')).otherwise(F.lit('"three"')))
+        .when(kind == 2, F.to_json(email))
+        .when(kind == 3, F.to_json(nested))
+        .when(kind == 4, text("[", size, "]"))
+        .when(size > 25, text(size, ".5"))
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", F.parse_json(told).alias("value"))
+
+
+@query(
+    "variant_case",
+    """SELECT p_partkey, CASE
+  WHEN p_partkey % 6 = 0 THEN CASE WHEN p_size = 1 THEN '"one"' ELSE '"scala.Int"' END
+  WHEN p_partkey % 6 = 1 AND p_size > 25 THEN '2'
+  WHEN p_partkey % 6 = 2 THEN '"Email: subject = ' || p_name || '"'
+  ELSE '"many"' END AS answer,
+  CASE p_partkey % 6 WHEN 0 THEN 'int' WHEN 1 THEN 'text' WHEN 2 THEN 'record' WHEN 3 THEN 'record' WHEN 4 THEN 'list'
+    ELSE CASE WHEN p_size > 25 THEN 'number' END END AS kind
+FROM part""",
+)
+def variant_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = F.col("value")
+    return mixed_parts(spark, sf_dir).select(
+        "p_partkey", F.to_json(variants.any_case(value)).alias("answer"), variants.kind_of(value).alias("kind")
+    )
+
+
+@query(
+    "variant_path",
+    """SELECT p_partkey, CASE p_partkey % 6 WHEN 3 THEN p_name END AS first, CASE p_partkey % 6 WHEN 3 THEN p_size ELSE -1 END AS size,
+  CASE p_partkey % 6 WHEN 2 THEN p_brand END AS sender FROM part""",
+)
+def variant_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = F.col("value")
+    return mixed_parts(spark, sf_dir).select(
+        "p_partkey",
+        variants.text_value(variants.variant_path(value, "name", "first")).alias("first"),
+        F.coalesce(variants.whole_number(variants.variant_path(value, "name", "size")), F.lit(-1)).alias("size"),
+        variants.variant_path(value, "sender", kind="string").alias("sender"),
+    )

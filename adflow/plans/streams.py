@@ -156,3 +156,17 @@ def stream_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("end_state", F.lit("-")).alias("end_state"),
         F.coalesce("bad_event_id", F.lit(-1)).alias("first_bad_event"),
     )
+
+
+@query("stream_ids", "SELECT c_custkey, c_name FROM customer")
+def stream_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers met by ids from a source without end: three batches, a restart, and as many as the ids ask for."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    most = customers.agg(F.max("c_custkey")).first()[0] or 0
+    out, checkpoint = fresh_folder(spark, "ids"), fresh_folder(spark, "checkpoint")
+    per_batch = most // 5 + 1
+    for until in (3, 6):
+        ids = batches.id_stream(spark, per_batch)
+        batches.run_until(batches.start_append(ids, out, checkpoint, seconds=0), until)
+    ids = spark.read.schema("id bigint").parquet(out)
+    return customers.join(ids, customers["c_custkey"] == ids["id"]).select("c_custkey", "c_name")

@@ -179,27 +179,40 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def file_prefix(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
+def file_prefix(spark: SparkSession, path: str, n: int = 10, unreadable: str = "raise") -> DataFrame:
     """Path, length and first bytes of each file below a path; no more than these bytes are read.
 
+    A file shorter than ``n`` gives all it has. Files without any bytes are left
+    out by Spark's listing, and a folder without files gives no rows. A file that cannot be opened, or is gone when
+    its turn comes, is an error that names it; with ``unreadable="null"`` one that
+    cannot be opened has a NULL prefix, and one that is gone no row.
+
     Spark's own binary source reads whole files, so each file is opened in the
     task instead, by the file system that its address names.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    if unreadable not in ("raise", "null"):
+        raise ValueError(f"unreadable is raise or null, not {unreadable}")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = listed.option("ignoreMissingFiles", str(unreadable == "null").lower()).load(path)
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        for batch in batches:
-            found = []
-            for path in batch["path"]:
-                scheme, _, rest = path.partition(":")
-                rest = rest if rest.startswith("//") else f"//{rest}"
-                scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        def head(path: str) -> bytes | None:
+            scheme, _, rest = path.partition(":")
+            rest = rest if rest.startswith("//") else f"//{rest}"
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            try:
                 system, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@=')}")
                 with system.open_input_file(name) as stream:
-                    found.append(stream.read(n))
-            yield batch.assign(prefix=found)
+                    return stream.read(n)
+            except OSError as error:
+                if unreadable == "raise":
+                    raise OSError(f"cannot read {path}: {error}") from error
+                return None
+
+        for batch in batches:
+            yield batch.assign(prefix=[head(path) for path in batch["path"]])
 
     return files.select("path", "length").mapInPandas(heads, "path string, length bigint, prefix binary")
 

@@ -28,6 +28,25 @@ def parquet_stream(spark: SparkSession, path: str, schema: str, max_files: int |
     return reader.parquet(path)
 
 
+def id_stream(spark: SparkSession, rows_per_batch: int, start: int = 0, partitions: int | None = None) -> DataFrame:
+    """Ids without end, ``start`` first, so many in each micro-batch; a restart goes on where the checkpoint ends."""
+    reader = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
+    if partitions is not None:
+        reader = reader.option("numPartitions", partitions)
+    return reader.load().select((F.col("value") + start).alias("id"))
+
+
+def run_until(query: StreamingQuery, batches: int) -> None:
+    """Stop a stream without end once so many micro-batches are written."""
+    try:
+        while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] + 1 < batches):
+            query.awaitTermination(0.05)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def micro_batch(seconds: int | None) -> dict:
     """Trigger arguments: a batch every so many seconds, or all there is and then stop."""
     return {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}

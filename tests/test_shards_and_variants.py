@@ -1,0 +1,123 @@
+"""Shards dealt out by partition number, values of several types, ids without end, and heads of files."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from adflow.functions import variants
+from adflow.operators.ordering import deal_shards
+from adflow.sources import readers
+from adflow.streaming import batches
+
+
+def partition_sizes(df, shard):
+    rows = df.withColumn("part", F.spark_partition_id()).groupBy("part", shard).count().collect()
+    return {(r["part"], r[shard]): r["count"] for r in rows}
+
+
+def test_no_two_shards_meet_in_a_partition(spark):
+    # One shard holds half of the rows; names of shards are texts, and some rows have none.
+    named = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 14 == 1, F.lit(None)).otherwise(F.concat(F.lit("s"), F.col("id") % 23))
+    df = spark.range(20_000).withColumn("shard", named)
+    dealt = deal_shards(df, "shard", rows_per_part=1000)
+    sizes = partition_sizes(dealt, "shard")
+    parts = [part for part, _ in sizes]
+    assert len(parts) == len(set(parts))
+    hot = [n for (_, s), n in sizes.items() if s == "hot"]
+    assert len(hot) == 10 and sum(hot) == 10_000 and max(hot) < 1200
+    assert sorted(map(tuple, dealt.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_shards_with_limits(spark):
+    df = spark.range(50).withColumn("shard", F.col("id"))
+    with pytest.raises(ValueError, match="more than 20 shards"):
+        deal_shards(df, "shard", most_shards=20)
+    assert deal_shards(df.where("id < 0"), "shard").count() == 0
+    nothing = df.withColumn("shard", F.lit(None).cast("int"))
+    assert len(partition_sizes(deal_shards(nothing, "shard", rows_per_part=10), "shard")) <= 5
+
+
+VALUES = {
+    "1": ("int", '"one"'),
+    "7": ("int", '"scala.Int"'),
+    "-3": ("int", '"scala.Int"'),
+    "3000000000": ("int", '"many"'),
+    "1.5": ("number", '"many"'),
+    "1e300": ("number", '"many"'),
+    '"two"': ("text", "2"),
+    '"1"': ("text", '"many"'),
+    '"subject"': ("text", '"many"'),
+    "true": ("boolean", '"many"'),
+    "null": ("null", '"many"'),
+    "[1, 2]": ("list", '"many"'),
+    '{"subject": "s"}': ("record", '"many"'),
+    '{"subject": "Hi", "text": "t", "sender": "a", "recipient": "b"}': ("record", '"Email: subject = Hi"'),
+    '{"subject": 5, "text": "t", "sender": "a", "recipient": "b"}': ("record", '"many"'),
+}
+
+
+def test_one_column_of_many_types(spark):
+    df = spark.createDataFrame([(v,) for v in [*VALUES, None]], "json string").withColumn("v", F.parse_json("json"))
+    got = df.select("json", variants.kind_of(F.col("v")).alias("k"), F.to_json(variants.any_case(F.col("v"))).alias("a")).collect()
+    assert {r["json"]: (r["k"], r["a"]) for r in got} == {**VALUES, None: (None, '"many"')}
+
+
+def test_paths_through_mixed_records(spark):
+    rows = [
+        '{"name": "Michael"}',
+        '{"name": {"first": "Michael", "last": 4}}',
+        '{"name": {"first": {"x": 1}}}',
+        '{"name": [1]}',
+        '{"other": 1}',
+        "3",
+        None,
+    ]
+    df = spark.createDataFrame([(v,) for v in rows], "json string").withColumn("v", F.parse_json("json"))
+
+    def found(*path):
+        return [r[0] for r in df.select(F.to_json(variants.variant_path(F.col("v"), *path))).collect()]
+
+    assert found("name") == ['"Michael"', '{"first":"Michael","last":4}', '{"first":{"x":1}}', "[1]", None, None, None]
+    assert found("name", "first") == [None, '"Michael"', '{"x":1}', None, None, None, None]
+    assert found("name", "first", "x") == [None, None, "1", None, None, None, None]
+    odd = spark.createDataFrame([("""{"it's": {"a.b": 1}}""",)], "json string").withColumn("v", F.parse_json("json"))
+    assert odd.select(F.to_json(variants.variant_path(F.col("v"), "it's", "a.b"))).first()[0] == "1"
+    numbers = df.select(variants.variant_path(F.col("v"), "name", "last", kind="int")).collect()
+    assert [r[0] for r in numbers] == [None, 4, None, None, None, None, None]
+    for path in ((), ("a'\"b",)):
+        with pytest.raises(ValueError):
+            variants.variant_path(F.col("v"), *path)
+
+
+def test_ids_go_on_after_a_restart(spark, folder):
+    out, checkpoint = folder("ids"), folder("checkpoint")
+    for until in (2, 4):
+        ids = batches.id_stream(spark, 50, start=10, partitions=3)
+        batches.run_until(batches.start_append(ids, out, checkpoint, seconds=0), until)
+    got = sorted(r["id"] for r in spark.read.parquet(out).collect())
+    assert len(got) >= 200 and got == [r["id"] for r in spark.range(10, 10 + len(got)).orderBy("id").collect()]
+
+
+def test_heads_of_odd_files(spark, tmp_path):
+    (tmp_path / "in" / "deep er").mkdir(parents=True)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "in" / "short").write_bytes(b"abc")
+    (tmp_path / "in" / "empty").write_bytes(b"")
+    (tmp_path / "in" / "deep er" / "lo%ng é").write_bytes(bytes(range(256)))
+    got = readers.file_prefix(spark, f"{tmp_path}/in", 10)
+    heads = {os.path.basename(r["path"]): (r["length"], bytes(r["prefix"])) for r in got.collect()}
+    assert sorted(heads.values()) == [(3, b"abc"), (256, bytes(range(10)))]
+    assert readers.file_prefix(spark, f"{tmp_path}/none", 10).count() == 0
+    # A file that goes between the listing and the read.
+    (tmp_path / "in" / "short").unlink()
+    with pytest.raises(Exception, match="in/short"):
+        got.collect()
+    with pytest.raises(ValueError):
+        readers.file_prefix(spark, f"{tmp_path}/in", 10, unreadable="skip")
+    (tmp_path / "in" / "short").write_bytes(b"abc")
+    lenient = readers.file_prefix(spark, f"{tmp_path}/in", 10, unreadable="null")
+    (tmp_path / "in" / "short").unlink()
+    assert [r["length"] for r in lenient.collect()] == [256]
