@@ -9,8 +9,8 @@ of four orders are intersected before a pair is verified:
    A set that has alone as many tokens of the quarter as its prefix is long can
    have no partner. Only a quarter of all tokens is shuffled to find that out.
 2. Among the sets left, all tokens, the rarest first. Sets meet in the buckets of
-   their prefix tokens. A set's own tokens, which no other has, also bound every
-   overlap that it can have, so most pairs of a bucket are never made.
+   their prefix tokens. Where two sets meet for the first time, what follows the
+   token in each of them bounds their overlap, so most pairs are never made.
 3. Tokens by digest, and
 4. tokens by digest with its halves exchanged: a candidate whose prefixes do not
    meet under one of these is dropped.
@@ -159,7 +159,7 @@ def _own_tokens(counted: DataFrame) -> DataFrame:
 def with_partners(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The distinct sets (sid, n, ..) that the first order leaves: their prefix has a token that others may have."""
     own = _own_tokens(_counted(sets.select("sid", F.explode("quarter").alias("token"))))
-    left = sets.drop("quarter").join(stored(own, "own-tokens"), "sid", "left")
+    left = sets.drop("quarter").join(stored(own, "own-tokens").hint("merge"), "sid", "left")
     return left.where(F.coalesce("own", F.lit(0)) < prefix_length(F.col("n"), percent)).drop("own")
 
 
@@ -167,17 +167,19 @@ def whole_sets(docs: DataFrame, sets: DataFrame, text: str, shingle: int = SHING
     """(sid, n, tokens, third, fourth) of the given sets, written; only their texts are read again."""
     whole = text_of(docs, text)
     texts = docs.select(F.xxhash64(whole).alias("text_digest"), whole.alias("text"))
-    texts = texts.join(sets.select("text_digest").distinct(), "text_digest", "left_semi").distinct()
+    # Texts, arrays and tokens are merged at every size: no plan that only a small table can have.
+    texts = texts.join(sets.select("text_digest").distinct().hint("merge"), "text_digest", "left_semi").distinct()
     schema = "set_key binary, tokens array<long>, third array<long>, fourth array<long>"
     found = texts.select("text").mapInArrow(_whole_sets(shingle, percent), schema)
-    return stored(found.join(sets.select("sid", "n", "set_key"), "set_key").drop("set_key"), "whole-sets")
+    return stored(found.join(sets.select("sid", "n", "set_key").hint("merge"), "set_key").drop("set_key"), "whole-sets")
 
 
 def rare_prefixes(found: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, sid, n, own, members): prefix tokens of the second order that at least two sets have, written.
+    """(token, sid, n, own, place, members): prefix tokens of the second order that at least two sets have, written.
 
     A set's own tokens come first in the order and meet no other set, so they
-    are only counted; a set with a prefix of own tokens is left out.
+    are only counted; a set with a prefix of own tokens is left out. ``place`` is
+    that of the token in the order of all tokens of the set, from 1.
     """
     # One pass over the tokens: a row for each frequent token, and a row for each set with the number of its own ones.
     counted = _counted(found.select("sid", F.explode("tokens").alias("token")))
@@ -186,22 +188,26 @@ def rare_prefixes(found: DataFrame, percent: int = PERCENT) -> DataFrame:
     counted = stored(counted.agg(F.max("members").alias("members"), F.count("*").alias("own")), "counted")
     own = counted.where("token IS NULL").select("sid", "own")
     frequent = counted.where("token IS NOT NULL").select("token", "members")
-    told = found.select("sid", "n", "tokens").join(own, "sid", "left").fillna(0, ["own"])
+    told = found.select("sid", "n", "tokens").join(own.hint("merge"), "sid", "left").fillna(0, ["own"])
     told = told.where(F.col("own") < prefix_length(F.col("n"), percent))
     tokens = told.select("sid", "n", "own", F.explode("tokens").alias("token"))
-    # Merged at every size: the tokens are many more than what may be broadcast, and hot ones can be split.
+    # A merge also lets hot tokens be split.
     shared = tokens.join(frequent.hint("merge"), "token")
     unsigned = F.col("token").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
-    place = F.row_number().over(Window.partitionBy("sid").orderBy("members", unsigned))
-    kept = shared.withColumn("place", place).where(F.col("place") + F.col("own") <= prefix_length(F.col("n"), percent))
-    met = stored(kept.select("token", "sid", "n", "own"), "prefixes")
+    place = F.row_number().over(Window.partitionBy("sid").orderBy("members", unsigned)) + F.col("own")
+    kept = shared.withColumn("place", place).where(F.col("place") <= prefix_length(F.col("n"), percent))
+    met = stored(kept.select("token", "sid", "n", "own", "place"), "prefixes")
     buckets = met.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     return stored(met.join(stored(buckets, "buckets"), "token"), "prefixes")
 
 
-def _can_link(n: str, own: str, other_n: str, other_own: str, percent: int) -> Column:
-    """Whether two sets may be similar enough: no token that one set alone has is in their intersection."""
-    most = F.least(F.col(n) - F.col(own), F.col(other_n) - F.col(other_own))
+def _can_link(n: str, place: str, other_n: str, other_place: str, percent: int) -> Column:
+    """Whether sets that meet at a token may be similar enough if they have no token before it in common.
+
+    Two sets that link pass this at the first token of the order that they share;
+    that they may fail it at later ones does no harm.
+    """
+    most = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place)) + 1
     return most * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
 
 
@@ -211,14 +217,14 @@ def leader_pairs(prefixes: DataFrame, draw: int, percent: int = PERCENT) -> Data
     The first leader is the set with the least share of own tokens; later ones are drawn.
     """
     rank = F.floor(F.col("own") * 1_000_000 / F.col("n")) if draw == 0 else F.xxhash64(F.lit(draw), "sid")
-    lot = F.struct(rank.alias("rank"), *[F.col(c).alias(f"leader_{c}") for c in ("sid", "n", "own")])
+    lot = F.struct(rank.alias("rank"), *[F.col(c).alias(f"leader_{c}") for c in ("sid", "n", "place")])
     leaders = stored(prefixes.groupBy("token").agg(F.min(lot).alias("l")).select("token", "l.*").drop("rank"), "leaders")
-    met = prefixes.join(leaders, "token").where("sid <> leader_sid").where(_can_link("n", "own", "leader_n", "leader_own", percent))
+    met = prefixes.join(leaders, "token").where("sid <> leader_sid").where(_can_link("n", "place", "leader_n", "leader_place", percent))
     return met.select(F.least("sid", "leader_sid").alias("a"), F.greatest("sid", "leader_sid").alias("b")).distinct()
 
 
 def remaining_pairs(prefixes: DataFrame, cell: int = CELL, percent: int = PERCENT) -> DataFrame:
-    """All pairs (a, b) of a bucket in different classes that may link; takes (token, sid, n, own, root, members).
+    """All pairs (a, b) of a bucket in different classes that may link; takes (token, sid, n, place, root, members).
 
     A bucket of more than ``cell`` sets is cut into blocks, and each pair of
     blocks is a cell of its own: a set goes to as many cells as there are blocks.
@@ -226,12 +232,12 @@ def remaining_pairs(prefixes: DataFrame, cell: int = CELL, percent: int = PERCEN
     blocks = F.ceil(F.col("members") / cell).cast("int")
     rows = prefixes.withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    own = ["block", "sid", "n", "own", "root"]
+    own = ["block", "sid", "n", "place", "root"]
     rows = rows.select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *own)
     a, b = [rows.select("token", "low", "high", *[F.col(c).alias(f"{side}_{c}") for c in own]) for side in "ab"]
     once = (F.col("low") == F.col("high")) | (F.col("a_block") != F.col("b_block"))
     pairs = a.join(b, ["token", "low", "high"]).where("a_sid < b_sid AND a_root <> b_root").where(once)
-    pairs = pairs.where(_can_link("a_n", "a_own", "b_n", "b_own", percent))
+    pairs = pairs.where(_can_link("a_n", "a_place", "b_n", "b_place", percent))
     return pairs.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
 
 
@@ -239,7 +245,7 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> Data
     """The pairs that share prefix tokens under the third and fourth order and are similar enough as whole sets, written."""
 
     def end(name: str, *columns: str) -> DataFrame:
-        return found.select(F.col("sid").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+        return found.select(F.col("sid").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns]).hint("merge")
 
     near = stored(pairs, "pairs").join(end("a", "third", "fourth"), "a").join(end("b", "third", "fourth"), "b")
     near = near.where(F.arrays_overlap("a_third", "b_third") & F.arrays_overlap("a_fourth", "b_fourth")).select("a", "b")
@@ -286,7 +292,7 @@ def jaccard_classes(
     rows = document_sets(docs, id_column, text, shingle)
     named = rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("id").alias("least"), F.min("row").alias("row"))
     named = stored(named, "distinct-sets")
-    sets = rows.join(named.select("row"), "row", "left_semi").select(F.col("row").alias("sid"), "set_key", "text_digest", "n", "quarter")
+    sets = rows.join(named.select("row").hint("merge"), "row", "left_semi").select(F.col("row").alias("sid"), "set_key", "text_digest", "n", "quarter")
     near = stored(with_partners(sets, percent), "near-sets")
     roots = set_classes(whole_sets(docs, near, text, shingle, percent), percent, cell)
     rooted = named.join(roots.withColumnRenamed("sid", "row"), "row", "left")
