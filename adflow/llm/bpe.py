@@ -13,7 +13,9 @@ broadcast; its size does not depend on the data.
 Defined cases. A null text encodes to no ids, like the empty one. The strings of
 special tokens in a text become their ids. Decoding null gives null, no ids give
 the empty text, ids outside the vocabulary are skipped, and bytes that are no
-UTF-8 become U+FFFD. Other columns pass through.
+UTF-8 become U+FFFD. Other columns pass through; one that has the name of a new
+column gives way to it. Repeated rows are rows of their own, and an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from adflow.llm.units import UnitEncoder, byte_letters, held_in, lists, simple_pieces, texts_of, with_column
+from adflow.llm.units import UnitEncoder, byte_letters, held_in, lists, simple_pieces, texts_of, with_columns
 
 SHORT = 64
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -161,30 +163,50 @@ def _sent(df: DataFrame, path: str) -> Broadcast:
         return df.sparkSession.sparkContext.broadcast({"text": file.read()})
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """All columns and the token ids of the text (array of int)."""
-    sent = _sent(docs, path)
-    at = docs.columns.index(text)
+_IDS = T.ArrayType(T.IntegerType(), False)
 
-    def encoded(batch: pa.RecordBatch) -> pa.Array:
-        encoder = held_in(sent, lambda text: Encoder(Vocabulary(text)))
-        return lists(encoder.encode(texts_of(batch, at)))
 
-    return with_column(docs, ids, T.ArrayType(T.IntegerType(), False), encoded)
+def _encoded(sent: Broadcast, batch: pa.RecordBatch, at: int) -> pa.Array:
+    encoder = held_in(sent, lambda text: Encoder(Vocabulary(text)))
+    return lists(encoder.encode(texts_of(batch, at)))
 
 
-def decode(rows: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
-    """All columns and the text of the token ids."""
-    sent = _sent(rows, path)
-    at = rows.columns.index(ids)
+def _decoded(sent: Broadcast, ids: pa.Array) -> pa.Array:
+    # An encoder of this worker has the vocabulary already.
+    made = held_in(sent, lambda text: Vocabulary(text))
+    bytes_of = getattr(made, "vocabulary", made).bytes_of
 
-    def texts(batch: pa.RecordBatch) -> Iterator[str | None]:
-        bytes_of = held_in(sent, lambda text: Vocabulary(text).bytes_of)
-        for value in batch.column(at):
+    def texts() -> Iterator[str | None]:
+        for value in ids:
             if not value.is_valid:
                 yield None
             else:
                 known = (bytes_of.get(i, b"") for i in value.values.to_numpy(zero_copy_only=False).tolist())
                 yield b"".join(known).decode("utf-8", "replace")
 
-    return with_column(rows, text, T.StringType(), lambda batch: pa.array(texts(batch), pa.string()))
+    return pa.array(texts(), pa.string())
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+    """All columns and the token ids of the text (array of int)."""
+    sent, at = _sent(docs, path), docs.columns.index(text)
+    return with_columns(docs, {ids: _IDS}, lambda batch: [_encoded(sent, batch, at)])
+
+
+def decode(rows: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
+    """All columns and the text of the token ids."""
+    sent, at = _sent(rows, path), rows.columns.index(ids)
+    return with_columns(rows, {text: T.StringType()}, lambda batch: [_decoded(sent, batch.column(at))])
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded"
+) -> DataFrame:
+    """All columns, the token ids of the text, and the text that these ids decode to, in one pass."""
+    sent, at = _sent(docs, path), docs.columns.index(text)
+
+    def both(batch: pa.RecordBatch) -> list[pa.Array]:
+        found = _encoded(sent, batch, at)
+        return [found, _decoded(sent, found)]
+
+    return with_columns(docs, {ids: _IDS, decoded: T.StringType()}, both)

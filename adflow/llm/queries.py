@@ -110,7 +110,7 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    back = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    back = bpe.encode_and_decode(docs, TOKENIZER)
     listed = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return back.select(
         "doc_id",

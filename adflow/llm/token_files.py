@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from adflow.llm.tables import column
-from adflow.llm.units import UnitEncoder, byte_letters, held_in, simple_pieces, texts_of, with_column
+from adflow.llm.units import UnitEncoder, byte_letters, held_in, simple_pieces, texts_of, with_columns
 
 END_ID = 0
 LEVEL = 3
@@ -81,7 +81,7 @@ def serialized(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
     def encoded(batch: pa.RecordBatch) -> pa.Array:
         return pa.array([ids + end for ids in held_in(sent, LibraryEncoder).encode(texts_of(batch, at))], pa.binary())
 
-    return with_column(docs, ids, T.BinaryType(), encoded)
+    return with_columns(docs, {ids: T.BinaryType()}, lambda batch: [encoded(batch)])
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:

@@ -3,7 +3,7 @@
 A byte-level vocabulary's splitting pattern never lets a piece reach over a
 blank that has no white space on either side, so a text may be cut before such
 blanks and each unit encoded on its own, with the same ids. Most units repeat;
-their ids are kept, up to a bounded number of units.
+their ids are kept, short units only and up to a bounded number of bytes.
 """
 
 from __future__ import annotations
@@ -16,8 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-UNITS_KEPT = 600_000
-"""Units whose ids are kept in one Python worker, in two generations; the older one goes when the newer is full."""
+BYTES_KEPT = 96 << 20
+"""What units, pieces and their ids may take in one Python worker: a third for the pieces, and a third for each of two
+generations of units; the older one goes when the newer is full."""
+LONGEST_KEPT = 64
+"""Longer units and pieces, such as lines of base64 or text without blanks, are encoded each time."""
+_ENTRY = 230
+"""Bytes that an entry of a dict takes besides its text and ids."""
 
 _SHARED_WHITE_SPACE = re.compile(r" (?:\s|\Z)")
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -36,6 +41,22 @@ def simple_pieces(unit: str) -> list[str] | None:
     return _SIMPLE_PIECE.findall(unit) if _SIMPLE.fullmatch(unit) else None
 
 
+class Kept(dict):
+    """Ids by text, with about what they take in bytes."""
+
+    size = 0
+
+    def add(self, ids: dict[str, bytes]) -> list[str]:
+        """Add ids; gives the texts that are too long to stay, which ``drop`` takes out again."""
+        self.update(ids)
+        self.size += _ENTRY * len(ids) + 2 * sum(map(len, ids)) + sum(map(len, ids.values()))
+        return [text for text in ids if len(text) > LONGEST_KEPT]
+
+    def drop(self, texts: list[str]) -> None:
+        for text in texts:
+            self.size -= _ENTRY + 2 * len(text) + len(self.pop(text))
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -49,12 +70,10 @@ def byte_letters() -> list[str]:
 class UnitEncoder:
     """Ids of texts as bytes (unsigned 32-bit, little-endian); subclasses split and encode."""
 
-    def __init__(self, special: dict[str, int], kept: int = UNITS_KEPT):
+    def __init__(self, special: dict[str, int], kept: int = BYTES_KEPT):
         self.special = special
         self.kept = kept
-        self.spaced: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.spaced, self.older, self.pieces = Kept(), Kept(), Kept()
         longest_first = sorted(special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 
@@ -71,31 +90,34 @@ class UnitEncoder:
 
     def learn(self, units: list[str]) -> list[bytes]:
         """Ids of units that no cache has; their pieces may be known."""
-        if len(self.pieces) >= self.kept // 2:
-            self.pieces.clear()
+        if self.pieces.size >= self.kept // 3:
+            self.pieces = Kept()
         cut = list(map(self.split, units))
         unknown = list({p for pieces in cut if len(pieces) > 1 for p in pieces if p not in self.pieces})
         # A unit of one piece is kept as a unit, not a second time as a piece.
         ids = self.encode_pieces(unknown + [pieces[0] for pieces in cut if len(pieces) == 1])
-        self.pieces.update(zip(unknown, ids))
+        long = self.pieces.add(dict(zip(unknown, ids)))
         alone, known = iter(ids[len(unknown) :]), self.pieces.__getitem__
-        return [next(alone) if len(pieces) == 1 else b"".join(map(known, pieces)) for pieces in cut]
+        found = [next(alone) if len(pieces) == 1 else b"".join(map(known, pieces)) for pieces in cut]
+        self.pieces.drop(long)
+        return found
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """Ids of texts without special tokens."""
-        if len(self.spaced) >= self.kept // 2:
-            self.older, self.spaced = self.spaced, {}
+        if self.spaced.size >= self.kept // 3:
+            self.older, self.spaced = self.spaced, Kept()
         cut = [self.units_of(text) for text in texts]
         known = self.spaced.get
         found = [list(map(known, units)) for units in cut]
         gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
         unknown = {units[i] for units, row in zip(cut, gaps) for i in row}
         met = unknown & self.older.keys()
-        self.spaced.update((unit, self.older[unit]) for unit in met)
+        fresh = {unit: self.older[unit] for unit in met}
         new = list(unknown - met)
-        self.spaced.update(zip(new, self.learn([" " + unit for unit in new])))
+        fresh.update(zip(new, self.learn([" " + unit for unit in new])))
+        self.spaced.drop(self.spaced.add(fresh))
         heads = self.learn([units[0] for units in cut])
-        known = self.spaced.__getitem__
+        known = fresh.__getitem__
         for head, units, row, holes in zip(heads, cut, found, gaps):
             for i in holes:
                 row[i] = known(units[i])
@@ -137,13 +159,16 @@ def lists(parts: Iterable[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
-def with_column(df: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
-    """All columns and one that ``make`` gives for each Arrow batch."""
+def with_columns(df: DataFrame, kinds: dict[str, T.DataType], make) -> DataFrame:
+    """All columns and those that ``make`` gives for each Arrow batch; a column that has the name of a new one gives way."""
+    new = {name.lower() for name in kinds}
+    kept = [i for i, name in enumerate(df.columns) if name.lower() not in new]
+    fields = [df.schema.fields[i] for i in kept] + [T.StructField(name, kind) for name, kind in kinds.items()]
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                yield pa.RecordBatch.from_arrays([*part.columns, make(part)], names=[*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *make(part)], names=[f.name for f in fields])
 
-    return df.mapInArrow(added, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(added, T.StructType(fields))
