@@ -314,7 +314,10 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY, count:
     rewrites = stored(
         placed.select(F.col("digest").alias(digest), F.transform("placed", lambda x: x["replacement"]).alias(new)), "rewrites"
     )
-    joined = keyed.join(rewrites, digest, "left")
+    # Only texts with a mention meet their replacements; the others need no shuffle at any size.
+    hit = whole.rlike(ANY)
+    nothing = F.lit(None).cast(rewrites.schema[new].dataType)
+    joined = keyed.where(hit).join(rewrites, digest, "left").unionByName(keyed.where(~hit).withColumn(new, nothing))
     gaps = F.split(column(keyed, text).cast("string"), ANY, -1)
     pieces = F.zip_with(gaps, F.concat(F.col(new), F.array(F.lit(""))), lambda gap, r: F.concat(gap, r))
     written = F.when(F.col(new).isNull(), column(keyed, text)).otherwise(F.array_join(pieces, ""))
