@@ -102,6 +102,19 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from summed()
 
 
+def _seen_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of a task's texts, in parts."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        for text in batch.column(0).cast(pa.binary()):
+            for terms in _pieces(text.as_py()):
+                seen.update(terms)
+            if len(seen) >= FLUSH:
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary())], ["term"])
+                seen = set()
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary())], ["term"])
+
+
 def _hashed(salt: int, name: str) -> Column:
     return F.xxhash64(F.lit(salt), F.col(name))
 
@@ -155,14 +168,17 @@ def kept_terms(rows: DataFrame, salt: int, least_docs: int = LEAST_DOCS, bits: i
     Takes (lang, source, text) rows. ``bits`` is the width of the digests.
     """
     keyed = rows.select(_hashed(salt, "lang").alias("lang_key"), _hashed(salt, "source").alias("source_key"), "text")
-    counted = keyed.mapInArrow(_count_terms, _COUNTED)
-    term = F.col("term").cast("string")
-    counted = counted.withColumn("digest", F.shiftrightunsigned(F.xxhash64("term"), 64 - bits)).withColumn("term", term)
+
+    def told(terms: DataFrame) -> DataFrame:
+        digest = F.shiftrightunsigned(F.xxhash64("term"), 64 - bits)
+        return terms.withColumn("digest", digest).withColumn("term", F.col("term").cast("string"))
+
+    counted = told(keyed.mapInArrow(_count_terms, _COUNTED))
     plain = counted.select("lang_key", "source_key", "digest", F.lit(0).alias("sub"), "n", "docs")
     kept = stored(_kept(plain, least_docs), "kept")
 
     digests = stored(kept.select("digest").distinct(), "digests")
-    seen = counted.select("digest", "term").join(digests, "digest", "left_semi")
+    seen = told(rows.select("text").mapInArrow(_seen_terms, "term binary")).join(digests, "digest", "left_semi")
     ends = stored(seen.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "ends")
     texts = ends.where("low = high").select("digest", F.lit(0).alias("sub"), F.col("low").alias("term"))
     clashes = ends.where("low <> high").select("digest")
