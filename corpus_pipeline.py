@@ -44,8 +44,7 @@ def mask_live_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, token_ids, decoded_sha256) of every document."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode(docs.select("doc_id", "text"), path)
-    back = bpe.decode(encoded, path)
+    back = bpe.encode_and_decode(docs.select("doc_id", "text"), path)
     return back.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
