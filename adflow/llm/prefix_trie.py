@@ -260,7 +260,7 @@ def prefix_trie(
 
     Conversation c takes the first ``crc32(c) % heads`` turns of conversation
     ``c - c % base``. ``first_prime`` is the modulus of the first try; a small
-    one makes fingerprints collide.
+    prime that divides no base of a lane, such as 13, makes fingerprints collide.
     """
     turns = ordered_turns(conversations, conv_id, turn, role, text, partitions)
     for salt in count():

@@ -84,7 +84,7 @@ def test_agrees_with_lists(spark, seed):
 def test_fingerprints_that_collide_are_taken_again(spark):
     rows = some_rows(3)
     df = spark.createDataFrame(rows, TURNS)
-    assert trie(df, first_prime=3) == literal_trie(spark, rows)
+    assert trie(df, first_prime=13) == literal_trie(spark, rows)
 
 
 def test_verification_reads_the_stored_turns(spark):
