@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-BYTES_KEPT = 96 << 20
+BYTES_KEPT = 224 << 20
 """What units, pieces and their ids may take in one Python worker: a third for the pieces, and a third for each of two
 generations of units; the older one goes when the newer is full."""
 LONGEST_KEPT = 64
