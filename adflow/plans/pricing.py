@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adflow.operators import order_table, pricing
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
 from adflow.plans.registry import ORACLES, ORDERS_SQL, STATS_SQL, orders, query, stats
-from adflow.session import fresh_folder, stored
+from adflow.session import SMALL_GROUPS, fresh_folder, stored
 from adflow.sources import readers, sinks, versions
 
 RATE = "CAST(trunc({v} / ({w} / 1000.0::DOUBLE)) AS BIGINT)"
@@ -85,7 +85,7 @@ priced AS (
 
 def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics as a table of their own: pricing reads them more than once, the join runs once."""
-    return stored(stats(spark, sf_dir), "stats")
+    return stored(stats(spark, sf_dir), "stats", SMALL_GROUPS)
 
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ NAMELESS_SQL = STATS_SQL.replace("'s' || l_suppkey AS domain", "nullif('s' || l_
 def top_share_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One domain has no name, and must not be lost."""
     nameless = stats(spark, sf_dir).withColumn("domain", F.nullif("domain", F.lit("s1")))
-    return pricing.best_shares(stored(nameless, "stats"))
+    return pricing.best_shares(stored(nameless, "stats", SMALL_GROUPS))
 
 
 @query(

@@ -71,13 +71,19 @@ def remove_written(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+SMALL_GROUPS = 4 << 20
+"""Row groups of this size let many tasks read what few tasks have written."""
+
+
+def stored(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
     """The table written to the shared folder and read back.
 
     This cuts the lineage for good: a lost executor costs a read, not the jobs
     before. It also tells the planner how large the table is, so it broadcasts
-    the table if it is small and shuffles if it is not.
+    the table if it is small and shuffles if it is not. A table that is read many
+    times can have row groups of its own size.
     """
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
