@@ -81,7 +81,11 @@ SELECT shard, "rows", CAST(1 AS BIGINT) AS shards_met, CAST(ceil("rows" / 400.0)
 def log_shard_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many partitions each shard is dealt to, and how many shards its partitions hold."""
     dealt = deal_shards(log_shards(spark, sf_dir), "shard", rows_per_part=400)
-    held = dealt.withColumn("part", F.spark_partition_id()).groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"))
+    # The partitions are as many as the rows ask for; a task counts many of them, each under its own
+    # number, as every task sends its metrics to the driver.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = dealt.select("shard", F.spark_partition_id().alias("part")).coalesce(tasks)
+    held = parts.groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"))
     met = held.withColumn("shards_met", F.count(F.lit(1)).over(Window.partitionBy("part")))
     return met.groupBy("shard").agg(
         F.sum("rows").alias("rows"), F.max("shards_met").alias("shards_met"), F.count_distinct("part").alias("parts")

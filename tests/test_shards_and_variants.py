@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adflow.functions import variants
 from adflow.operators.ordering import deal_shards
+from adflow.plans.catalog import QUERIES
 from adflow.sources import readers
 from adflow.streaming import batches
 
@@ -40,6 +41,27 @@ def test_shards_with_limits(spark):
     assert len(partition_sizes(deal_shards(nothing, "shard", rows_per_part=10), "shard")) <= 5
 
 
+def test_counting_many_partitions_takes_few_tasks(spark, folder):
+    """Each task sends its metrics to the driver; partitions are as many as rows ask for, the tasks that count them are not."""
+    path = folder("tables")
+    lines = spark.range(20_000).select(
+        F.col("id").alias("l_partkey"), (F.col("id") % 5).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), F.lit(3.5).alias("l_extendedprice"), F.lit("N").alias("l_returnflag"),
+    )
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    context, group = spark.sparkContext, "count partitions"
+    context.setJobGroup(group, group)
+    try:
+        got = sorted(map(tuple, QUERIES["shard_partitions"](spark, path).collect()))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == [(shard, 2000, 1, 5) for shard in range(10)]
+    told = context.statusTracker()
+    stages = {s for job in told.getJobIdsForGroup(group) for s in told.getJobInfo(job).stageIds}
+    known = [stage for s in stages if (stage := told.getStageInfo(s)) is not None]
+    assert known and max(stage.numTasks for stage in known) < 50
+
+
 VALUES = {
     "1": ("int", '"one"'),
     "7": ("int", '"scala.Int"'),
