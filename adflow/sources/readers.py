@@ -102,17 +102,18 @@ def parse_lines(
     """
     text = F.regexp_replace("value", r"\s+$", "") if trim_end else F.col("value")
     cut = lines.select(F.col("value").alias("_line"), F.split(text, sep).alias("_cut"))
-    parsed = cut.select(
-        "_line",
-        "_cut",
-        *[F.get("_cut", f.position).try_cast(f.type).alias(f.name) for f in fields],
-    )
-    ok = F.lit(True) if count is None else F.size("_cut") == count
+    # One struct, taken apart by a generator: a filter on its fields stays above it, so that a line
+    # is cut once and not again for each field that the filter names. A line with another number of
+    # fields is bad whatever these hold; they stay NULL, as a cast that fails takes far longer.
+    whole = F.lit(True) if count is None else F.size("_cut") == count
+    values = [F.when(whole, F.get("_cut", f.position).try_cast(f.type)).alias(f.name) for f in fields]
+    parsed = cut.select("_line", F.inline(F.array(F.struct(whole.alias("_whole"), *values))))
+    ok = F.col("_whole")
     for f in fields:
         ok = ok & F.col(f.name).isNotNull()
     if strict:
         ok = ok | F.raise_error(F.concat(F.lit("bad line: "), F.col("_line"))).cast("boolean")
-    return parsed.withColumn("_ok", ok).drop("_cut")
+    return parsed.withColumn("_ok", ok).drop("_whole")
 
 
 def read_delimited(

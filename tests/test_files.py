@@ -40,6 +40,19 @@ def test_ssp_lines(spark, folder):
     assert rejected.count() == 2
 
 
+def test_a_line_is_cut_once(spark, folder):
+    """Neither the filter on good rows nor each field cuts the line again, and bad lines have no casts that fail."""
+    path = write(spark, folder, "7 a b x.com c 10 2 3.99", "7 a b x.com c 10 3.99", "7 a b x.com c 10 two 3.99")
+    good, rejected = readers.read_ssp(spark, path)
+    for part in (good, rejected):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
+        casts = plan.count("try_cast(")
+        assert casts and plan.count("THEN try_cast(") == casts
+    assert [tuple(r) for r in good.collect()] == [(7, "x.com", 10, 2, 399)]
+    assert sorted(r["_line"] for r in rejected.collect()) == ["7 a b x.com c 10 3.99", "7 a b x.com c 10 two 3.99"]
+
+
 def test_stats_filter(spark, folder):
     row = "1\t9\ta.com\t1\t{}\t{}\t5\t1\t960*60"
     path = write(spark, folder, row.format(10, 3), row.format(0, 0), row.format(2, 3), row.format(4, 4))
