@@ -79,56 +79,58 @@ def top_share(
 
     ``wanted`` restricts the result to the keys it holds. With ``coarser``
     (values for some key columns) each row also counts for the key that has
-    these values in place of its own; the sums are added up for it, not the
-    rows. Step 1 runs at once and writes its result to the shared folder.
+    these values in place of its own. Steps 1 and 2 run at once and write their
+    results to the shared folder.
     """
     if not 0.0 < share < 1.0:
         raise ValueError("share must lie between 0 and 1")
     coarser = dict(coarser or {})
     w, v = F.col(weight).cast("bigint"), F.col(value).cast("bigint")
+    of_row = rate(F.col("_value"), F.col("_weight"), scale)
     rows = (
         df.select(*keys, w.alias("_weight"), v.alias("_value"))
         .where(F.col("_weight") > 0)
-        .withColumn("_rate", rate(F.col("_value"), F.col("_weight"), scale))
+        .withColumn("_rate", of_row)
         .withColumn("_band", _band(F.col("_rate"), 5))
     )
 
-    # Step 1: rate bands, and the totals of each key from the same sums.
-    bands = rows.groupBy(*keys, "_band").agg(F.sum("_weight").alias("_w"), F.sum("_value").alias("_v"))
+    # Step 1: rate bands, and the totals of each key from the same sums. Each level of keys is summed
+    # from the rows by itself, and combined before its shuffle: a row of a coarser key goes through one.
+    sums = [F.sum("_weight").alias("_w"), F.sum("_value").alias("_v")]
     if coarser:
         finer = reduce(or_, [~F.col(k).eqNullSafe(c) for k, c in coarser.items()])
-        both = F.when(finer, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-        raised = bands.withColumn("_up", F.explode(both))
-        raised = raised.withColumns({k: F.when(F.col("_up"), c).otherwise(F.col(k)) for k, c in coarser.items()})
-        bands = raised.groupBy(*keys, "_band").agg(F.sum("_w").alias("_w"), F.sum("_v").alias("_v"))
+        own_level = rows.where(finer).groupBy(*keys, "_band").agg(*sums)
+        bands = own_level.unionByName(rows.withColumns(coarser).groupBy(*keys, "_band").agg(*sums))
+    else:
+        bands = rows.groupBy(*keys, "_band").agg(*sums)
+    # The key as one struct, in which NULL equals NULL: the join and the windows share a shuffle.
+    bands = bands.select(F.struct(*keys).alias("_key"), "_band", "_w", "_v")
     if wanted is not None:
-        bands = null_safe_join(bands, wanted.select(*keys), keys, "left_semi")
+        bands = bands.join(wanted.select(F.struct(*keys).alias("_key")), "_key", "left_semi")
     # The running sums come first: their sort also serves the totals.
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy("_key")
     all_w, all_v = F.sum("_w").over(whole), F.sum("_v").over(whole)
     zero = F.lit(0).cast("bigint")
-    bands = _running(bands, keys, ["_band"]).withColumns({"_all_w": all_w, "_all_v": all_v})
+    bands = _running(bands, ["_key"], ["_band"]).withColumns({"_all_w": all_w, "_all_v": all_v})
     target = F.lit(share) * F.col("_all_w").cast("double")
     bands = bands.withColumns({"_target": target, "_w0": zero, "_v0": zero})
     state = ["_target", "_all_w", "_all_v", "_w0", "_v0"]
     # One row per key, written out: the planner then knows whether it can broadcast it, and the
     # rows of step 2 are shuffled before the join only if it cannot.
-    in_band = stored(_boundary(bands).select(*keys, "_band", *state), "bands")
+    in_band = stored(_boundary(bands).select("_key.*", "_band", *state), "bands")
 
     # Step 2: only rows of the boundary band go on, equal rows as one row and a count, and of
     # these only the cell of exact rate and coarse weight that the boundary lies in.
     own = {c: f"_own_{c}" for c in [*keys, "_band"]}
-    renamed = rows.withColumnsRenamed(own)
+    renamed = rows.drop("_rate").withColumnsRenamed(own)
     same = F.col("_own__band") == F.col("_band")
     for k in keys:
         alike = F.col(own[k]).eqNullSafe(F.col(k))
         same = same & (alike | F.col(k).eqNullSafe(coarser[k]) if k in coarser else alike)
-    close = (
-        renamed.join(in_band, same)
-        .groupBy(*keys, "_rate", "_weight", "_value", *state)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    close = _within_cell(close.withColumn("_weight_band", _band(F.col("_weight"), 9)), keys, state)
+    close = renamed.join(in_band, same).groupBy(*keys, "_weight", "_value", *state).agg(F.count(F.lit(1)).alias("_n"))
+    close = close.withColumns({"_rate": of_row, "_weight_band": _band(F.col("_weight"), 9)})
+    # Written out, as the cells and their rows are both taken from it.
+    close = _within_cell(stored(close, "close"), keys, state)
 
     # Step 3: the boundary row, and the equal rows in front of it.
     sums = {"_w": F.col("_weight") * F.col("_n"), "_v": F.col("_value") * F.col("_n")}

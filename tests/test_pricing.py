@@ -7,9 +7,11 @@ import pytest
 from brute import top_share as literal_top_share
 from pyspark.sql import functions as F
 
-from adflow.operators import pricing
+from adflow import session
+from adflow.operators import pricing, topshare
 from adflow.operators.rollups import best_by_rate, status_counts, weighted_rate
 from adflow.operators.topshare import top_share
+from adflow.session import stored
 from adflow.sources import readers, sinks
 
 # Statistics and orders with known prices.
@@ -193,6 +195,39 @@ def test_top_share_of_wanted_keys(spark):
     assert got == {tuple(r) for r in every.where("key in ('k3', 'hot')").collect()} and len(got) == 2
 
 
+def test_bands_are_shuffled_once_for_join_and_windows(spark, monkeypatch):
+    """One shuffle serves the join with the wanted keys and the windows; step 2 is computed once."""
+    plans = {}
+
+    def noted(df, label, *args):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return session.stored(df, label, *args)
+
+    monkeypatch.setattr(topshare, "stored", noted)
+    rows = [(None if k == "k1" else k, i % 3 or None, w, v) for i, (k, w, v) in enumerate(random_rows(seed=5, keys=30))]
+    df = spark.createDataFrame(rows, "d string, s int, w bigint, v bigint")
+    wanted = df.where("d is null or d <> 'k2'").select("d", "s").distinct().union(spark.sql("select 'hot', 0"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        got = top_share(df, ["d", "s"], "w", "v", wanted=stored(wanted, "wanted"), coarser={"s": F.lit(0)})
+        got = {(r["d"], r["s"]): tuple(r)[2:] for r in got.collect()}
+    finally:
+        spark.conf.set(limit, before)
+    groups = defaultdict(list)
+    for d, s, w, v in rows:
+        if d != "k2":
+            groups[d, s].append((w, v))
+        if d == "hot":
+            groups[d, 0].append((w, v))
+    assert got == {k: literal_top_share(v) for k, v in groups.items()}
+    assert list(plans) == ["bands", "close"]
+    window = plans["bands"].rindex("Window [")
+    join = plans["bands"].index("Join", window)
+    assert "Exchange" not in plans["bands"][window:join]
+
+
 def test_best_channel_ties_go_to_the_lowest(spark):
     rows = [("d", 5, 1000, 10), ("d", 2, 1000, 10), ("d", 9, 1000, 1)]
     got = best_by_rate(spark.createDataFrame(rows, "domain string, dsp int, w bigint, v bigint"), ["domain"], "dsp", "w", "v")
