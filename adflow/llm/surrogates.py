@@ -291,9 +291,10 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY, count:
     digest, found, new = fresh_name(docs, "text_digest", "mentions", "replacements")
     keyed = docs.withColumn(digest, F.sha2(text_of(docs, text), 256))
     whole = text_of(keyed, text)
-    hits = keyed.where(whole.rlike(ANY)).select(
-        F.col(digest).alias("digest"), F.regexp_extract_all(whole, F.lit(ANY), F.lit(0)).alias("found")
-    )
+    # Each text is searched once: the mentions are written out beside it.
+    searched = stored(keyed.withColumn(found, F.regexp_extract_all(whole, F.lit(ANY), F.lit(0))), "searched")
+    hit = F.size(found) > 0
+    hits = searched.where(hit).select(F.col(digest).alias("digest"), F.col(found).alias("found"))
     hits = stored(hits.dropDuplicates(["digest"]), "hits")
     mentions = hits.select("digest", F.posexplode("found").alias("place", "surface"))
     surfaces = mentions.select("surface").distinct().withColumn("kind", _kind(F.col("surface")))
@@ -315,11 +316,10 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY, count:
         placed.select(F.col("digest").alias(digest), F.transform("placed", lambda x: x["replacement"]).alias(new)), "rewrites"
     )
     # Only texts with a mention meet their replacements; the others need no shuffle at any size.
-    hit = whole.rlike(ANY)
     nothing = F.lit(None).cast(rewrites.schema[new].dataType)
-    joined = keyed.where(hit).join(rewrites, digest, "left").unionByName(keyed.where(~hit).withColumn(new, nothing))
-    gaps = F.split(column(keyed, text).cast("string"), ANY, -1)
+    joined = searched.where(hit).join(rewrites, digest, "left").unionByName(searched.where(~hit).withColumn(new, nothing))
+    gaps = F.split(column(searched, text).cast("string"), ANY, -1)
     pieces = F.zip_with(gaps, F.concat(F.col(new), F.array(F.lit(""))), lambda gap, r: F.concat(gap, r))
-    written = F.when(F.col(new).isNull(), column(keyed, text)).otherwise(F.array_join(pieces, ""))
+    written = F.when(F.col(new).isNull(), column(searched, text)).otherwise(F.array_join(pieces, ""))
     number = F.when(F.col(new).isNull(), 0).otherwise(F.size(new)).cast("long")
     return joined.select(*[written.alias(c) if c == text else column(docs, c) for c in docs.columns], number.alias(count))

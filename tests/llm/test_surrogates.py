@@ -54,6 +54,15 @@ def test_formats_and_coreference(spark):
     assert shape(names[2]).translate(str.maketrans("vc", "vc")) == "ccvcc"
 
 
+def test_texts_are_searched_once(spark):
+    """The search for mentions is over when the result is planned; only texts with one are cut at them."""
+    df = spark.createDataFrame([(1, TEXT, None, None, 0), (2, CLEAN, None, None, 0), (3, None, None, None, 0)], PLAIN)
+    got = surrogates.replace_entities(df)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper() and "regexp_extract_all" not in plan
+    assert {r["doc_id"]: r["n_entities"] for r in got.collect()} == {1: 14, 2: 0, 3: 0}
+
+
 def test_digits_by_a_literal_draw(spark):
     [got] = rewritten(spark, "call 988-555-2485 now", key="k")
     norm = "9885552485"
