@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -38,6 +39,8 @@ def simple_pieces(unit: str) -> list[str] | None:
     On such units all byte-level splitting patterns in use agree: runs of letters
     and runs of marks, each with the blank before it, and the line breaks.
     """
+    if unit.isascii() and unit[1:].isalpha() and (unit[0] == " " or unit[0].isalpha()):
+        return [unit]
     return _SIMPLE_PIECE.findall(unit) if _SIMPLE.fullmatch(unit) else None
 
 
@@ -84,9 +87,16 @@ class UnitEncoder:
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         raise NotImplementedError
 
-    def units_of(self, text: str) -> list[str]:
-        """The text cut before lone blanks, which are left out."""
-        return _LONE_BLANK.split(text) if _SHARED_WHITE_SPACE.search(text) else text.split(" ")
+    def units_of(self, texts: list[str]) -> tuple[list[int], pa.ListArray]:
+        """The texts cut before lone blanks, which are left out, and the order that they are in."""
+        shared = [i for i, text in enumerate(texts) if _SHARED_WHITE_SPACE.search(text)]
+        apart = set(shared)
+        plain = [i for i in range(len(texts)) if i not in apart]
+        kind = pa.list_(pa.string())
+        cut = [pc.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ").cast(kind)] if plain else []
+        if shared:
+            cut.append(pa.array([_LONE_BLANK.split(texts[i]) for i in shared], kind))
+        return plain + shared, pa.concat_arrays(cut)
 
     def learn(self, units: list[str]) -> list[bytes]:
         """Ids of units that no cache has; their pieces may be known."""
@@ -106,23 +116,33 @@ class UnitEncoder:
         """Ids of texts without special tokens."""
         if self.spaced.size >= self.kept // 3:
             self.older, self.spaced = self.spaced, Kept()
-        cut = [self.units_of(text) for text in texts]
-        known = self.spaced.get
-        found = [list(map(known, units)) for units in cut]
-        gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
-        unknown = {units[i] for units, row in zip(cut, gaps) for i in row}
+        if not texts:
+            return []
+        order, cut = self.units_of(texts)
+        places = cut.offsets.to_numpy()
+        flat = cut.flatten()
+        # The first unit of a text has no blank before it; the others are looked up once each, however often they occur.
+        first = np.zeros(len(flat), bool)
+        first[places[:-1]] = True
+        body = flat.filter(pa.array(~first)).dictionary_encode()
+        units = body.dictionary.to_pylist()
+        found = list(map(self.spaced.get, units))
+        unknown = {unit for unit, ids in zip(units, found) if ids is None}
         met = unknown & self.older.keys()
         fresh = {unit: self.older[unit] for unit in met}
         new = list(unknown - met)
         fresh.update(zip(new, self.learn([" " + unit for unit in new])))
         self.spaced.drop(self.spaced.add(fresh))
-        heads = self.learn([units[0] for units in cut])
-        known = fresh.__getitem__
-        for head, units, row, holes in zip(heads, cut, found, gaps):
-            for i in holes:
-                row[i] = known(units[i])
-            row[0] = head
-        return list(map(b"".join, found))
+        found = [fresh[unit] if ids is None else ids for unit, ids in zip(units, found)]
+        ids = pa.array(found, pa.large_binary()).take(body.indices)
+        data = memoryview(ids.buffers()[2] or b"")
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        ends = ends[places - np.arange(len(places))].tolist()
+        heads = self.learn(flat.take(pa.array(places[:-1])).to_pylist())
+        by_text: list[bytes] = [b""] * len(texts)
+        for i, head, start, end in zip(order, heads, ends, ends[1:]):
+            by_text[i] = head + data[start:end]
+        return by_text
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts; strings of special tokens become their ids."""

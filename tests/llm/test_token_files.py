@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_bpe import ids_of, random_texts
 from tokenizers import Tokenizer
 
-from adflow.llm import token_files
+from adflow.llm import token_files, units
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -71,3 +71,25 @@ def test_another_dictionary_is_refused(spark, folder):
     spark.read.parquet(f"{a}/index").write.parquet(f"{mixed}/index")
     with pytest.raises(Exception, match="another dictionary"):
         token_files.read_token_files(spark, mixed).collect()
+
+
+def test_a_unit_is_looked_up_once_a_batch():
+    class Counted(units.Kept):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    class Letters(units.UnitEncoder):
+        def split(self, unit):
+            return [unit]
+
+        def encode_pieces(self, pieces):
+            return [len(p).to_bytes(4, "little") for p in pieces]
+
+    encoder = Letters({})
+    encoder.spaced = Counted()
+    found = encoder.encode(["one three one  three", "", "one three one three one"] * 20)
+    assert found[:3] == [b"".join(n.to_bytes(4, "little") for n in row) for row in ([3, 6, 11], [0], [3, 6, 4, 6, 4])]
+    assert found == found[:3] * 20 and encoder.spaced.asked <= 4
