@@ -36,10 +36,20 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from adflow.llm.tables import column
-from adflow.llm.units import UnitEncoder, byte_letters, held_in, simple_pieces, texts_of, with_columns
+from adflow.llm.units import (
+    UnitEncoder,
+    are_simple,
+    byte_letters,
+    held_in,
+    mixes_simple_pieces,
+    simple_pieces,
+    texts_of,
+    with_columns,
+)
 
 END_ID = 0
 LEVEL = 3
+BYTES_A_CALL = 4096
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_BYTES = 4 << 20
@@ -47,13 +57,31 @@ _INDEX = "id long, file string, place long, length long, n_tokens long, part lon
 
 
 class LibraryEncoder(UnitEncoder):
-    """Encodes units with a tokenizer of the tokenizers library."""
+    """Encodes units with a tokenizer of the tokenizers library.
+
+    The bytes 0xC0 and 0xC1 occur in no UTF-8. If no other token has them, the
+    model merges nothing over them: many units go to it in one call, with these
+    bytes between them and their pieces, and get the ids that each has by
+    itself. If no token mixes the kinds of pieces of simple units either, these
+    need no cutting. New units are so cheap then that pieces have no cache, whose
+    third of the memory stays free.
+    """
 
     def __init__(self, tokenizer: str):
         library = Tokenizer.from_str(tokenizer)
         super().__init__({t.content: i for i, t in library.get_added_tokens_decoder().items()})
         self.model, self.splitter = library.model, library.pre_tokenizer
         self.letters = dict(enumerate(byte_letters()))
+        self.codes = np.array([ord(letter) for letter in byte_letters()], "<u2")
+        between = [self.letters[0xC0], self.letters[0xC1]]
+        self.between, self.after = map(self.model.token_to_id, between)
+        tokens = list(library.get_vocab(with_added_tokens=False))
+        changed = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        self.joins = (
+            sorted(t for t in tokens if any(b in t for b in between)) == between
+            and not any(map(mixes_simple_pieces, tokens))
+            and not any(getattr(self.model, name, True) for name in changed)
+        )
 
     def split(self, unit: str) -> list[str]:
         pieces = simple_pieces(unit)
@@ -68,6 +96,26 @@ class LibraryEncoder(UnitEncoder):
         ends = np.cumsum([0, *map(len, ids)]) * 4
         return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
+    def learn(self, units: list[str]) -> list[bytes]:
+        if not self.joins:
+            return super().learn(units)
+        simple = are_simple(units)
+        rows = [u.encode() if s else b"\xc0".join(map(str.encode, self.split(u))) for u, s in zip(units, simple)]
+        # A call takes so many bytes and the unit that ends beyond them.
+        call = np.cumsum([0, *map(len, rows)])[:-1] // BYTES_A_CALL
+        starts = np.flatnonzero(np.diff(call, prepend=-1)).tolist()
+        parts = [np.zeros(0, "<u4")]
+        for start, end in zip(starts, [*starts[1:], len(rows)]):
+            data = np.frombuffer(b"\xc1".join([*rows[start:end], b""]), np.uint8)
+            tokens = self.model.tokenize(self.codes[data].tobytes().decode("utf-16-le"))
+            parts.append(np.array([t.id for t in tokens], "<u4"))
+        ids = np.concatenate(parts)
+        ids = ids[ids != self.between]
+        last = np.flatnonzero(ids == self.after)
+        ends = ((last - np.arange(len(last))) * 4).tolist()
+        flat = ids[ids != self.after].tobytes()
+        return [flat[start:end] for start, end in zip([0, *ends], ends)]
+
 
 def serialized(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", end_id: int = END_ID) -> DataFrame:
     """All columns and the ids of each text with the end id: unsigned 32-bit integers, little-endian.

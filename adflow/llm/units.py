@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 BYTES_KEPT = 224 << 20
-"""What units, pieces and their ids may take in one Python worker: a third for the pieces, and a third for each of two
-generations of units; the older one goes when the newer is full."""
+"""What units, pieces and their ids may take in one Python worker: a third for the pieces, if they have a cache, and a third
+for each of two generations of units; the older one goes when the newer is full."""
 LONGEST_KEPT = 64
 """Longer units and pieces, such as lines of base64 or text without blanks, are encoded each time."""
 _ENTRY = 230
@@ -31,6 +31,7 @@ _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ʯ", r"!-&(-/:-@\[-`{-~"
 _SIMPLE = re.compile(rf"(?: ?[{_LETTERS}]+| ?[{_MARKS}]+|(?<=\S)\n(?=\S))+")
 _SIMPLE_PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[{_MARKS}]+|\n")
+_SIMPLE_UNIT = rf"\A ?[{_LETTERS}{_MARKS}]+(?:\n[{_LETTERS}{_MARKS}]+)*\z"
 
 
 def simple_pieces(unit: str) -> list[str] | None:
@@ -44,6 +45,16 @@ def simple_pieces(unit: str) -> list[str] | None:
     return _SIMPLE_PIECE.findall(unit) if _SIMPLE.fullmatch(unit) else None
 
 
+def are_simple(units: list[str]) -> list[bool]:
+    """Whether each unit is one that ``simple_pieces`` cuts, with no blank but its first letter."""
+    return pc.match_substring_regex(pa.array(units, pa.string()), _SIMPLE_UNIT).to_numpy(zero_copy_only=False).tolist()
+
+
+def mixes_simple_pieces(token: str) -> bool:
+    """Whether a token of a byte-level vocabulary may reach over the end of a piece of a simple unit."""
+    return bool(_SIMPLE_BYTES.fullmatch(token)) and not _ONE_KIND.fullmatch(token)
+
+
 class Kept(dict):
     """Ids by text, with about what they take in bytes."""
 
@@ -70,6 +81,13 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+# The letters that stand for the bytes of simple units: Latin letters begin with 0xC3 to 0xCA.
+_HIGH = "".join(re.escape(byte_letters()[b]) for b in [*range(0x80, 0xC0), *range(0xC3, 0xCB)])
+_BLANK, _BREAK = byte_letters()[ord(" ")], byte_letters()[ord("\n")]
+_SIMPLE_BYTES = re.compile(f"[{_BLANK}{_BREAK}A-Za-z{_HIGH}{_MARKS}]+")
+_ONE_KIND = re.compile(f"{_BLANK}?[A-Za-z{_HIGH}]+|{_BLANK}?[{_MARKS}]+|[{_BLANK}{_BREAK}]+")
+
+
 class UnitEncoder:
     """Ids of texts as bytes (unsigned 32-bit, little-endian); subclasses split and encode."""
 
@@ -125,15 +143,16 @@ class UnitEncoder:
         first = np.zeros(len(flat), bool)
         first[places[:-1]] = True
         body = flat.filter(pa.array(~first)).dictionary_encode()
-        units = body.dictionary.to_pylist()
+        units = body.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.spaced.get, units))
-        unknown = {unit for unit, ids in zip(units, found) if ids is None}
-        met = unknown & self.older.keys()
-        fresh = {unit: self.older[unit] for unit in met}
-        new = list(unknown - met)
-        fresh.update(zip(new, self.learn([" " + unit for unit in new])))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        unknown = [units[i] for i in missing]
+        met = list(map(self.older.get, unknown))
+        learnt = iter(self.learn([" " + unit for unit, ids in zip(unknown, met) if ids is None]))
+        fresh = dict(zip(unknown, [next(learnt) if ids is None else ids for ids in met]))
         self.spaced.drop(self.spaced.add(fresh))
-        found = [fresh[unit] if ids is None else ids for unit, ids in zip(units, found)]
+        for i, ids in zip(missing, fresh.values()):
+            found[i] = ids
         ids = pa.array(found, pa.large_binary()).take(body.indices)
         data = memoryview(ids.buffers()[2] or b"")
         ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)

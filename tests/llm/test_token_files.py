@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import public_tokenizers
 import pytest
 from cases import empty_table, odd_table, prose
@@ -93,3 +95,42 @@ def test_a_unit_is_looked_up_once_a_batch():
     found = encoder.encode(["one three one  three", "", "one three one three one"] * 20)
     assert found[:3] == [b"".join(n.to_bytes(4, "little") for n in row) for row in ([3, 6, 11], [0], [3, 6, 4, 6, 4])]
     assert found == found[:3] * 20 and encoder.spaced.asked <= 4
+
+
+def spelled(n):
+    """Words that are told apart, with marks and line breaks in some."""
+    names = ["".join("aeiouéñklmnrst"[i // 14**k % 14] for k in range(5)) for i in range(n)]
+    return [name + ("", ",", ".\nThe", "***", "\n(no", "'s", "7")[i % 7] for i, name in enumerate(names)]
+
+
+def test_many_new_units_go_to_the_library_at_once(library):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = token_files.LibraryEncoder(file.read())
+
+    class Counted:
+        calls, longest, model = 0, 0, encoder.model
+
+        def tokenize(self, text):
+            self.calls, self.longest = self.calls + 1, max(self.longest, len(text))
+            return self.model.tokenize(text)
+
+    encoder.model = Counted()
+    texts = [" ".join(spelled(7000)), "x" * 20_000, "y" * 20_000 + " \x00\x01 z", "", "\n", " "]
+    assert [ids_of(x) for x in encoder.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.model.calls < 100 and encoder.model.longest < 25_000
+
+
+@pytest.mark.parametrize("change", ["a mark and a letter", "a byte of no text", "whole words"])
+def test_units_go_apart_where_the_vocabulary_may_join_them(change):
+    held = json.loads(Tokenizer.from_file(PATH).to_str())
+    model = held["model"]
+    if change == "whole words":
+        model["ignore_merges"] = True
+    else:
+        left, right = (".", "T") if change == "a mark and a letter" else ("e", "\u00c1")
+        model["vocab"][left + right] = max(model["vocab"].values()) + 2
+        model["merges"].insert(0, [left, right])
+    encoder, other = token_files.LibraryEncoder(json.dumps(held)), Tokenizer.from_str(json.dumps(held))
+    texts = [*random_texts(200), "end.The next", " ".join(spelled(300))]
+    assert not encoder.joins
+    assert [ids_of(x) for x in encoder.encode(texts)] == [e.ids for e in other.encode_batch(texts, add_special_tokens=False)]
