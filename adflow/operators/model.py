@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adflow.functions.numbers import draw_below
+from adflow.session import fresh_folder
 
 # Survey columns.
 FEATURES = (
@@ -83,8 +84,14 @@ def model_params(spark: SparkSession, model: LogisticRegressionModel) -> DataFra
 
 
 def predict(model: LogisticRegressionModel, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Scores of test rows, next to columns that tell the rows apart."""
-    return model.transform(test).select(*keep, "features", "rawPrediction", "probability", "prediction")
+    """Scores of test rows, next to columns that tell the rows apart.
+
+    A fitted model sends its training summary, and the session with it, to each
+    task, which fails once the session has observed a table; a stored model has none.
+    """
+    folder = fresh_folder(test.sparkSession, "model")
+    model.write().save(folder)
+    return LogisticRegressionModel.load(folder).transform(test).select(*keep, "features", "rawPrediction", "probability", "prediction")
 
 
 def objective_history(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from adflow import jobs
@@ -79,3 +80,14 @@ def test_survey_job(spark, folder):
     jobs.survey(spark, source, target)
     assert spark.read.parquet(f"{target}/coefficients").count() == 9
     assert 10 < spark.read.parquet(f"{target}/scored").count() < 90
+
+
+def test_scores_after_an_observation(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = model.assemble(model.encode(answers(spark)))
+    fitted = model.fit_logistic(rows)
+    assert model.predict(fitted, rows, ["answer_id"]).count() == 400
+    scores = model.predict(fitted, rows, ["answer_id"]).collect()
+    assert {r["prediction"] for r in scores} == {0.0, 1.0}
